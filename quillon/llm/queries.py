@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontaminate, langid, mixing
+from . import decontaminate, langid, minhash, mixing
 
 QUERIES = {
+    "op3_minhash_near_duplicates": minhash.query,
     "op5_language_id": langid.query,
     "op7_benchmark_decontamination": decontaminate.query,
     "op10_source_mixing": mixing.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_minhash_near_duplicates": minhash.SQL,
+}
