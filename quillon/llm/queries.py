@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, langid, minhash, mixing
+from . import chat, decontaminate, langid, minhash, mixing
 
 QUERIES = {
+    "op1_chat_formatting": chat.query,
     "op3_minhash_near_duplicates": minhash.query,
     "op5_language_id": langid.query,
     "op7_benchmark_decontamination": decontaminate.query,
