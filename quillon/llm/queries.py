@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, langid, minhash, mixing
+from . import chat, decontaminate, langid, minhash, mixing, substrings
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
+    "op2_suffix_array_dedup": substrings.query,
     "op3_minhash_near_duplicates": minhash.query,
     "op5_language_id": langid.query,
     "op7_benchmark_decontamination": decontaminate.query,
