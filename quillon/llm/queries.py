@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, langid, minhash, mixing, substrings
+from . import chat, decontaminate, langid, lattice, minhash, mixing, substrings
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
@@ -10,9 +10,11 @@ QUERIES = {
     "op3_minhash_near_duplicates": minhash.query,
     "op5_language_id": langid.query,
     "op7_benchmark_decontamination": decontaminate.query,
+    "op9_lattice_embedding_duplicates": lattice.query,
     "op10_source_mixing": mixing.query,
 }
 
 ORACLE: dict[str, str] = {
     "op3_minhash_near_duplicates": minhash.SQL,
+    "op9_lattice_embedding_duplicates": lattice.SQL,
 }
