@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, langid, lattice, minhash, mixing, substrings
+from . import chat, decontaminate, langid, lattice, minhash, mixing, substrings, toxicity
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
     "op2_suffix_array_dedup": substrings.query,
     "op3_minhash_near_duplicates": minhash.query,
+    "op4_toxicity": toxicity.query,
     "op5_language_id": langid.query,
     "op7_benchmark_decontamination": decontaminate.query,
     "op9_lattice_embedding_duplicates": lattice.query,
