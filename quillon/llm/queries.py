@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, langid, lattice, minhash, mixing, substrings, toxicity
+from . import chat, decontaminate, langid, lattice, licences, minhash, mixing, substrings, tokens, toxicity
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
@@ -10,12 +10,15 @@ QUERIES = {
     "op3_minhash_near_duplicates": minhash.query,
     "op4_toxicity": toxicity.query,
     "op5_language_id": langid.query,
+    "op6_licence_scan": licences.query,
     "op7_benchmark_decontamination": decontaminate.query,
+    "op8_token_counts": tokens.query,
     "op9_lattice_embedding_duplicates": lattice.query,
     "op10_source_mixing": mixing.query,
 }
 
 ORACLE: dict[str, str] = {
     "op3_minhash_near_duplicates": minhash.SQL,
+    "op6_licence_scan": licences.SQL,
     "op9_lattice_embedding_duplicates": lattice.SQL,
 }
