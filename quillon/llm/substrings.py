@@ -341,7 +341,7 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text:
 
 def cut_repeats(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows with all their columns, repeated bytes cut out of the text; what a cut leaves of a character goes too. A row whose text is cut to nothing goes; one that had none stays."""
-    at = docs.columns.index(text)
+    names, at = docs.columns, docs.columns.index(text)
 
     def run(batches):
         for batch in batches:
@@ -361,7 +361,7 @@ def cut_repeats(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: st
                     keep.append(True)
             arrays = [batch.column(i) for i in range(batch.num_columns - 1)]
             arrays[at] = pa.array(texts, arrays[at].type)
-            yield pa.RecordBatch.from_arrays(arrays, docs.columns).filter(pa.array(keep))
+            yield pa.RecordBatch.from_arrays(arrays, names).filter(pa.array(keep))
 
     # positions, not names: a column may have any name
     rest = [F.col(c).alias(f"col_{i}") for i, c in enumerate(docs.columns)]
