@@ -1,4 +1,9 @@
-"""Queries by name."""
+"""Queries by name, and their SQL where SQL can express them."""
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+from . import barcode_queries
+
+_ALL = barcode_queries.QUERIES
+QUERIES = {k: f for k, (f, _) in _ALL.items()}
+ORACLE: dict[str, str] = {k: sql for k, (_, sql) in _ALL.items() if sql}
