@@ -71,14 +71,16 @@ def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(text)
     bits = max(1, (n + 1).bit_length())
     place = np.arange(n, dtype=np.uint64)
-    depth = 5 if bits <= 24 else 4
+    depth = 5 if bits <= 21 else 4  # bytes, and 3 bits that tell the text's end from a zero byte
+    low = 64 - 8 * depth - 3
     key = np.zeros(n, np.uint64)
     padded = np.concatenate([text, np.zeros(depth, np.uint8)])
     for i in range(depth):
         key = (key << np.uint64(8)) | padded[i : i + n]
-    packed = np.sort((key << np.uint64(64 - 8 * depth)) | place)
-    sa = (packed & np.uint64((1 << (64 - 8 * depth)) - 1)).astype(np.int64)
-    value = packed >> np.uint64(64 - 8 * depth)
+    key = (key << np.uint64(3)) | np.minimum(np.uint64(n) - place, np.uint64(depth))
+    packed = np.sort((key << np.uint64(low)) | place)
+    sa = (packed & np.uint64((1 << low) - 1)).astype(np.int64)
+    value = packed >> np.uint64(low)
     new = np.concatenate(([True], value[1:] != value[:-1])) if n else np.zeros(0, bool)
     where = np.arange(n)
     head = np.maximum.accumulate(np.where(new, where, 0)) if n else where
