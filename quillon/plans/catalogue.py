@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import barcode_queries, genome_queries
+from . import barcode_queries, genome_queries, read_queries
 
-_ALL = barcode_queries.QUERIES | genome_queries.QUERIES
+_ALL = barcode_queries.QUERIES | genome_queries.QUERIES | read_queries.QUERIES
 QUERIES = {k: f for k, (f, _) in _ALL.items()}
 ORACLE: dict[str, str] = {k: sql for k, (_, sql) in _ALL.items() if sql}
