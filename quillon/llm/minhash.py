@@ -17,7 +17,8 @@ ERRORS = 1  # wrong symbols that a chunk may have
 #: By pigeonhole, signatures of at most this many different symbols agree in a chunk but for ERRORS symbols.
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
 TIGHT = 5
-BLOCK = 8192
+BLOCK = 8192  # members of a bucket's block
+ROWS = 1024  # documents of a cluster's block
 CHUNK_NAMES = [f"s{i}" for i in range(CHUNKS)]
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
@@ -141,14 +142,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, scratch: Scratch, percent: int) -
     def run(batches):
         for batch in batches:
             a, b, xb, xa = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "xb", "xa"))
-            ok = []
-            for p, q in zip(xa, xb, strict=True):
-                p, q = np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)
-                if len(p) > len(q):
-                    p, q = q, p
-                common = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum()) if len(p) else 0
-                ok.append(100 * common >= percent * (len(p) + len(q) - common) and common > 0)
-            ok = pa.array(ok, pa.bool_())
+            ok = pa.array([linked(np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64), percent) for p, q in zip(xa, xb, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(ok), b.filter(ok)], ["a", "b"])
 
     out = scratch.save(both.select("a", "b", "xb", "xa").mapInArrow(run, "a long, b long").distinct())
@@ -157,9 +151,9 @@ def confirm(pairs: DataFrame, docs: DataFrame, scratch: Scratch, percent: int) -
 
 
 def rest(multi: DataFrame, reps: DataFrame, labels: DataFrame, percent: int, leaders: bool) -> DataFrame:
-    """Pairs (a, b) of different components that share a key and whose signatures and sizes allow a link.
+    """Edges (a, b) among members of buckets that hold several components.
 
-    ``leaders``: of members alike within TIGHT symbols, only the links to their first. A bucket's members of its smallest member's component are dealt over blocks and the others go to each, as only pairs with one of the others are looked for."""
+    ``leaders``: of members alike within TIGHT symbols, the links to their first. Otherwise a forest that spans all pairs of different components whose signatures and sizes allow a link: as many edges as members at most, however many such pairs there are. A bucket's members of its smallest member's component are dealt over blocks and the others go to each, as only pairs with one of the others are looked for."""
     named = multi.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("label", F.coalesce("component", "rep"))
     kept = named.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m"), F.count("*").alias("size"), F.min(F.struct("rep", "label")).alias("hub")).where("l <> m").select("key", "size", F.col("hub.label").alias("main"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -170,23 +164,75 @@ def rest(multi: DataFrame, reps: DataFrame, labels: DataFrame, percent: int, lea
         t = t.sort_by("rep")
         rep, label, n, main = (t.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("rep", "label", "n", "of_main"))
         s = np.stack([t.column(c).combine_chunks().to_numpy() for c in CHUNK_NAMES], 1).view(np.uint16).reshape(len(rep), CHUNKS * SYMBOLS)
-        out_a, out_b = [], []
+        tree = np.arange(len(rep))
         done = np.zeros(len(rep), bool)
         for i in np.arange(len(rep)) if leaders else np.flatnonzero(~main):
             if leaders and done[i]:
                 continue
-            ok = (label != label[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
-            at = np.flatnonzero(ok)
-            at = at[(s[at] != s[i]).sum(1) <= (TIGHT if leaders else DISTANCE)]
+            at = alike(s, n, label, i, s, n, label, percent, TIGHT if leaders else DISTANCE)
             if leaders:
                 at = at[~done[at] & (at > i)]
                 done[at] = True
-            out_a.append(np.minimum(rep[i], rep[at]))
-            out_b.append(np.maximum(rep[i], rep[at]))
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_a, out_b))
-        return pa.table({"a": a, "b": b})
+                tree[at] = i
+            elif len(at):
+                roots = np.unique(np.append(tree[at], tree[i]))
+                tree[np.isin(tree, roots)] = roots[0]
+        b = np.flatnonzero(tree != np.arange(len(rep)))
+        return pa.table({"a": rep[tree[b]], "b": rep[b]})
+
+    return wide.groupBy("key", "block").applyInArrow(run, "a long, b long").distinct()
+
+
+def alike(s, n, label, i, others, sizes, labels, percent: int, most: int) -> np.ndarray:
+    """The others of another component that may link with document ``i`` by size and by at most so many different symbols."""
+    at = np.flatnonzero((labels != label[i]) & (100 * np.minimum(sizes, n[i]) >= percent * np.maximum(sizes, n[i])))
+    return at[(others[at] != s[i]).sum(1) <= most]
+
+
+def confirm_clusters(forest: DataFrame, reps: DataFrame, labels: DataFrame, docs: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """Links (a, b) among the clusters that a forest spans, enough of them to join all that full sets join.
+
+    Each member's set goes to its cluster's tasks: those outside the cluster's largest component, in blocks, against all members, in blocks. A task compares full sets where signatures and sizes allow a link and the two are not joined yet, and returns only links that join components."""
+    cluster = components(forest, scratch).withColumnsRenamed({"id": "rep", "component": "cluster"})
+    member = scratch.save(cluster.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("component", "rep")).drop("component"))
+    parts = member.groupBy("cluster", "label").agg(F.count("*").alias("k"))
+    plan = parts.groupBy("cluster").agg(F.sum("k").alias("all"), F.max(F.struct("k", "label")).alias("m")).where("all > m.k")
+    ceil = lambda c: F.ceil(c / ROWS).cast("int")
+    plan = plan.select("cluster", F.col("m.label").alias("main"), ceil(F.col("all") - F.col("m.k")).alias("gi"), ceil(F.col("all")).alias("gj"))
+    named = member.join(plan, "cluster")
+    own = lambda g, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), F.col(g)).cast("int")
+    rows = named.where("label <> main").select("cluster", "rep", "label", own("gi", 1).alias("i"), F.explode(F.sequence(F.lit(0), F.col("gj") - 1)).alias("j"), F.lit(True).alias("row"))
+    columns = named.select("cluster", "rep", "label", F.explode(F.sequence(F.lit(0), F.col("gi") - 1)).alias("i"), own("gj", 2).alias("j"), F.lit(False).alias("row"))
+    ids = member.select(F.col("rep").alias("doc_id"))
+    have = scratch.save(sets(docs.select("doc_id", "text").join(ids.hint("shuffle_hash"), "doc_id", "left_semi")).withColumnRenamed("id", "rep"))
+    wide = rows.unionByName(columns).join(reps, "rep").join(have, "rep")
 
-    return wide.groupBy("key", "block").applyInArrow(run, "a long, b long").where("a < b").distinct()
+    def run(t):
+        t = t.sort_by([("rep", "ascending")])
+        rep, label, n, is_row = (t.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("rep", "label", "n", "row"))
+        s = np.stack([t.column(c).combine_chunks().to_numpy() for c in CHUNK_NAMES], 1).view(np.uint16).reshape(len(rep), CHUNKS * SYMBOLS)
+        x = [np.frombuffer(v.as_buffer(), np.uint64) for v in t.column("x").combine_chunks()]
+        column = np.flatnonzero(~is_row)
+        sc, nc, now = s[column], n[column], label.copy()
+        out = []
+        for i in np.flatnonzero(is_row):
+            for j in column[alike(s, n, now, i, sc, nc, now[column], percent, DISTANCE)]:
+                if now[i] != now[j] and linked(x[i], x[j], percent):
+                    out.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+                    now[now == max(now[i], now[j])] = min(now[i], now[j])
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    out = scratch.save(wide.groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long").where("a < b").distinct())
+    scratch.drop(have)
+    return out
+
+
+def linked(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets satisfy 100 * intersection >= percent * union, and share something."""
+    if len(p) > len(q):
+        p, q = q, p
+    common = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum()) if len(p) else 0
+    return common > 0 and 100 * common >= percent * (len(p) + len(q) - common)
 
 
 def link(docs: DataFrame, scratch: Scratch, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -194,7 +240,7 @@ def link(docs: DataFrame, scratch: Scratch, percent: int = 75, key: str = "doc_i
 
     Texts null, empty or of white space have empty sets and link with nothing; under 5 words the whole sequence is the one shingle. Rows of equal sets are one class, its smallest doc_id standing for it. Rows that repeat a doc_id share its component; a null doc_id links with nothing, has a null component and is kept.
 
-    Of all pairs within the signature distance every one shares a key. A pair at the similarity bound is within reach with probability 1 - 9e-5 (each chunk of 4 symbols has at most one wrong with 0.738; 7 chunks), a pair at 0.8 with 1 - 6e-6. Links are confirmed on full sets: first each member of a bucket with its smallest, which joins groups of copies without pairs of members; then, in buckets that still hold several components, tight neighbours; then all pairs of different components left."""
+    Of all pairs within the signature distance every one shares a key. A pair at the similarity bound is within reach with probability 1 - 9e-5 (each chunk of 4 symbols has at most one wrong with 0.738; 7 chunks), a pair at 0.8 with 1 - 6e-6. Links are confirmed on full sets: first each member of a bucket with its smallest, which joins groups of copies without pairs of members; then, in buckets that still hold several components, tight neighbours; then what is left in different components, in tasks that hold the full sets and return only links that join."""
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     base = scratch.save(sketch(docs))
     reps = base.where("n > 0 and doc_id is not null").groupBy("n", "c1", "c2").agg(F.min("doc_id").alias("rep"), *[F.first(s).alias(s) for s in CHUNK_NAMES])
@@ -209,12 +255,13 @@ def link(docs: DataFrame, scratch: Scratch, percent: int = 75, key: str = "doc_i
     tested = scratch.save(star)
     good = confirm(tested, docs, scratch, percent)
     labels = components(good, scratch)
+    labels = scratch.save(labels)
     for leaders in (True, False):
-        more = scratch.save(rest(multi.select("key", "rep"), reps, labels, percent, leaders).join(tested, ["a", "b"], "left_anti"))
+        more = rest(multi.select("key", "rep"), reps, labels, percent, leaders)
+        more = scratch.save(more.join(tested, ["a", "b"], "left_anti") if leaders else more)
         if more.isEmpty():
             continue
-        tested = tested.unionAll(more)
-        got = confirm(more, docs, scratch, percent)
+        got = confirm(more, docs, scratch, percent) if leaders else confirm_clusters(more, reps, labels, docs, scratch, percent)
         if not got.isEmpty():
             good = good.unionAll(got)
             labels = scratch.save(components(good, scratch))
