@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .intervals import floor_join
+
 
 def exon_lengths(exons: DataFrame, transcript: str = "tr", start: str = "es", end: str = "ee", ties: tuple[str, ...] = ()) -> DataFrame:
     """Each exon with its number, the summed lengths of those before it, and the largest end so far; ``ties`` order exons of equal ends."""
@@ -67,9 +69,37 @@ def repeat_shift(left: Column, right: Column) -> Column:
     return F.when(n <= 0, 0).otherwise(F.coalesce(F.array_min(wrong) - 1, n))
 
 
-def locate(positions: DataFrame, chromosomes: DataFrame, at: str = "pos") -> DataFrame:
-    """The chromosome (index, start, length; few rows) of each genome-wide position."""
-    return positions.join(F.broadcast(chromosomes.limit(1_000_000)), (F.col(at) >= F.col("chr_start")) & (F.col(at) < F.col("chr_start") + F.col("chr_length")))
+def locate(positions: DataFrame, chromosomes: DataFrame, at: str = "pos", width: int = 1 << 24) -> DataFrame:
+    """``chr``, ``chr_start`` and ``chr_length`` of the chromosome of each genome-wide position; positions outside all are dropped."""
+    fields = ["chr", "chr_start", "chr_length"]
+    found = floor_join(positions.withColumn("_g", F.lit(0)), chromosomes.select("*", F.lit(0).alias("_g")), ["_g"], at, "chr_start", fields, width)
+    return found.where(F.col(at) < F.col("before.chr_start") + F.col("before.chr_length")).select("*", "before.*").drop("_g", "before", "after")
+
+
+def flanks(junctions: DataFrame, bins: DataFrame, width: int, overhang: int) -> DataFrame:
+    """``flank``: the bases of both sides of each intron (0-based start, end after it) put together; bins overlap by ``overhang`` bases."""
+    at = junctions.withColumns({"_l": F.greatest(F.col("start") - overhang, F.lit(0)), "_r": F.col("end")})
+    left = fetch(at, bins, width, "_l", F.lit(overhang), "_a").withColumn("_a", F.substring("_a", F.lit(1), (F.col("start") - F.col("_l")).cast("int")))
+    return fetch(left, bins, width, "_r", F.lit(overhang), "_b").withColumn("flank", F.concat("_a", "_b")).drop("_l", "_r", "_a", "_b")
+
+
+def allele_choices(flanks_: DataFrame, most: int = 10) -> DataFrame:
+    """Each flank with every choice of the two alleles of its ``snps`` (array of offset from 0, a1, a2); flanks with over ``most`` have none but their own bases."""
+    n = F.size("snps")
+    pick = F.explode(F.when(n <= most, F.sequence(F.lit(0), F.pow(F.lit(2), n).cast("int") - 1)).otherwise(F.array(F.lit(-1))))
+    rows = flanks_.withColumn("choice", pick)
+    put = F.aggregate(F.transform("snps", lambda s, i: F.struct(s.offset.alias("o"), F.when(F.pmod(F.floor(F.col("choice") / F.pow(F.lit(2), i)), F.lit(2)) == 0, s.a1).otherwise(s.a2).alias("b"))), F.col("flank"), lambda t, x: F.overlay(t, x.b, x.o + 1, F.lit(1)))
+    return rows.withColumn("variant", F.when(F.col("choice") < 0, F.col("flank")).otherwise(put))
+
+
+def window_parameters(genome_bases: int, intron_max: int = 0, mates_gap: int = 0, bits: int = 16, reach: int = 9, bin_bits: int = 18) -> dict[str, int]:
+    """Window bins from the limits of introns and mates: without limits the defaults, else bins of about a quarter of the larger limit, between 2^4 and the default, and a reach that covers it twice."""
+    if intron_max == 0 and mates_gap == 0:
+        return {"bits": bits, "reach": reach, "flank": 4, "bins": (genome_bases >> bits) + 1}
+    limit = max(4, intron_max, mates_gap or 1000)
+    bits = max(4, min(bin_bits, bits, round(limit / 4).bit_length() - 1))
+    reach = max(1, -(-2 * limit // (1 << bits)) + 1)
+    return {"bits": bits, "reach": reach, "flank": max(1, reach // 2), "bins": (genome_bases >> bits) + 1}
 
 
 def apply_consensus(genome: DataFrame, variants: DataFrame) -> DataFrame:

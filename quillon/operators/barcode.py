@@ -155,7 +155,7 @@ def mask_positions(blocks: DataFrame, track: int = 2, rotate: int = 0) -> DataFr
     cols = cols.withColumn("x0", F.coalesce(F.sum(F.col("w") + track).over(before("col")), F.lit(0)))
     rows = rows.withColumn("y0", F.coalesce(F.sum(F.col("h") + track).over(before("row")), F.lit(0)))
     whole = cols.agg(F.max(F.col("x0") + F.col("w")).alias("wide")).crossJoin(rows.agg(F.max(F.col("y0") + F.col("h")).alias("high")))  # one row
-    spots = blocks.join(F.broadcast(cols), "col").join(F.broadcast(rows), "row").crossJoin(F.broadcast(whole)).withColumn("dnb", F.explode(F.sequence(F.lit(0), F.col("dnb_cols") * F.col("dnb_rows") - 1)))
+    spots = blocks.join(cols, "col").join(rows, "row").crossJoin(F.broadcast(whole)).withColumn("dnb", F.explode(F.sequence(F.lit(0), F.col("dnb_cols") * F.col("dnb_rows") - 1)))
     x, y = F.col("x0") + F.col("dnb") % F.col("dnb_cols"), F.col("y0") + F.floor(F.col("dnb") / F.col("dnb_cols"))
     turned = {0: (x, y), 90: (F.col("high") - 1 - y, x), 180: (F.col("wide") - 1 - x, F.col("high") - 1 - y)}[rotate]
     return spots.select("block", "dnb", turned[0].cast("long").alias("x"), turned[1].cast("long").alias("y"))
@@ -186,3 +186,65 @@ def merge_pair(left: Column, right: Column, least: int = 30, errors: float = 0.1
     lengths = F.sequence(F.lit(least), F.least(F.length(left), F.length(right)))
     wrong = lambda n: F.aggregate(F.zip_with(F.split(F.substring(left, F.length(left) - n + 1, n), ""), F.split(F.substring(right, F.lit(1), n), ""), lambda a, b: (a != b).cast("int")), F.lit(0), lambda s, v: s + v)
     return F.when(F.least(F.length(left), F.length(right)) >= least, F.array_min(F.filter(lengths, lambda n: wrong(n) <= n * errors)))
+
+
+#: Distance of spots on a chip, in nanometres, by pitch class.
+PITCHES = (900, 715, 600, 500)
+
+
+def pitch(kind: int) -> int:
+    return PITCHES[kind]
+
+
+def chip_range(fields: DataFrame, wide: int, high: int, gap: int) -> DataFrame:
+    """One row: least and largest x and y of the fields of view (fov_c, fov_r) in use."""
+    x, y = (F.col("fov_c") - 1) * (wide + gap), (F.col("fov_r") - 1) * (high + gap)
+    return fields.agg(F.min(x).alias("x0"), F.max(x + wide - 1).alias("x1"), F.min(y).alias("y0"), F.max(y + high - 1).alias("y1"))
+
+
+def poly_base(code_text: Column, share: float = 0.8) -> Column:
+    """Whether a barcode holds another letter than A, C, G, T, or one of them in at least that share."""
+    n = F.length(code_text)
+    most = F.greatest(*[n - F.length(F.replace(code_text, F.lit(b), F.lit(""))) for b in "ACGT"])
+    return (seq.n_count(code_text) > 0) | (most >= n * share)
+
+
+def poly_t(code_text: Column, most_other: int) -> Column:
+    return F.length(F.replace(code_text, F.lit("T"), F.lit(""))) <= most_other
+
+
+def near_spots(x1: Column, y1: Column, x2: Column, y2: Column, distance: int) -> Column:
+    """Signed difference on both axes within a distance: an estimate of one spot read twice."""
+    return (F.abs(x1 - x2) <= distance) & (F.abs(y1 - y2) <= distance)
+
+
+def positions_from_reads(reads: DataFrame, start: int, length: int, columns: int, reverse: bool = False) -> DataFrame:
+    """(barcode, x, y) from reads whose name ends in a spot's number; reads with another letter in the barcode are dropped."""
+    text = F.substring("seq", start + 1, length)
+    spot = F.regexp_extract("name", r"(\d+)\D*$", 1).try_cast("long")
+    code = seq.encode(seq.reverse_complement(text) if reverse else text)
+    return reads.select(code.alias("barcode"), (spot % columns).alias("x"), F.floor(spot / columns).alias("y")).where("barcode is not null and x is not null")
+
+
+def mask_cells(positions: DataFrame, segments: int) -> DataFrame:
+    """(row, col, segment, barcode): the cells of a chip mask; a spot's barcodes fill its segments in order, more than there are raise."""
+    w = Window.partitionBy("x", "y").orderBy("barcode")
+    out = positions.select("barcode", "x", "y").distinct().withColumn("segment", F.row_number().over(w) - 1)
+    full = F.when(F.col("segment") >= segments, F.raise_error(F.lit("a spot has more barcodes than segments")).cast("int")).otherwise(F.col("segment"))
+    low = positions.agg(F.min("x").alias("_x"), F.min("y").alias("_y"))
+    return out.crossJoin(low).select((F.col("y") - F.col("_y")).alias("row"), (F.col("x") - F.col("_x")).alias("col"), full.alias("segment"), "barcode")  # low is one row
+
+
+def match_cells(reads: DataFrame, whitelist: DataFrame, length: int) -> DataFrame:
+    """(read, cb, d, q): candidates of each read's cell barcode: itself if it is listed, else all listed ones one base off, with the quality of the base that differs; a read with one unknown base (``n_pos``) has the listed ones of its four fillings, if that is one.
+
+    ``reads``: read, barcode, n_pos (-1 for none), qual (array of scores); ``whitelist``: barcode."""
+    full = reads.where("n_pos < 0")
+    exact = full.join(whitelist.select("barcode"), "barcode", "left_semi").select("read", F.col("barcode").alias("cb"), F.lit(0).alias("d"), F.lit(0).alias("q"))
+    rest = full.join(whitelist.select("barcode"), "barcode", "left_anti")
+    near = neighbours(rest.select("barcode"), whitelist, length, 1)
+    x = F.col("barcode").bitwiseXOR(F.col("hit"))
+    place = F.floor(F.log2(x.cast("double")) / 2).cast("int")  # from the last base
+    one = rest.join(near, "barcode").select("read", F.col("hit").alias("cb"), F.lit(1).alias("d"), F.get("qual", F.lit(length - 1) - place).cast("int").alias("q"))
+    filled = rescue_n(reads, whitelist.select("barcode", F.col("barcode").alias("x"), F.lit(0).alias("y")), ["read"]).select("read", F.col("x").alias("cb"), F.lit(1).alias("d"), F.lit(0).alias("q"))
+    return exact.unionByName(one).unionByName(filled)
