@@ -35,9 +35,8 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Chooses documents by the target weights; further columns tell each one's leaf, tokens and copies."""
-    out = mixing.mix_sources(docs, mixing.levels(), mixing.WEIGHTS, Scratch(spark))
-    return out.withColumnsRenamed({"mix_path": "path", "mix_tokens": "n_tokens", "mix_copies": "copies"})
+    """Chooses documents by the target weights; further columns (mix_path, mix_tokens, mix_copies) tell each one's leaf, tokens and copies."""
+    return mixing.mix_sources(docs, mixing.levels(), mixing.WEIGHTS, Scratch(spark))
 
 
 STAGES = [

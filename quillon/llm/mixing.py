@@ -58,8 +58,9 @@ def hashed(seed: int, epoch: Column, key: Column) -> Column:
 def mix_sources(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[tuple, float], scratch: Scratch, fraction: float = 0.5, epochs: int = 4, seed: int = 17, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The chosen rows with all their columns, and ``mix_path`` (values of the levels), ``mix_tokens`` (words of the whole text) and ``mix_copies`` (times the row is taken).
 
-    The total is ``fraction`` of all tokens. A leaf with budget b of T tokens takes b // T whole epochs, then the prefix, in the order of the next epoch's seeded hash, whose running sum stays within the rest. Null levels count as ''. Texts null, empty or of white space have no tokens and are never chosen. Rows with one key and leaf are taken or left together.
+    The total is ``fraction`` of all tokens. A leaf with budget b of T tokens takes b // T whole epochs, then the prefix, in the order of the next epoch's seeded hash, whose running sum stays within the rest. Columns of that prefix in the input are replaced. Null levels count as ''. Texts null, empty or of white space have no tokens and are never chosen. Rows with one key and leaf are taken or left together.
     Only totals of leaves and of hash ranges meet; a window sorts no more than a leaf's cut range, and the choice itself is a filter."""
+    docs = docs.select([c for c in docs.columns if not c.startswith("mix_")])
     path = F.concat_ws("\x1f", *[F.coalesce(c.cast("string"), F.lit("")) for c in levels.values()])
     tokens = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORDS)).cast("long")
     narrow = scratch.save(docs.select(F.col(key).cast("string").alias("k"), path.alias("p"), tokens.alias("n")).where("n > 0"))
