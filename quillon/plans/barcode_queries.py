@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import seq
+from ..operators import annotation as A
 from ..operators import barcode as B
+from ..operators import reads as R
 from .fixtures import derived, duck, table
 
 KEYS = ["k1", "k2", "k3", "k4", "k5"]
@@ -156,7 +158,43 @@ def boxes(spark, d):
 
 BOXES = duck("chip_map", "reads") + f" select cast(x + i as int) x, cast(y + j as int) y, cast(sum(n) as bigint) n from ({COUNTS}), (select unnest(range(-2, 3)) i), (select unnest(range(-2, 3)) j) group by 1, 2"
 
+def adapters(spark, d):
+    """Bases of a code, then a cut adapter with a change in some."""
+    reads = derived(spark, d, "reads")
+    tail = F.substring(F.when(F.col("k1") % 5 == 0, "GATCACAGGT").otherwise("GATTACAGGT"), F.lit(1), (F.col("k2") + 3).cast("int"))
+    rows = reads.select(*KEYS, F.concat(seq.decode(F.col("barcode"), 25), tail).alias("seq"), F.repeat(F.lit("I"), F.lit(28)).alias("qual"))
+    return R.clip_adapter(rows, "GATTACAGGT", 0.1).select(*KEYS, "seq")
+
+
+DECODED = "array_to_string(list_transform(range(24, -1, -1), lambda i: substr('ACGT', cast((barcode >> (2 * i)) & 3 as int) + 1, 1)), '')"
+ADAPTERS = duck("reads") + f""", s as (select {', '.join(KEYS)}, {DECODED} || substr(case when k1 % 5 = 0 then 'GATCACAGGT' else 'GATTACAGGT' end, 1, cast(k2 + 3 as int)) t from reads),
+p as (select *, list_transform(range(0, length(t)), lambda i: struct_pack(i := i, n := least(length(t) - i, 10), m := len(list_filter(range(1, least(length(t) - i, 10) + 1), lambda j: substr(t, i + j, 1) = substr('GATTACAGGT', j, 1))))) x from s),
+q as (select *, list_min(list_transform(list_filter(x, lambda z: z.n - z.m <= z.n * 0.1), lambda z: struct_pack(a := -z.m, b := z.i))) best from p)
+select {', '.join(KEYS)}, case when best is null then t else substr(t, 1, cast(best.b as int)) end seq from q"""
+
+
+def stretches(spark, d):
+    """Known stretches of a code's bases with two unknown ones put in."""
+    text = F.concat(F.substring(seq.decode(F.col("barcode"), 25), F.lit(1), (F.col("k1") % 25).cast("int")), F.lit("N"), seq.decode(F.col("barcode"), 25), F.lit("N"), F.repeat(F.lit("ACG"), F.col("k2").cast("int")))
+    return derived(spark, d, "reads").select(*KEYS, R.good_stretches(text, 12).alias("s")).select(*KEYS, F.size("s").cast("long").alias("n"), F.array_join(F.transform("s", lambda x: F.concat_ws(":", x.start, x.length)), ",").alias("at"))
+
+
+STRETCHES = duck("reads") + f""", s as (select {', '.join(KEYS)}, cast(k1 % 25 as int) a, 3 * cast(k2 as int) c from reads)
+select {', '.join(KEYS)}, cast((a >= 12)::int + 1 + (c >= 12)::int as bigint) n, concat_ws(',', case when a >= 12 then '0:' || a end, (a + 1) || ':25', case when c >= 12 then (a + 27) || ':' || c end) "at" from s"""
+
+
+def located(spark, d):
+    chromosomes = spark.range(7).select(F.concat(F.lit("c"), F.col("id")).alias("chr"), (F.col("id") * 4_000_000).alias("chr_start"), (F.lit(3_000_000) + F.col("id") * 100_000).alias("chr_length"))
+    places = table(spark, d, "lineitem").select(*[F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")], (F.col("l_partkey") * 13_007 + F.col("l_suppkey")).alias("pos"))
+    return A.locate(places, chromosomes).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "pos", "chr", (F.col("pos") - F.col("chr_start")).alias("at"))
+
+
+LOCATED = """select l_orderkey, l_linenumber, l_partkey, l_suppkey, pos, 'c' || (pos // 4000000) chr, pos % 4000000 "at" from (select *, l_partkey * 13007 + l_suppkey pos from lineitem) where pos // 4000000 < 7 and pos % 4000000 < 3000000 + (pos // 4000000) * 100000"""
+
 QUERIES = {
+    "adapter_clip": (adapters, ADAPTERS),
+    "good_stretches": (stretches, STRETCHES),
+    "chromosome_locate": (located, LOCATED),
     "barcode_exact_counts": (exact_counts, duck("chip_map", "reads") + " " + COUNTS),
     "barcode_neighbor_join_k1": (neighbor(1), neighbor_sql(1)),
     "barcode_neighbor_join_k2": (neighbor(2), neighbor_sql(2)),
