@@ -92,3 +92,20 @@ def query(spark, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     return digest(format_chats(turns.unionByName(extra)))
+
+
+SQL = rf"""
+with base as (select conv_id c, turn t, coalesce(role, '') r, coalesce(text, '') x from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e as (select *, replace(replace(replace(replace(r, '\', '\\'), '</', '<\/'), '##', '#\#'), ':', '\:') er, replace(replace(replace(x, '\', '\\'), '</', '<\/'), '##', '#\#') ex,
+  len(regexp_extract_all(x, '\p{{L}}+|\p{{N}}{{1,3}}|[^\s\p{{L}}\p{{N}}]')) + {OVERHEAD} n from base),
+o as (select *, length('### ' || er || ': ' || ex || '</turn>') + 1 size, row_number() over w i, coalesce(sum(n) over (w rows between unbounded preceding and 1 preceding), 0) p from e window w as (partition by c order by t nulls first, r, x)),
+s as (select c, n, size from o where i = 1 and r = 'system'),
+q as (select o.*, greatest({BUDGET} - {HISTORY} - coalesce(s.n, 0), 1) room, coalesce(s.size, 0) lead_size, o.i = 1 and o.r = 'system' lead from o left join s using (c)),
+b as (select *, 2 * (p // room) + cast(p // room <> (p + n - 1) // room as int) span from q),
+f as (select c, span, min(i) i, min(p) p, min(lead_size) lead_size from b group by c, span),
+h as (select f.c, f.span, sum(b.size) old from f join b on b.c = f.c and not b.lead and b.p between f.p - {HISTORY} and f.p - 1 group by f.c, f.span),
+w as (select f.c, count(*) n_windows, sum(coalesce(h.old, 0) + case when f.i > 1 then f.lead_size else 0 end) extra from f left join h on h.c = f.c and h.span = f.span group by f.c),
+t as (select c, count(*) n_turns, sha256(string_agg(r || chr(10) || x || chr(10), '' order by i)) turns_sha256, coalesce(string_agg(x, '' order by i) filter (where r = 'assistant'), '') lost, sum(size) size from b group by c)
+select t.c conv_id, n_turns, turns_sha256, cast(length(lost) as bigint) loss_chars, sha256(lost) loss_sha256, cast(size + extra as bigint) formatted_chars, n_windows from t join w using (c)
+"""

@@ -18,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_chat_formatting": chat.SQL,
     "op3_minhash_near_duplicates": minhash.SQL,
     "op6_licence_scan": licences.SQL,
     "op9_lattice_embedding_duplicates": lattice.SQL,
