@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import blobs
@@ -254,8 +254,9 @@ def learn(docs: DataFrame, labels: DataFrame, rows: Column, toxic: int = 800, cl
     """Fits on at most ``toxic`` and ``clean`` labelled documents of the classes, those of least hash among ``rows`` with 1 to ``longest`` characters: the one bound on what is learnt from."""
     marked = labels.where(F.col("toxic").isin(0, 1) & F.col(key).isNotNull()).where(rows).groupBy(key).agg(F.max("toxic").alias("toxic"))
     pool = docs.where(F.length(text).between(1, longest)).select(key).distinct().join(marked, key)
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64(F.col(key).cast("string")), key)
-    ids = pool.withColumn("r", F.row_number().over(order)).where(F.col("r") <= F.when(F.col("toxic") == 1, toxic).otherwise(clean)).select(F.col(key).cast("long").alias("k"), "toxic").collect()
+    # the least of each class: every task keeps its own least, so no task sorts a class
+    least = lambda y, n: pool.where(F.col("toxic") == y).orderBy(F.xxhash64(F.col(key).cast("string")), key).limit(n)
+    ids = least(1, toxic).unionAll(least(0, clean)).select(F.col(key).cast("long").alias("k"), "toxic").collect()
     if not ids:
         return fit([], [])
     picked = docs.sparkSession.createDataFrame([(r.k, int(r.toxic)) for r in ids], "k long, y int")  # at most toxic + clean rows
