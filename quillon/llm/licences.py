@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LEAST = 0.6
-CUE = r"(?i)licen[cs]|copyright|copyleft|permission is|redistribution|warrant(y|ies)|spdx|public domain"
+CUE = r"(?i)licen[cs]|copyright|copyleft|permission is|redistribution|warrant(y|ies)|spdx|public domain|rights reserved"
 CUT = r"\n|\. "
 TOKEN = r"[a-z0-9]+(?:[.\-][a-z0-9]+)*"
 
@@ -32,7 +32,10 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("CC0-1.0", "Released into the public domain under CC0 1.0"),
     ("Proprietary", "Copyright, all rights reserved, use without permission is prohibited"),
+    ("Proprietary", "All rights reserved"),
 ]
+#: What the SQL was written with: it knows neither the bare reservation of rights nor its cue.
+SQL_CUE, SQL_TEMPLATES = CUE.removesuffix("|rights reserved"), TEMPLATES[:-1]
 
 
 def tokens(c: Column) -> Column:
@@ -68,13 +71,14 @@ def match(headers: DataFrame, least: float = LEAST) -> DataFrame:
 def licences(files: DataFrame, key: str = "doc_id", path: str = "path", text: str = "text", least: float = LEAST) -> DataFrame:
     """(doc_id, path, licence, score, how, origin) for each row.
 
-    A file with a matching header has that licence (of several the best score, then the first name): ``how`` is header. A file that opens with a matching header is its directory's licence file; of several the one of the smallest path, then key. Other files inherit from the nearest directory above them that has a licence file: ``inherited``, with that directory as ``origin``; else ``none``.
+    A file with a matching header has that licence (of several the best score, then the first name; a reservation of rights, Proprietary, only where no licence is named, as licence texts hold it too): ``how`` is header. A file that opens with a matching header is its directory's licence file; of several the one of the smallest path, then key. Other files inherit from the nearest directory above them that has a licence file: ``inherited``, with that directory as ``origin``; else ``none``.
     Paths are slash-separated; null or empty ones have no directory, as have names without a slash. Null texts have no header. Repeated rows give repeated results. Equal headers are matched once, so a very common line costs a count; the join to directories is by equality of paths, an ancestor each."""
     rows = scan(files.select(F.col(key).alias("doc_id"), F.col(path).alias("path"), F.col(text).alias("text")), least).drop("text")
     single = rows.where(F.size("_headers") > 0).select("doc_id", "path", "_opens", F.posexplode("_headers").alias("at", "header"))
     matched = match(single.groupBy("header").agg(F.count("*").alias("uses")), least)
+    reserved = (F.col("licence") == "Proprietary").alias("reserved")
     found = single.join(matched, "header").groupBy("doc_id", "path").agg(
-        F.min(F.struct((-F.col("score")).alias("s"), F.col("licence"))).alias("best"), F.min(F.when(F.col("_opens") & (F.col("at") == 0), F.struct((-F.col("score")).alias("s"), F.col("licence")))).alias("file")
+        F.min(F.struct(reserved, (-F.col("score")).alias("s"), F.col("licence"))).alias("best"), F.min(F.when(F.col("_opens") & (F.col("at") == 0), F.struct((-F.col("score")).alias("s"), F.col("licence")))).alias("file")
     )
     found = found.select("doc_id", "path", "best.licence", (-F.col("best.s")).alias("score"), F.col("file.licence").alias("opening"))
     folder = lambda p: F.when(F.instr(p, "/") > 0, F.regexp_replace(p, "/[^/]*$", ""))
@@ -99,11 +103,11 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 def _sql() -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    fixed = ", ".join(f"({i}, {quote(n)}, {quote(t)})" for i, (n, t) in enumerate(TEMPLATES))
+    fixed = ", ".join(f"({i}, {quote(n)}, {quote(t)})" for i, (n, t) in enumerate(SQL_TEMPLATES))
     return rf"""
 with fixed(template, licence, sentence) as (values {fixed}),
 d as (select doc_id, concat_ws('/', source, 't' || (doc_id // 1000), 'h' || (doc_id // 20), 'f' || doc_id) path, regexp_split_to_array(coalesce(text, ''), '{CUT}') parts from documents),
-s as (select doc_id, path, parts[1] = u header_first, u header, i from (select doc_id, path, parts, unnest(parts) u, generate_subscripts(parts, 1) i from d) where regexp_matches(u, '{CUE}')),
+s as (select doc_id, path, parts[1] = u header_first, u header, i from (select doc_id, path, parts, unnest(parts) u, generate_subscripts(parts, 1) i from d) where regexp_matches(u, '{SQL_CUE}')),
 h as (select header, count(*) uses from s group by header),
 t as (select header, uses, term, count(*) tf from (select header, uses, unnest(regexp_extract_all(lower(header), '{TOKEN}')) term from h) group by all),
 n as (select coalesce(sum(uses), 0) total from h), f as (select term, sum(uses) df from t group by term),

@@ -460,6 +460,17 @@ def test_licences(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_every_licence_line_of_the_fixture_is_found(spark):
+    lines = {
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0", "All rights reserved.": "Proprietary", "Released under the MIT License.": "MIT",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+    }
+    rows = [(i, f"d/f{i}", f"{prose(20)}\n{x}\n{prose(9)}") for i, x in enumerate(lines)] + [(9, "d/f9", "Released under the MIT License.\nAll rights reserved."), (10, "d/f10", prose(20))]
+    got = {r.doc_id: (r.licence, r.how) for r in licences.licences(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert [got[i] for i in range(len(lines))] == [(x, "header") for x in lines.values()]
+    assert got[9] == ("MIT", "header") and got[10][0] != "Proprietary"
+
+
 def test_blobs_cover_rows():
     column = pa.array(["a", None, "", "é" * 10, "x" * 50, "b"])
     got = b"".join(d.tobytes() for _, _, d, _ in blobs(column, 16, 2))
