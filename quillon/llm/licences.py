@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 LEAST = 0.6
 CUE = r"(?i)licen[cs]|copyright|copyleft|permission is|redistribution|warrant(y|ies)|spdx|public domain|rights reserved"
 CUT = r"\n|\. "
+NAMED = r"(?i)(^|/)(licen[cs]e|copying)([._-][^/]*)?$"
 TOKEN = r"[a-z0-9]+(?:[.\-][a-z0-9]+)*"
 
 #: SPDX names and usual sentences of headers and licence files.
@@ -71,7 +72,7 @@ def match(headers: DataFrame, least: float = LEAST) -> DataFrame:
 def licences(files: DataFrame, key: str = "doc_id", path: str = "path", text: str = "text", least: float = LEAST) -> DataFrame:
     """(doc_id, path, licence, score, how, origin) for each row.
 
-    A file with a matching header has that licence (of several the best score, then the first name; a reservation of rights, Proprietary, only where no licence is named, as licence texts hold it too): ``how`` is header. A file that opens with a matching header is its directory's licence file; of several the one of the smallest path, then key. Other files inherit from the nearest directory above them that has a licence file: ``inherited``, with that directory as ``origin``; else ``none``.
+    A file with a matching header has that licence (of several the best score, then the first name; a reservation of rights, Proprietary, only where no licence is named, as licence texts hold it too): ``how`` is header. A file that opens with a matching header, or is named LICENSE or COPYING and has one, is its directory's licence file; of several the one of the smallest path, then key. Other files inherit from the nearest directory above them that has a licence file: ``inherited``, with that directory as ``origin``; else ``none``.
     Paths are slash-separated; null or empty ones have no directory, as have names without a slash. Null texts have no header. Repeated rows give repeated results. Equal headers are matched once, so a very common line costs a count; the join to directories is by equality of paths, an ancestor each."""
     rows = scan(files.select(F.col(key).alias("doc_id"), F.col(path).alias("path"), F.col(text).alias("text")), least).drop("text")
     single = rows.where(F.size("_headers") > 0).select("doc_id", "path", "_opens", F.posexplode("_headers").alias("at", "header"))
@@ -80,7 +81,7 @@ def licences(files: DataFrame, key: str = "doc_id", path: str = "path", text: st
     found = single.join(matched, "header").groupBy("doc_id", "path").agg(
         F.min(F.struct(reserved, (-F.col("score")).alias("s"), F.col("licence"))).alias("best"), F.min(F.when(F.col("_opens") & (F.col("at") == 0), F.struct((-F.col("score")).alias("s"), F.col("licence")))).alias("file")
     )
-    found = found.select("doc_id", "path", "best.licence", (-F.col("best.s")).alias("score"), F.col("file.licence").alias("opening"))
+    found = found.select("doc_id", "path", "best.licence", (-F.col("best.s")).alias("score"), F.coalesce("file.licence", F.when(F.col("path").rlike(NAMED), F.col("best.licence"))).alias("opening"))
     folder = lambda p: F.when(F.instr(p, "/") > 0, F.regexp_replace(p, "/[^/]*$", ""))
     files_ = found.where("opening is not null").select(folder(F.col("path")).alias("origin"), "path", "doc_id", "opening").where("origin is not null")
     folders = files_.groupBy("origin").agg(F.min(F.struct("path", "doc_id", "opening")).alias("f")).select("origin", F.col("f.opening").alias("inherited"))
@@ -95,10 +96,14 @@ def licences(files: DataFrame, key: str = "doc_id", path: str = "path", text: st
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """The documents as files of their source's tree, by thousands and hundreds of their numbers."""
+    """The documents as files of their source's tree, at its thousands, hundreds or twenties by turns of their numbers. Those with a cue stand as LICENSE files of a thousand or a hundred, so that files beside and below inherit from the nearest."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    path = F.concat_ws("/", F.col("source"), F.concat(F.lit("t"), F.expr("doc_id div 1000")), F.concat(F.lit("h"), F.expr("doc_id div 20")), F.concat(F.lit("f"), F.col("doc_id")))
-    return licences(docs.select("doc_id", "text", path.alias("path")))
+    step = lambda name, n: F.concat(F.lit(name), F.expr(f"doc_id div {n}"))
+    cued = F.coalesce(F.col("text").rlike(CUE), F.lit(False))
+    depth = F.when(F.col("cued"), F.expr("doc_id % 2")).otherwise(F.expr("doc_id div 3 % 3"))
+    name = F.concat(F.when(F.col("cued"), "LICENSE.").otherwise("f"), F.col("doc_id"))
+    path = F.concat_ws("/", F.col("source"), step("t", 1000), F.when(F.col("depth") > 0, step("h", 100)), F.when(F.col("depth") > 1, step("g", 20)), name)
+    return licences(docs.select("doc_id", "text", "source", cued.alias("cued")).withColumn("depth", depth).select("doc_id", "text", path.alias("path")))
 
 
 def _sql() -> str:

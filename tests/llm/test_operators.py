@@ -471,6 +471,24 @@ def test_every_licence_line_of_the_fixture_is_found(spark):
     assert got[9] == ("MIT", "header") and got[10][0] != "Proprietary"
 
 
+def test_licence_query_inherits_from_nearest_directory(spark, tmp_path):
+    mit, gpl = "words\nReleased under the MIT License.\n", "words\nThis work is licensed under the GNU General Public License, version 3.\n"
+    texts = {2: mit, 1: gpl, 500: "Some words", 6: "in the hundred, a twenty below", 7: None, 8: "", 9: "of the thousand", 300: "x", 1500: "elsewhere"}
+    spark.createDataFrame([(i, t, "other" if i == 300 else "src") for i, t in texts.items()], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in licences.query(spark, str(tmp_path)).collect()}
+    files = {i: (r.path, t) for (i, t), r in zip(sorted(texts.items()), [got[i] for i in sorted(texts)], strict=True)}
+    lines = {"src/t0": "MIT", "src/t0/h0": "GPL-3.0"}
+    assert (got[2].path, got[1].path) == ("src/t0/LICENSE.2", "src/t0/h0/LICENSE.1") and {r.path.count("/") for r in got.values()} == {2, 3, 4}
+    for i, (path, text) in files.items():
+        if text in (mit, gpl):
+            assert got[i].how == "header"
+            continue
+        above = path.split("/")[:-1]
+        near = next((d for n in range(len(above), 0, -1) if (d := "/".join(above[:n])) in lines), None)
+        assert (got[i].licence, got[i].how, got[i].origin) == (lines.get(near), "inherited" if near else "none", near)
+    assert {r.origin for r in got.values()} == {None, "src/t0", "src/t0/h0"}
+
+
 def test_blobs_cover_rows():
     column = pa.array(["a", None, "", "é" * 10, "x" * 50, "b"])
     got = b"".join(d.tobytes() for _, _, d, _ in blobs(column, 16, 2))
