@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Roller, Scratch, blobs, components, mix
@@ -14,8 +12,6 @@ from .common import Roller, Scratch, blobs, components, mix
 WORDS = 5
 CHUNKS, SYMBOLS, BITS = 7, 4, 16  # a signature: 7 longs of 4 symbols of 16 bits
 ERRORS = 1  # wrong symbols that a chunk may have
-#: By pigeonhole, signatures of at most this many different symbols agree in a chunk but for ERRORS symbols.
-DISTANCE = CHUNKS * (ERRORS + 1) - 1
 TIGHT = 5
 BLOCK = 8192  # members of a bucket's block
 ROWS = 1024  # documents of a cluster's block
@@ -119,12 +115,6 @@ def sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")).mapInArrow(run, "id long, x binary")
 
 
-def differing(a: str, b: str) -> Column:
-    """Count of different symbols of two signatures."""
-    lanes = [F.when(F.shiftrightunsigned(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}")), BITS * j).bitwiseAND(F.lit((1 << BITS) - 1)) != 0, 1).otherwise(0) for s in CHUNK_NAMES for j in range(SYMBOLS)]
-    return reduce(lambda x, y: x + y, lanes)
-
-
 def keys(reps: DataFrame) -> DataFrame:
     """(key, rep): for each chunk, its symbols without one, for each choice of that one."""
     masks = [~(((1 << BITS) - 1) << (BITS * j)) & ((1 << 64) - 1) for j in range(SYMBOLS)]
@@ -153,7 +143,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, scratch: Scratch, percent: int) -
 def rest(multi: DataFrame, reps: DataFrame, labels: DataFrame, percent: int, leaders: bool) -> DataFrame:
     """Edges (a, b) among members of buckets that hold several components.
 
-    ``leaders``: of members alike within TIGHT symbols, the links to their first. Otherwise a forest that spans all pairs of different components whose signatures and sizes allow a link: as many edges as members at most, however many such pairs there are. A bucket's members of its smallest member's component are dealt over blocks and the others go to each, as only pairs with one of the others are looked for."""
+    ``leaders``: of members alike within TIGHT symbols, the links to their first. Otherwise a forest that spans all pairs of different components whose sizes allow a link: as many edges as members at most, however many such pairs there are. A bucket's members of its smallest member's component are dealt over blocks and the others go to each, as only pairs with one of the others are looked for."""
     named = multi.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("label", F.coalesce("component", "rep"))
     kept = named.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m"), F.count("*").alias("size"), F.min(F.struct("rep", "label")).alias("hub")).where("l <> m").select("key", "size", F.col("hub.label").alias("main"))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -169,8 +159,9 @@ def rest(multi: DataFrame, reps: DataFrame, labels: DataFrame, percent: int, lea
         for i in np.arange(len(rep)) if leaders else np.flatnonzero(~main):
             if leaders and done[i]:
                 continue
-            at = alike(s, n, label, i, s, n, label, percent, TIGHT if leaders else DISTANCE)
+            at = alike(n, label, i, n, label, percent)
             if leaders:
+                at = at[(s[at] != s[i]).sum(1) <= TIGHT]
                 at = at[~done[at] & (at > i)]
                 done[at] = True
                 tree[at] = i
@@ -183,16 +174,20 @@ def rest(multi: DataFrame, reps: DataFrame, labels: DataFrame, percent: int, lea
     return wide.groupBy("key", "block").applyInArrow(run, "a long, b long").distinct()
 
 
-def alike(s, n, label, i, others, sizes, labels, percent: int, most: int) -> np.ndarray:
-    """The others of another component that may link with document ``i`` by size and by at most so many different symbols."""
-    at = np.flatnonzero((labels != label[i]) & (100 * np.minimum(sizes, n[i]) >= percent * np.maximum(sizes, n[i])))
-    return at[(others[at] != s[i]).sum(1) <= most]
+def alike(n, label, i, sizes, labels, percent: int) -> np.ndarray:
+    """The others of another component that may link with document ``i`` by size."""
+    return np.flatnonzero((labels != label[i]) & (100 * np.minimum(sizes, n[i]) >= percent * np.maximum(sizes, n[i])))
+
+
+def meeting(s: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which of the other signatures share a key with ``s``: a chunk agrees but for ERRORS symbols."""
+    return ((others != s).reshape(-1, CHUNKS, SYMBOLS).sum(2) <= ERRORS).any(1)
 
 
 def confirm_clusters(forest: DataFrame, reps: DataFrame, labels: DataFrame, docs: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """Links (a, b) among the clusters that a forest spans, enough of them to join all that full sets join.
 
-    Each member's set goes to its cluster's tasks: those outside the cluster's largest component, in blocks, against all members, in blocks. A task compares full sets where signatures and sizes allow a link and the two are not joined yet, and returns only links that join components."""
+    Each member's set goes to its cluster's tasks: those outside the cluster's largest component, in blocks, against all members, in blocks. A task compares full sets where the two share a key, sizes allow a link and they are not joined yet, and returns only links that join components."""
     cluster = components(forest, scratch).withColumnsRenamed({"id": "rep", "component": "cluster"})
     member = scratch.save(cluster.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("component", "rep")).drop("component"))
     parts = member.groupBy("cluster", "label").agg(F.count("*").alias("k"))
@@ -216,7 +211,8 @@ def confirm_clusters(forest: DataFrame, reps: DataFrame, labels: DataFrame, docs
         sc, nc, now = s[column], n[column], label.copy()
         out = []
         for i in np.flatnonzero(is_row):
-            for j in column[alike(s, n, now, i, sc, nc, now[column], percent, DISTANCE)]:
+            at = alike(n, now, i, nc, now[column], percent)
+            for j in column[at[meeting(s[i], sc[at])]]:
                 if now[i] != now[j] and linked(x[i], x[j], percent):
                     out.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
                     now[now == max(now[i], now[j])] = min(now[i], now[j])
@@ -240,7 +236,7 @@ def link(docs: DataFrame, scratch: Scratch, percent: int = 75, key: str = "doc_i
 
     Texts null, empty or of white space have empty sets and link with nothing; under 5 words the whole sequence is the one shingle. Rows of equal sets are one class, its smallest doc_id standing for it. Rows that repeat a doc_id share its component; a null doc_id links with nothing, has a null component and is kept.
 
-    Of all pairs within the signature distance every one shares a key. A pair at the similarity bound is within reach with probability 1 - 9e-5 (each chunk of 4 symbols has at most one wrong with 0.738; 7 chunks), a pair at 0.8 with 1 - 6e-6. Links are confirmed on full sets: first each member of a bucket with its smallest, which joins groups of copies without pairs of members; then, in buckets that still hold several components, tight neighbours; then what is left in different components, in tasks that hold the full sets and return only links that join."""
+    A pair that shares a key is compared, however far its signatures are, if sizes allow a link. A pair at the similarity bound shares one with probability 1 - 9e-5 (each chunk of 4 symbols has at most one wrong with 0.738; 7 chunks), a pair at 0.8 with 1 - 6e-6; all pairs of at most 13 different symbols do. Links are confirmed on full sets: first each member of a bucket with its smallest, which joins groups of copies without pairs of members; then, in buckets that still hold several components, tight neighbours; then what is left in different components, in tasks that hold the full sets and return only links that join."""
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     base = scratch.save(sketch(docs))
     reps = base.where("n > 0 and doc_id is not null").groupBy("n", "c1", "c2").agg(F.min("doc_id").alias("rep"), *[F.first(s).alias(s) for s in CHUNK_NAMES])
@@ -250,8 +246,8 @@ def link(docs: DataFrame, scratch: Scratch, percent: int = 75, key: str = "doc_i
     hubs = all_keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("members")).where("members > 1")
     multi = scratch.save(all_keys.join(hubs, "key").select("key", "rep", "hub"))
     star = multi.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    p, q = (reps.select(F.struct(*CHUNK_NAMES, "n").alias(x), F.col("rep").alias(k)) for x, k in (("p", "a"), ("q", "b")))
-    star = star.join(q, "b").join(p, "a").where((differing("p", "q") <= DISTANCE) & (100 * F.least("p.n", "q.n") >= percent * F.greatest("p.n", "q.n"))).select("a", "b")
+    p, q = (reps.select(F.col("n").alias(x), F.col("rep").alias(k)) for x, k in (("p", "a"), ("q", "b")))
+    star = star.join(q, "b").join(p, "a").where(100 * F.least("p", "q") >= percent * F.greatest("p", "q")).select("a", "b")
     tested = scratch.save(star)
     good = confirm(tested, docs, scratch, percent)
     labels = components(good, scratch)

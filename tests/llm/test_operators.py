@@ -152,6 +152,26 @@ def test_near_duplicates_of_a_large_group(spark, rate):
     assert got == linked_components(rows)
 
 
+def test_near_duplicates_of_far_signatures_that_share_a_key(spark):
+    """Pairs at the bound exactly whose signatures differ in over 13 of 28 symbols, by seeds."""
+    from quillon.llm.common import Roller
+
+    far = [89, 111, 484, 573]
+    rows, n = [], minhash.CHUNKS * minhash.SYMBOLS
+    for seed in far:
+        rng = random.Random(seed)
+        words = lambda k, rng=rng: " ".join(f"w{rng.randint(0, 10**9)}" for _ in range(k))
+        base = words(604)
+        rows += [(2 * seed, base + " " + words(100)), (2 * seed + 1, base + " " + words(100))]
+    rows = [(i, t, "en", "s", 0.0, "k") for i, t in rows]
+    [(_, _, data, off)] = blobs(pa.array([r[1] for r in rows], pa.large_string()))
+    s = minhash.signatures(*minhash.shingle_sets(data, off, Roller()))[0].view(np.uint16).reshape(len(rows), n)
+    assert all((s[i] != s[i + 1]).sum() > 13 and minhash.meeting(s[i], s[i + 1 : i + 2]).all() for i in range(0, len(rows), 2))
+    assert not minhash.meeting(s[0], s[2:3]).any()
+    got = {r.doc_id: r.component_id for r in minhash.link(spark.createDataFrame(rows, DOCS), Scratch(spark)).collect()}
+    assert got == linked_components(rows) and all(got[2 * x + 1] == 2 * x for x in far)
+
+
 def test_near_duplicates_edge_cases(spark, none):
     assert minhash.link(none, Scratch(spark)).count() == 0
     kept = minhash.keep_one(spark.createDataFrame(corpus(), DOCS), Scratch(spark)).collect()
