@@ -151,6 +151,31 @@ def test_aligner_finds_spliced_clipped_and_changed_reads():
     assert got[8][0][3].endswith("S") and got[8][0][1] == 2951
 
 
+def test_aligner_joins_repeats_near_anchors_and_long_introns():
+    rng = random.Random(17)
+    exon, unique, far = genome(rng, 40), genome(rng, 40), genome(rng, 50)
+    copies = "".join(genome(rng, 30) + exon for _ in range(80))
+    first = genome(rng, 500) + unique + "GT" + genome(rng, 996) + "AG" + exon + genome(rng, 200_000) + copies
+    second = genome(rng, 300) + far + "GT" + genome(rng, 299_996) + "AG" + genome(rng, 500)
+    ix = A.build([("c1", first), ("c2", second)])
+    at = second.index(far)
+    reads = [unique + exon, far + second[at + 50 + 300_000 : at + 100 + 300_000], exon]
+    got = A.align_batch(ix, reads)
+    assert [h[:4] for h in got[0]] == [("c1", 501, "+", "40M1000N40M")]
+    assert [h[:4] for h in got[1]] == [("c2", 301, "+", "50M300000N50M")] and got[2] == []
+
+
+def test_windows_bound_seeds_by_window():
+    rng = random.Random(18)
+    word = [genome(rng, 20) for _ in range(2)]
+    text = genome(rng, 400) + (word[0] + genome(rng, 9)) * 60 + genome(rng, 1_000_000) + word[1] + (word[0] + genome(rng, 7)) * 60
+    ix = A.build([("c1", text)])
+    read = A.CODE[np.frombuffer((word[1] + "N" + word[0] + "N" + text[100:140]).encode(), np.uint8)][None]
+    found = A.windows(ix, A.seeds(ix, read, np.array([read.shape[1]]))[0])
+    assert [len(w) for w in found] == [50, 50] and all(w[0][3] and not w[1][3] for w in found)
+    assert found[0][0][2] == 100 and found[1][0][2] == text.index(word[1])
+
+
 def test_suffix_order_of_bases():
     x = np.random.default_rng(1).integers(0, 5, 300).astype(np.uint8)
     raw = x.tobytes()
