@@ -143,16 +143,21 @@ def search(ix: Index, data: np.ndarray, off: np.ndarray) -> list[tuple[int, int,
     return [tuple(x) for x in merged]
 
 
+def blocks(benchmark: DataFrame, rate: float):
+    """Indexes of the benchmark's items, each of about ``BLOCK`` bytes of text; one at least."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("i"), F.col("text").cast("binary").alias("t")).where("i is not null and octet_length(t) > 0").distinct()
+    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    n = max(1, -(-total // BLOCK))
+    for b in range(n):
+        yield index(sorted((r.i, bytes(r.t)) for r in items.where(F.pmod(F.xxhash64("t"), F.lit(n)) == b).collect()), rate)
+
+
 def find(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, item_id, start, end, distance): regions of documents within ``rate`` edits a byte of a benchmark segment, case and kinds of white space aside; start and end are byte offsets of the searched region.
 
     Null or empty texts and items match nothing; repeated rows give repeated results; empty tables give none. The benchmark is carried to the tasks in blocks of about ``BLOCK`` bytes, each a pass over the documents, so its size needs no bound."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("i"), F.col("text").cast("binary").alias("t")).where("i is not null and octet_length(t) > 0").distinct()
-    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK))
     found = None
-    for b in range(blocks):
-        ix = index(sorted((r.i, bytes(r.t)) for r in items.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == b).collect()), rate)
+    for ix in blocks(benchmark, rate):
 
         def run(batches, ix=ix):
             for batch in batches:
@@ -166,10 +171,22 @@ def find(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, key: str = "
     return found
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
-    """The rows, with all their columns, in which no benchmark segment is found."""
-    hits = find(docs, benchmark, rate).where("doc_id is not null").select("doc_id").distinct()
-    return docs.join(hits, "doc_id", "left_anti").select(docs.columns)
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows, with all their columns, in which no benchmark segment is found: each is judged by its own text, so rows that share a doc_id do not decide for each other. Rows of a null doc_id are kept unjudged."""
+    schema = docs.schema
+    for ix in blocks(benchmark, rate):
+
+        def run(batches, ix=ix):
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for lo, _, data, off in blobs(batch.column(batch.schema.get_field_index(text))):
+                    for r, *_ in search(ix, data, off):
+                        keep[lo + r] = False
+                keep |= np.asarray(batch.column(batch.schema.get_field_index(key)).is_null())
+                yield batch.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(run, schema)
+    return docs
 
 
 def query(spark, sf_dir: str) -> DataFrame:

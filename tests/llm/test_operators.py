@@ -276,6 +276,15 @@ def test_decontamination_finds_edits_and_leaves_clean_texts(spark):
     assert decontaminate.find(docs.limit(0), bench).count() == 0 and decontaminate.find(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_judges_rows_that_share_a_doc_id(spark):
+    rng = random.Random(14)
+    item, clean = (" ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(20)) for _ in range(2))
+    rows = [(1, clean, "en", "s", 0.0, "a"), (1, "x " + item, "en", "s", 0.0, "b"), (2, item, "en", "s", 0.0, "c"), (3, None, "en", "s", 0.0, "d"), (1, clean, "en", "s", 0.0, "e")]
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    kept = decontaminate.drop_contaminated(spark.createDataFrame(rows, DOCS), bench)
+    assert sorted(tuple(r) for r in kept.collect()) == sorted((r for r in rows if r[5] in "ade"), key=lambda r: (r[0], r[1] or "", r[5]))
+
+
 def test_banded_alignment_matches_full():
     rng = random.Random(8)
     for _ in range(60):
