@@ -1,10 +1,19 @@
 """Exact removal of long repeated byte strings, by suffix arrays of shards.
 
-A window is a string of LENGTH bytes. Its anchor is the K-byte gram of least hash in it (the last of equal ones), which depends on the window's bytes alone: equal windows have equal anchors at equal places. Consecutive windows of one anchor occurrence form a context, the bytes that they cover. So windows need comparing only among the contexts of one anchor:
-
-* an anchor that occurs once repeats nothing; one whose contexts are all equal repeats them whole (counts, before any text moves);
-* the other anchors' distinct contexts are dealt over shards, each of which sorts its suffixes by Larsson-Sadakane refinement, finds common prefixes by Kasai's method, and so the windows that occur twice;
-* an anchor of many different contexts is split over shards of its own. Each hands on the sorted fingerprints of its windows by range, ranges of all shards are merged by binary search, and each shard looks its windows up in what the merge found."""
+A window is a string of ``length`` bytes. Its anchor is the K-byte gram of least hash in it (the last of equal
+ones), which depends on the window's bytes alone: equal windows have equal anchors at equal places. Consecutive
+windows of one anchor occurrence form a context, the bytes that they cover. So windows need comparing only among
+the contexts of one anchor:
+
+* an anchor that occurs once repeats nothing; one whose contexts are all equal, by 128 bits of hash, repeats them
+  whole: a suffix array of that one string, counted n times, would say the same, so no text of it moves;
+* the other anchors' distinct contexts are dealt over shards, each of which sorts its suffixes by Larsson-Sadakane
+  refinement, finds common prefixes by Kasai's method, and so the windows that occur twice;
+* where only the first document of a string keeps it, contexts of later documents go whole, and of a context's
+  first document the windows that an earlier document has;
+* an anchor's contexts are dealt over shards by PART, so one of many contexts lies in several. Of such an anchor
+  each shard hands on the sorted fingerprints of its windows by range; the ranges of all shards are merged by binary
+  search, and each shard looks its windows up in what the merge found."""
 
 from __future__ import annotations
 
@@ -20,7 +29,7 @@ from .common import Roller, Scratch, blobs
 
 LENGTH, K = 400, 32
 SHARD = 900_000  # bytes of contexts in a shard
-HOT = 1200  # different contexts of an anchor that one shard takes
+PART = 1200  # different contexts of an anchor that one shard takes
 SLICE = 4 << 20
 LOW = np.uint64((1 << 24) - 1)
 
@@ -29,17 +38,17 @@ LOW = np.uint64((1 << 24) - 1)
 
 
 def anchors(data: np.ndarray, off: np.ndarray, roller: Roller, length: int = LENGTH, k: int = K) -> tuple[np.ndarray, ...]:
-    """(row, h, c, s, e) of each context: its anchor's hash, a hash of its bytes, its first and last window start in the row."""
+    """(row, h, c, d, s, e) of each context: its anchor's hash, two hashes of its bytes, its first and last window start in the row."""
     if len(data) > 2 * SLICE and len(off) == 2:  # slices of one long row overlap by length - 1 bytes
         parts = []
         for lo in range(0, len(data) - length + 1, SLICE):
-            row, h, c, s, e = anchors(data[lo : lo + SLICE + length - 1], np.array([0, min(SLICE + length - 1, len(data) - lo)]), roller, length, k)
-            parts.append((row, h, c, s + lo, e + lo))
+            row, h, c, d, s, e = anchors(data[lo : lo + SLICE + length - 1], np.array([0, min(SLICE + length - 1, len(data) - lo)]), roller, length, k)
+            parts.append((row, h, c, d, s + lo, e + lo))
         return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
     n = len(data) - length + 1
     none = np.zeros(0, np.int64)
     if n <= 0:
-        return none, none.astype(np.uint64), none.astype(np.uint64), none, none
+        return none, none, none, none, none, none
     g = roller.windows(roller.prefix(data), k)
     v = (g & ~LOW) | (LOW - np.arange(len(g), dtype=np.uint64))
     w = length - k + 1
@@ -57,10 +66,11 @@ def anchors(data: np.ndarray, off: np.ndarray, roller: Roller, length: int = LEN
     e = np.append(s[1:], n) - 1
     s, e = s[ok[s]], e[ok[s]]
     mv = memoryview(np.ascontiguousarray(data))
-    digest = xxhash.xxh3_64_intdigest
-    c = np.fromiter((digest(mv[a:b]) for a, b in zip(s.tolist(), (e + length).tolist(), strict=True)), np.uint64, len(s))
+    digest = xxhash.xxh3_128_digest
+    both = b"".join([digest(mv[a:b]) for a, b in zip(s.tolist(), (e + length).tolist(), strict=True)])
+    c, d = np.frombuffer(both, np.int64).reshape(-1, 2).T
     row = np.searchsorted(off, s, "right") - 1
-    return row, g[at[s]], c, s - off[row], e - off[row]
+    return row, g[at[s]].view(np.int64), c, d, s - off[row], e - off[row]
 
 
 # --- suffix arrays -------------------------------------------------------------------------------
@@ -147,8 +157,8 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, rank: np.ndarray, begin: n
     return out
 
 
-def repeated_windows(texts: list[bytes], weights: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, begin, flags): flags over all bytes mark each window start whose string starts elsewhere too; a text of weight 2 is itself two occurrences."""
+def repeated_windows(texts: list[bytes], weights: np.ndarray, length: int = LENGTH, owners: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, begin, flags): flags over all bytes mark each window start whose string starts elsewhere too; a text of weight 2 is itself two occurrences. With ``owners``, a number for each text, those whose string starts in a text of a smaller one."""
     size = np.array([len(t) for t in texts], np.int64)
     begin = np.cumsum(size) - size
     text = np.frombuffer(b"".join(texts), np.uint8)
@@ -158,83 +168,109 @@ def repeated_windows(texts: list[bytes], weights: np.ndarray, length: int = LENG
     inside = np.arange(len(text)) - begin[owner] <= size[owner] - length
     group = np.cumsum(lcp < length)
     mine = inside[sa]
-    total = np.bincount(group[mine], weights=weights[owner[sa[mine]]], minlength=group[-1] + 1 if len(group) else 1)
     flags = np.zeros(len(text), bool)
-    flags[sa] = mine & (total[group] >= 2)
+    if owners is None:
+        total = np.bincount(group[mine], weights=weights[owner[sa[mine]]], minlength=group[-1] + 1 if len(group) else 1)
+        flags[sa] = mine & (total[group] >= 2)
+    elif len(text):
+        least, own = np.full(group[-1] + 1, len(owners)), owners[owner[sa]]
+        np.minimum.at(least, group[mine], own[mine])
+        flags[sa] = mine & (own > least[group])
     return text, begin, flags
 
 
-def _contexts(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """h, c, n, texts of a group, a repeated context once."""
-    h, c, n = (t.column(x).combine_chunks().to_numpy() for x in ("h", "c", "n"))
-    _, first = np.unique(np.stack([h, c]), axis=1, return_index=True)
-    first.sort()
-    x = t.column("x").combine_chunks()
-    return h[first], c[first], n[first], [x[int(i)].as_py() for i in first]
-
-
-RUNS = "h long, c long, f int, l int"
+RUNS = "h long, c long, d long, f int, l int"
+SHARDS = RUNS + ", sub int, range int, prints binary"
 
 
-def _runs(h: np.ndarray, c: np.ndarray, begin: np.ndarray, flags: np.ndarray) -> pa.Table:
+def _runs(h: np.ndarray, c: np.ndarray, d: np.ndarray, begin: np.ndarray, flags: np.ndarray) -> dict[str, np.ndarray]:
     """First and last flagged start of each run, in its context."""
     edge = np.diff(np.concatenate(([0], flags.astype(np.int8), [0])))
     a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
     # a context's last length - 1 bytes are never flagged, so runs stay in theirs
     i = np.searchsorted(begin, a, "right") - 1
-    return pa.table({"h": h[i], "c": c[i], "f": (a - begin[i]).astype(np.int32), "l": (b - begin[i]).astype(np.int32)})
-
-
-def _shard(t: pa.Table) -> pa.Table:
-    h, c, n, texts = _contexts(t)
-    _, begin, flags = repeated_windows(texts, n)
-    return _runs(h, c, begin, flags)
-
-
-def _prints(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts of windows in the joined texts, their fingerprints, begin)."""
-    size = np.array([len(x) for x in texts], np.int64)
-    begin = np.cumsum(size) - size
-    roller = Roller()
-    all_ = roller.windows(roller.prefix(np.frombuffer(b"".join(texts), np.uint8)), LENGTH)
-    owner = np.repeat(np.arange(len(texts)), size)[: len(all_)]
-    at = np.flatnonzero(np.arange(len(all_)) - begin[owner] <= size[owner] - LENGTH)
-    return at, all_[at], begin
-
-
-def _hand_on(t: pa.Table) -> pa.Table:
-    """Sorted fingerprints of a split anchor's shard, by range."""
-    h, sub, subs = (t.column(x)[0].as_py() for x in ("h", "sub", "subs"))
-    prints = np.unique(_prints(_contexts(t)[3])[1])
-    width = (1 << 64) // subs + 1
-    ranges = (prints // np.uint64(width)).astype(np.int64)
-    cuts = np.searchsorted(ranges, np.arange(subs + 1))
-    some = [i for i in range(subs) if cuts[i] < cuts[i + 1]]
-    return pa.table({"h": pa.array([h] * len(some), pa.int64()), "sub": pa.array([sub] * len(some), pa.int32()), "range": pa.array(some, pa.int32()), "prints": pa.array([prints[cuts[i] : cuts[i + 1]].tobytes() for i in some], pa.binary())})
-
-
-def _merge(t: pa.Table) -> pa.Table:
-    """Of each shard's run, what another shard's run holds too, by binary search."""
-    runs = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("prints").combine_chunks()]
-    all_ = np.sort(np.concatenate(runs))
-    twice = all_[1:][all_[1:] == all_[:-1]]
-    out = []
-    for r in runs:
-        at = np.minimum(np.searchsorted(twice, r), max(len(twice) - 1, 0))
-        out.append(r[twice[at] == r].tobytes() if len(twice) else b"")
-    return pa.table({"h": t.column("h"), "sub": t.column("sub"), "prints": pa.array(out, pa.binary())})
-
-
-def _look_up(t: pa.Table, found: pa.Table) -> pa.Table:
-    if not t.num_rows:
-        return pa.table({"h": pa.array([], pa.int64()), "c": pa.array([], pa.int64()), "f": pa.array([], pa.int32()), "l": pa.array([], pa.int32())})
-    h, c, n, texts = _contexts(t)
-    _, begin, flags = repeated_windows(texts, n)
-    at, prints, _ = _prints(texts)
-    known = np.sort(np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_buffer(), np.uint64) for x in found.column("prints").combine_chunks())]))
-    if len(known):
-        flags[at[known[np.minimum(np.searchsorted(known, prints), len(known) - 1)] == prints]] = True
-    return _runs(h, c, begin, flags)
+    return {"h": h[i], "c": c[i], "d": d[i], "f": (a - begin[i]).astype(np.int32), "l": (b - begin[i]).astype(np.int32)}
+
+
+def _shard(length: int, first: bool):
+    """A task's function: the runs of a shard's repeated windows and, for each part of an anchor that lies in several
+    shards, its windows' sorted fingerprints by range (``range`` 0 and on), each with the first document that holds
+    it, and all of them in order (``range`` -1)."""
+
+    def run(t: pa.Table) -> pa.Table:
+        h, c, d, n, sub, subs, ids, ts = (t.column(x).combine_chunks().to_numpy() for x in ("h", "c", "d", "n", "sub", "subs", "id", "t"))
+        texts = [v.as_buffer().to_pybytes() for v in t.column("x").combine_chunks()]
+        place = np.empty(len(texts), np.int64)
+        order = np.lexsort((ts, ids))
+        place[order] = np.cumsum(np.concatenate(([False], (np.diff(ids[order]) != 0) | (np.diff(ts[order]) != 0))))
+        text, begin, flags = repeated_windows(texts, n, length, place if first else None)
+        runs = pa.table(_runs(h, c, d, begin, flags))
+        size = np.array([len(v) for v in texts], np.int64)
+        rows, roller = [], Roller()
+        for key in sorted({(int(h[i]), int(sub[i]), int(subs[i])) for i in np.flatnonzero(subs > 1)}):
+            own = np.flatnonzero((h == key[0]) & (sub == key[1]))
+            own = own[np.argsort(place[own], kind="stable")]
+            prints = [roller.windows(roller.prefix(text[begin[i] : begin[i] + size[i]]), length) for i in own]
+            held = np.concatenate([[len(own)], c[own], d[own], [len(p) for p in prints]]).astype(np.int64)
+            rows.append((key[0], key[1], -1, held.tobytes() + np.concatenate(prints).tobytes()))
+            each, at = np.unique(np.concatenate(prints), return_index=True)  # of equal ones the first document's
+            doc = own[np.repeat(np.arange(len(own)), [len(p) for p in prints])[at]]
+            cuts = np.searchsorted((each // np.uint64((1 << 64) // key[2] + 1)).astype(np.int64), np.arange(key[2] + 1))
+            for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+                if a < b:
+                    rows.append((key[0], key[1], i, each[a:b].tobytes() + ids[doc[a:b]].tobytes() + ts[doc[a:b]].tobytes()))
+        kinds = {"h": pa.int64(), "sub": pa.int32(), "range": pa.int32(), "prints": pa.binary()}
+        handed = pa.table({k: pa.array([r[i] for r in rows], kind) for i, (k, kind) in enumerate(kinds.items())})
+        out = pa.concat_tables([runs, handed], promote_options="default")
+        return out.select(["h", "c", "d", "f", "l", "sub", "range", "prints"])
+
+    return run
+
+
+def _merge(first: bool):
+    """A task's function: of each shard's run, the fingerprints that another shard's run holds too, or those that
+    another holds for an earlier document, by binary search in all runs' merged order."""
+
+    def run(t: pa.Table) -> pa.Table:
+        runs = [np.frombuffer(x.as_buffer(), np.int64).reshape(3, -1) for x in t.column("prints").combine_chunks()]
+        prints, ids, ts = np.concatenate(runs, axis=1)
+        prints = prints.view(np.uint64)
+        order = np.lexsort((ts, ids, prints))
+        merged = prints[order]
+        head = order[np.searchsorted(merged, prints, "left")]
+        if first:
+            cut = (ids != ids[head]) | (ts != ts[head])
+        else:
+            cut = np.searchsorted(merged, prints, "right") - np.searchsorted(merged, prints, "left") > 1
+        at = np.cumsum([0, *(r.shape[1] for r in runs)])
+        out = [prints[a:b][cut[a:b]].tobytes() for a, b in zip(at, at[1:], strict=False)]
+        return pa.table({"h": t.column("h"), "sub": t.column("sub"), "prints": pa.array(out, pa.binary())})
+
+    return run
+
+
+def _look_up(length: int):
+    """A task's function: the runs of a part's windows that the merge found in another part."""
+
+    def run(own: pa.Table, found: pa.Table) -> pa.Table:
+        none = np.zeros(0, np.int64)
+        parts = [_runs(none, none, none, none, np.zeros(0, bool))]
+        if own.num_rows and found.num_rows:
+            known = np.sort(np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in found.column("prints").combine_chunks()]))
+            for h, raw in zip(own.column("h").to_pylist(), own.column("prints").combine_chunks(), strict=True):
+                held = np.frombuffer(raw.as_buffer(), np.int64)
+                m = int(held[0])
+                c, d, size = held[1 : m + 1], held[m + 1 : 2 * m + 1], held[2 * m + 1 : 3 * m + 1]
+                prints = held[3 * m + 1 :].view(np.uint64)
+                # one place between contexts that is never flagged, so that runs end there
+                begin = np.cumsum(size + 1) - size - 1
+                flags = np.zeros(int(size.sum()) + m, bool)
+                at = np.arange(len(prints)) + np.repeat(np.arange(m), size)
+                flags[at] = known[np.minimum(np.searchsorted(known, prints), len(known) - 1)] == prints
+                parts.append(_runs(np.full(m, h), c, d, begin, flags))
+        return pa.table({k: np.concatenate([p[k] for p in parts]) for k in parts[0]})
+
+    return run
 
 
 # --- the operator --------------------------------------------------------------------------------
@@ -246,61 +282,87 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(x).alias("t"), x.alias("x"))
 
 
-def find_repeats(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, t, spans): byte ranges [from, to) of documents that are covered by repeated windows, not yet merged; documents without any are left out. Rows that repeat a document are occurrences of their own."""
+def find_repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, first: bool = False, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, t, spans): byte ranges [from, to) of documents that are covered by repeated windows of ``length`` bytes, not yet merged; documents without any are left out. Rows that repeat a document are occurrences of their own.
+
+    ``first``: only windows that start in an earlier document too, in the order of keys (null first) and then text hashes; rows of one key and text are one document then."""
     x = keyed(docs, key, text)
+    names = ["id", "t", "h", "c", "d", "s", "e"]
 
     def scan(batches):
         roller = Roller()
         for batch in batches:
             for lo, hi, data, off in blobs(batch.column(2)):
-                row, h, c, s, e = anchors(data, off, roller)
+                row, h, c, d, s, e = anchors(data, off, roller, length)
                 ids, ts = (batch.column(i).slice(lo, hi - lo).take(pa.array(row)) for i in (0, 1))
-                yield pa.RecordBatch.from_arrays([ids, ts, pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32))], ["id", "t", "h", "c", "s", "e"])
-
-    seen = scratch.save(x.where(F.octet_length("x") >= LENGTH).mapInArrow(scan, "id long, t long, h long, c long, s int, e int"))
-    kinds = seen.groupBy("h").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("n > 1").select("h", (F.col("lo") != F.col("hi")).alias("mixed"))
-    twice = scratch.save(seen.join(kinds, "h"))
+                rest = [pa.array(np.ascontiguousarray(v)) for v in (h, c, d)] + [pa.array(v.astype(np.int32)) for v in (s, e)]
+                yield pa.RecordBatch.from_arrays([ids, ts, *rest], names)
+
+    seen = scratch.save(x.where(F.octet_length("x") >= length).mapInArrow(scan, "id long, t long, h long, c long, d long, s int, e int"))
+    lows = [f(v).alias(f"{n}{v}") for v in "cd" for n, f in (("lo", F.min), ("hi", F.max))]
+    kinds = seen.groupBy("h").agg(F.count("*").alias("n"), *lows).where("n > 1").select("h", F.expr("loc <> hic or lod <> hid").alias("mixed"))
+    # a table of its own: the join's two sides are then plain exchanges, and Spark splits a frequent anchor's rows
+    twice = scratch.save(seen.join(scratch.save(kinds), "h"))
     scratch.drop(seen)
     mixed = twice.where("mixed")
-    contexts = scratch.save(mixed.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("id", "t", "s", "e")).alias("one")))
-    counts = contexts.groupBy("h").agg(F.count("*").alias("m"), F.sum(F.col("one.e") - F.col("one.s") + LENGTH).alias("bytes"))
-    total, most = counts.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.max("m"), F.lit(0))).first()
-    spans = twice.where("not mixed").select("id", "t", "s", (F.col("e") + LENGTH).alias("e"))
-    if total:
-        want = contexts.select("one.id", "one.t", F.struct("h", "c", "n", "one.s", "one.e").alias("w")).groupBy("id", "t").agg(F.collect_list("w").alias("w"))
-
-        def cut(batches):
-            for batch in batches:
-                h, c, n, out = [], [], [], []
-                texts = batch.column(1).cast(pa.binary())
-                for x, w in zip(texts, batch.column(0), strict=True):
-                    x = x.as_buffer().to_pybytes()
-                    for one in w.as_py():
-                        h.append(one["h"]), c.append(one["c"]), n.append(one["n"]), out.append(x[one["s"] : one["e"] + LENGTH])
-                    if sum(map(len, out[-64:])) > 0 and len(out) > 4000:
-                        yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(c, pa.int64()), pa.array(n, pa.int64()), pa.array(out, pa.binary())], ["h", "c", "n", "x"])
-                        h, c, n, out = [], [], [], []
-                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(c, pa.int64()), pa.array(n, pa.int64()), pa.array(out, pa.binary())], ["h", "c", "n", "x"])
-
-        got = x.join(want.hint("shuffle_hash"), ["id", "t"]).select("w", "x").mapInArrow(cut, "h long, c long, n long, x binary")
-        hot = counts.where(F.col("m") > HOT).select("h", F.ceil(F.col("m") / HOT).cast("int").alias("subs"))
-        shards = max(1, -(-total // SHARD))
-        shard = F.pmod(F.xxhash64("h"), F.lit(shards)).alias("shard")
-        if most <= HOT:
-            runs = got.groupBy(shard).applyInArrow(_shard, RUNS)
-        else:
-            got = scratch.save(got.join(hot, "h", "left").withColumn("sub", F.pmod("c", "subs").cast("int")))
-            split = got.where("subs is not null")
-            runs = got.where("subs is null").select("h", "c", "n", "x").groupBy(shard).applyInArrow(_shard, RUNS)
-            handed = split.groupBy("h", "sub").applyInArrow(_hand_on, "h long, sub int, range int, prints binary")
-            merged = handed.groupBy("h", "range").applyInArrow(_merge, "h long, sub int, prints binary").where("octet_length(prints) > 0")
-            runs = runs.unionAll(split.groupBy("h", "sub").cogroup(merged.groupBy("h", "sub")).applyInArrow(_look_up, RUNS))
-        runs = scratch.save(runs)
-        spans = spans.unionAll(mixed.join(runs, ["h", "c"]).select("id", "t", (F.col("s") + F.col("f")).alias("s"), (F.col("s") + F.col("l") + LENGTH).alias("e")))
+    each = (twice if first else mixed).groupBy("h", "c", "d", "mixed").agg(F.count("*").alias("n"), F.min(F.struct("id", "t", "s", "e")).alias("one"))
+    contexts = scratch.save(each)
+    if first:
+        of = contexts.select("h", "c", "d", F.col("one.id").alias("id1"), F.col("one.t").alias("t1"))
+        twice = scratch.save(twice.join(of, ["h", "c", "d"]).withColumn("own", F.expr("id = id1 and t = t1")).drop("id1", "t1"))
+        mixed, contexts = twice.where("mixed and own"), contexts.where("mixed")
+    counts = scratch.save(contexts.groupBy("h").agg(F.count("*").alias("m"), F.sum(F.col("one.e") - F.col("one.s") + length).alias("bytes")))
+    total = counts.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    shards = max(1, -(-total // SHARD))
+    parts = counts.select("h", F.ceil(F.col("m") / PART).cast("int").alias("subs"))
+    dealt = contexts.join(parts, "h").withColumn("sub", F.pmod("c", "subs").cast("int"))
+    one = F.struct("h", "c", "d", "n", "sub", "subs", "one.s", "one.e").alias("w")
+    want = dealt.select("one.id", "one.t", one).groupBy("id", "t").agg(F.collect_list("w").alias("w"))
+    fields = {"h": pa.int64(), "c": pa.int64(), "d": pa.int64(), "n": pa.int64(), "sub": pa.int32(), "subs": pa.int32()}
+
+    def cut(batches):
+        def packed(rows):
+            arrays = [pa.array([w[k] for w, *_ in rows], kind) for k, kind in fields.items()]
+            rest = [pa.array([r[i] for r in rows], kind) for i, kind in ((1, pa.int64()), (2, pa.int64()), (3, pa.binary()))]
+            return pa.RecordBatch.from_arrays([*arrays, *rest], [*fields, "id", "t", "x"])
+
+        for batch in batches:
+            rows = []
+            ids, ts = (batch.column(i).to_pylist() for i in (2, 3))
+            for x, w, i, t in zip(batch.column(1).cast(pa.binary()), batch.column(0), ids, ts, strict=True):
+                x = x.as_buffer().to_pybytes()
+                for one in w.as_py():
+                    rows.append((one, i, t, x[one["s"] : one["e"] + length]))
+                    if len(rows) > 4000:
+                        yield packed(rows)
+                        rows = []
+            yield packed(rows)
+
+    schema = "h long, c long, d long, n long, sub int, subs int, id long, t long, x binary"
+    got = x.join(want.hint("shuffle_hash"), ["id", "t"]).select("w", "x", "id", "t").mapInArrow(cut, schema)
+    # a repeated row of a document brings its contexts again: the shard takes each once
+    shard = F.pmod(F.xxhash64("h", "sub"), F.lit(shards)).alias("shard")
+    found = scratch.save(got.groupBy(shard).applyInArrow(_once(_shard(length, first)), SHARDS))
+    handed = found.where("range is not null").select("h", "sub", "range", "prints")
+    merged = handed.where("range >= 0").groupBy("h", "range").applyInArrow(_merge(first), "h long, sub int, prints binary").where("octet_length(prints) > 0")
+    later = handed.where("range < 0").groupBy("h", "sub").cogroup(merged.groupBy("h", "sub")).applyInArrow(_look_up(length), RUNS)
+    runs = found.where("range is null").select("h", "c", "d", "f", "l").unionAll(scratch.save(later))
+    end = F.col("s") + F.col("l") + length
+    spans = mixed.join(runs, ["h", "c", "d"]).select("id", "t", (F.col("s") + F.col("f")).alias("s"), end.alias("e"))
+    whole = twice.where("not own" if first else "not mixed").select("id", "t", "s", (F.col("e") + length).alias("e"))
+    spans = spans.unionAll(whole)
     return spans.groupBy("id", "t").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
 
+def _once(run):
+    def first(t: pa.Table) -> pa.Table:
+        names = np.stack([t.column(x).combine_chunks().to_numpy() for x in "hcd"])
+        _, at = np.unique(names, axis=1, return_index=True)
+        return run(t.take(pa.array(np.sort(at))).combine_chunks())
+
+    return first
+
+
 def _merged(spans) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for s, e in sorted((x["s"], x["e"]) for x in spans):
@@ -311,15 +373,15 @@ def _merged(spans) -> list[tuple[int, int]]:
     return out
 
 
-def with_spans(docs: DataFrame, scratch: Scratch, key: str, text: str, rest: list[Column]) -> DataFrame:
-    found = find_repeats(docs, scratch, key, text).hint("shuffle_hash")
+def with_spans(docs: DataFrame, scratch: Scratch, length: int, first: bool, key: str, text: str, rest: list[Column]) -> DataFrame:
+    found = find_repeats(docs, scratch, length, first, key, text).hint("shuffle_hash")
     x = F.coalesce(F.col(text), F.lit(""))
     named = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(x).alias("t"), *rest)
     return named.join(found, ["id", "t"], "left").drop("id", "t")
 
 
-def remove_repeats(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row: what is left of its UTF-8 bytes when each byte is removed that lies in a 400-byte string which also starts anywhere else.
+def remove_repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row: what is left of its UTF-8 bytes when each byte is removed that lies in a string of ``length`` bytes which also starts anywhere else.
 
     Null counts as empty; shorter texts are kept whole. Rows that repeat a text remove each other wholly, whatever their keys; repeated rows give repeated results."""
 
@@ -338,11 +400,13 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text:
 
     kind = docs.schema[key].dataType.simpleString()
     rest = [F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("x")]
-    return with_spans(docs, scratch, key, text, rest).mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return with_spans(docs, scratch, length, False, key, text, rest).mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
 
+def cut_repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH, first: bool = False, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows with all their columns, repeated bytes cut out of the text; what a cut leaves of a character goes too. A row whose text is cut to nothing goes; one that had none stays.
 
-def cut_repeats(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows with all their columns, repeated bytes cut out of the text; what a cut leaves of a character goes too. A row whose text is cut to nothing goes; one that had none stays."""
+    ``first``: each string stays in the first document that holds it (in the order of keys, null first), where it may repeat, and is cut out of later ones."""
     names, at = docs.columns, docs.columns.index(text)
 
     def run(batches):
@@ -367,7 +431,7 @@ def cut_repeats(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: st
 
     # positions, not names: a column may have any name
     rest = [F.col(c).alias(f"col_{i}") for i, c in enumerate(docs.columns)]
-    return with_spans(docs, scratch, key, text, rest).mapInArrow(run, docs.schema)
+    return with_spans(docs, scratch, length, first, key, text, rest).mapInArrow(run, docs.schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
