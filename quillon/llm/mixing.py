@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
-LEAVES = 100_000  # leaves are kinds of sources, not documents; more raise
-BITS = 12  # a leaf's documents fall into 2^BITS ranges of their hash
+BITS = 12  # a leaf's documents fall into 2^BITS ranges of their hash, and a cut range again
+SEP, ESC = "\x1f", "\x1e"
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -55,38 +55,59 @@ def hashed(seed: int, epoch: Column, key: Column) -> Column:
     return F.xxhash64(F.lit(seed), epoch, key.cast("string"))
 
 
+def path_of(values: Sequence[Column]) -> Column:
+    """One string of the levels' values; separators inside values are escaped, so a path has as many parts as levels."""
+    clean = [F.coalesce(c.cast("string"), F.lit("")) for c in values]
+    return F.concat_ws(SEP, *[F.replace(F.replace(c, F.lit(ESC), F.lit(ESC + "0")), F.lit(SEP), F.lit(ESC + "1")) for c in clean])
+
+
+def parts_of(path: str) -> tuple[str, ...]:
+    return tuple(x.replace(ESC + "1", SEP).replace(ESC + "0", ESC) for x in path.split(SEP))
+
+
 def mix_sources(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[tuple, float], scratch: Scratch, fraction: float = 0.5, epochs: int = 4, seed: int = 17, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The chosen rows with all their columns, and ``mix_path`` (values of the levels), ``mix_tokens`` (words of the whole text) and ``mix_copies`` (times the row is taken).
 
-    The total is ``fraction`` of all tokens. A leaf with budget b of T tokens takes b // T whole epochs, then the prefix, in the order of the next epoch's seeded hash, whose running sum stays within the rest. Columns of that prefix in the input are replaced. Null levels count as ''. Texts null, empty or of white space have no tokens and are never chosen. Rows with one key and leaf are taken or left together.
-    Only totals of leaves and of hash ranges meet; a window sorts no more than a leaf's cut range, and the choice itself is a filter."""
-    docs = docs.select([c for c in docs.columns if not c.startswith("mix_")])
-    path = F.concat_ws("\x1f", *[F.coalesce(c.cast("string"), F.lit("")) for c in levels.values()])
+    The total is ``fraction`` of all tokens. A leaf with budget b of T tokens takes b // T whole epochs, then the prefix, in the order of the next epoch's seeded hash, whose running sum stays within the rest. Input columns of those three names are replaced, others kept. Null levels count as ''. Texts null, empty or of white space have no tokens and are never chosen. Rows with one key and leaf are taken or left together.
+
+    The words are counted once, in a table of key, path and count; the leaves' totals, which the budgets are made of, meet on the driver: a row for each kind of source, never for documents. The cut of a leaf is found in two steps of 2^BITS ranges of the hash, each a sum by range, so that no task sorts more than a 2^(2 BITS)th of a leaf."""
+    docs = docs.drop("mix_path", "mix_tokens", "mix_copies")
+    path = path_of(list(levels.values()))
     tokens = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORDS)).cast("long")
-    narrow = scratch.save(docs.select(F.col(key).cast("string").alias("k"), path.alias("p"), tokens.alias("n")).where("n > 0"))
+    counted = scratch.save(docs.withColumns({"mix_path": path, "mix_tokens": tokens}).where("mix_tokens > 0"))
+    narrow = counted.select(F.col(key).cast("string").alias("k"), F.col("mix_path").alias("p"), F.col("mix_tokens").alias("n"))
     spark = docs.sparkSession
-    leaves = narrow.groupBy("p").agg(F.sum("n").alias("t")).limit(LEAVES + 1).collect()
-    if len(leaves) > LEAVES:
-        raise ValueError(f"over {LEAVES} leaves")
-    have = {tuple(r.p.split("\x1f")): r.t for r in leaves}
-    given = budgets(have, weights, fraction * sum(have.values()), epochs)
-    plan = spark.createDataFrame([("\x1f".join(p), b // have[p], b % have[p]) for p, b in given.items()], "p string, whole long, rest long")
-    part = narrow.join(F.broadcast(plan), "p").withColumn("h", hashed(seed, F.col("whole"), F.col("k"))).withColumn("r", F.shiftrightunsigned("h", 64 - BITS))
-    sums = part.groupBy("p", "r").agg(F.sum("n").alias("s"), F.first("rest").alias("rest"))  # at most leaves * 2^BITS rows
-    run = Window.partitionBy("p").orderBy("r")
-    cut = sums.withColumn("before", F.sum("s").over(run) - F.col("s")).where("before <= rest and before + s > rest").select("p", "r", "before")
-    inside = part.join(cut, ["p", "r"])
+    have = {r.p: r.t for r in narrow.groupBy("p").agg(F.sum("n").alias("t")).collect()}
+    given = budgets({parts_of(p): t for p, t in have.items()}, weights, fraction * sum(have.values()), epochs)
+    plan = {p: (given[parts_of(p)] // t, given[parts_of(p)] % t) for p, t in have.items()}
+    limits = spark.createDataFrame([(p, w, r) for p, (w, r) in plan.items()], "p string, whole long, rest long")
+    part = narrow.join(F.broadcast(limits), "p").withColumn("h", hashed(seed, F.col("whole"), F.col("k")))
+    # the range in which each leaf's running sum passes its rest, then that range's range
+    fields, bound = ["p"], part.withColumn("before", F.lit(0).cast("long"))
+    for step in (1, 2):
+        name = f"r{step}"
+        bound = bound.withColumn(name, F.shiftrightunsigned("h", 64 - BITS * step))
+        sums = bound.groupBy("p", name).agg(F.sum("n").alias("s"), F.first("rest").alias("rest"), F.first("before").alias("base"))
+        run = Window.partitionBy("p").orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.withColumn("before", F.col("base") + F.coalesce(F.sum("s").over(run), F.lit(0)))
+        cut = scratch.save(sums.where("before <= rest and before + s > rest").select("p", name, "before"))  # a row a leaf at most
+        bound = bound.drop("before").join(cut, ["p", name])
+        fields.append(name)
     order = Window.partitionBy("p").orderBy("h", "k").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    last = inside.withColumn("sum", F.col("before") + F.sum("n").over(order)).where("sum <= rest").groupBy("p").agg(F.max(F.struct("h", "k")).alias("last"))
-    ends = cut.join(last, "p", "left").select("p", "r", "last.h", "last.k").collect()  # one row a leaf at most
+    last = bound.withColumn("sum", F.col("before") + F.sum("n").over(order)).where("sum <= rest").groupBy("p").agg(F.max(F.struct("h", "k")).alias("last"))
+    ends = cut.join(last, "p", "left").select("p", "r2", F.col("last.h").alias("h"), F.col("last.k").alias("k")).collect()  # a row a leaf at most
     by = {e.p: e for e in ends}
-    rows = [("\x1f".join(p), b // have[p], by["\x1f".join(p)].r, by["\x1f".join(p)].h, by["\x1f".join(p)].k) for p, b in given.items()]
-    limits = spark.createDataFrame(rows, "mix_path string, mix_whole long, mix_range long, mix_hash long, mix_key string")
-    h, r = F.col("mix_own"), F.shiftrightunsigned("mix_own", 64 - BITS)
-    within = (r < F.col("mix_range")) | ((r == F.col("mix_range")) & F.coalesce((h < F.col("mix_hash")) | ((h == F.col("mix_hash")) & (F.col(key).cast("string") <= F.col("mix_key"))), F.lit(False)))
-    out = docs.withColumns({"mix_path": path, "mix_tokens": tokens}).where("mix_tokens > 0").join(F.broadcast(limits), "mix_path")
-    out = out.withColumn("mix_own", hashed(seed, F.col("mix_whole"), F.col(key))).withColumn("mix_copies", F.col("mix_whole") + within.cast("long"))
-    return out.where("mix_copies > 0").select(*docs.columns, "mix_path", "mix_tokens", "mix_copies")
+    rows = [(p, w, by[p].r2, by[p].h, by[p].k) for p, (w, _) in plan.items()]
+    limits = spark.createDataFrame(rows, "p_ string, whole_ long, range_ long, hash_ long, key_ string")
+    # positions, not names: a column may have any name
+    own = [F.col(c).alias(f"c{i}") for i, c in enumerate(counted.columns)]
+    where = {c: f"c{i}" for i, c in enumerate(counted.columns)}
+    k = F.col(where[key]).cast("string")
+    out = counted.select(*own).join(F.broadcast(limits), F.col(where["mix_path"]) == F.col("p_"))
+    out = out.withColumn("own_", hashed(seed, F.col("whole_"), k)).withColumn("mine_", F.shiftrightunsigned("own_", 64 - 2 * BITS))
+    same = F.coalesce(F.expr("own_ < hash_") | (F.expr("own_ = hash_") & (k <= F.col("key_"))), F.lit(False))
+    out = out.withColumn("copies_", F.col("whole_") + (F.expr("mine_ < range_") | (F.expr("mine_ = range_") & same)).cast("long"))
+    return out.where("copies_ > 0").select(*[F.col(v).alias(c) for c, v in where.items()], F.col("copies_").alias("mix_copies"))
 
 
 def levels() -> dict[str, Column]:
@@ -102,5 +123,5 @@ WEIGHTS = {("web",): 0.25, ("books",): 0.35, ("reference",): 0.3, ("forum",): 0.
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = mix_sources(docs.select("doc_id", "lang", "source", "text"), levels(), WEIGHTS, Scratch(spark))
-    parts = F.split("mix_path", "\x1f")
+    parts = F.split("mix_path", SEP)
     return out.select("doc_id", parts[0].alias("domain"), parts[1].alias("lang"), parts[2].alias("source"), F.col("mix_tokens").alias("n_tokens"), F.col("mix_copies").alias("copies"))
