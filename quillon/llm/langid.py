@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs
+from .common import Scratch, blobs
 
 #: A text of no letters has this language.
 UNDETERMINED = "und"
@@ -125,21 +126,31 @@ def label(batch: pa.RecordBatch, text: str, book: Codebook) -> tuple[list[str],
 
 
 def learn(docs: DataFrame, rows: Column, per_language: int = 300, longest: int = 50_000, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Codebook:
-    """Fits on at most ``per_language`` rows of each language, those of least hash among ``rows``, of at most ``longest`` characters: the one bound on what is learnt from.
-
-    Languages are taken as labels, so there must be few; over 200 raise. Null or empty texts and null languages are not learnt from."""
-    held = docs.where(rows).select(F.col(key).alias("k"), F.col(lang).alias("l"), F.xxhash64(F.col(key).cast("string")).alias("h"), F.length(text).alias("n"))
-    held = held.where(F.col("l").isNotNull() & F.col("n").between(1, longest))
-    top = Window.partitionBy("l").orderBy("h", "k")
-    ids = held.withColumn("r", F.row_number().over(top)).where(F.col("r") <= per_language).select("k", "l").distinct()
-    chosen = ids.limit(200 * per_language + 1).collect()
-    if len(chosen) > 200 * per_language:
-        raise ValueError("over 200 languages: labels are not languages")
-    if not chosen:
-        return fit([], [])
+    """Fits on at most ``per_language`` rows of each language, those of least hash among ``rows``, of 1 to ``longest`` characters with a letter: the one bound on what is learnt from.
+
+    Keys are of any type. Null or empty texts and null languages are not learnt from. Languages are labels: their names meet on the driver. Each task of the one scan keeps its own least rows of each language; the least of those are taken language by language, so no task sorts a language."""
     spark = docs.sparkSession
-    picked = spark.createDataFrame([(r.k, r.l) for r in chosen], "k long, l string")  # bounded by per_language rows a language
-    got = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")).join(F.broadcast(picked), ["k", "l"], "left_semi").where(F.length("t").between(1, longest))
+    names = [F.col(lang).alias("l"), F.xxhash64(F.col(key).cast("string")).alias("h"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("k"), F.xxhash64(text).alias("x")]
+    able = docs.where(rows).where(F.col(lang).isNotNull() & F.length(text).between(1, longest) & F.col(text).rlike(r"\p{L}"))
+
+    def least(batches):
+        best = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = (t if best is None else pa.concat_tables([best, t])).sort_by([(c, "ascending") for c in "lhkx"])
+            l = t.column("l").combine_chunks().dictionary_encode().indices.to_numpy()
+            begin = np.flatnonzero(np.concatenate(([True], l[1:] != l[:-1])))[: len(l)]
+            best = t.filter(pa.array(np.arange(len(l)) - np.repeat(begin, np.diff(np.append(begin, len(l)))) < per_language))
+        if best is not None:
+            yield from best.to_batches()
+
+    kind = docs.schema[lang].dataType.simpleString()
+    held = Scratch(spark).save(able.select(*names).mapInArrow(least, f"l {kind}, h long, k string, x long"))
+    tops = [held.where(F.col("l") == r.l).distinct().orderBy("h", "k", "x").limit(per_language) for r in held.select("l").distinct().orderBy("l").collect()]
+    if not tops:
+        return fit([], [])
+    picked = spark.createDataFrame([r for t in tops for r in t.collect()], held.schema)  # per_language rows a language at most
+    got = docs.select(*names, F.col(text).alias("t")).join(F.broadcast(picked), ["l", "h", "k", "x"], "left_semi").select("k", "t", F.col("l").cast("string"))
     found = sorted({(r.k, r.t, r.l) for r in got.collect() if LETTER.search(r.t)})
     return fit([t for _, t, _ in found], [v for _, _, v in found])
 
@@ -157,13 +168,22 @@ def predict(docs: DataFrame, book: Codebook, text: str = "text", key: str = "doc
     return out.select(F.col("k").alias(key), "lang_pred", "score", "is_ambiguous")
 
 
-def keep_known(docs: DataFrame, book: Codebook, text: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose language is determined; others are rejected."""
+def keep_known(docs: DataFrame, book: Codebook, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows, with all their columns, whose language is known: rejected are texts that are null, empty or without letters, and those whose language is ambiguous and not told by ``lang``. A null ``lang`` becomes the prediction. If no language was learnt, only texts without letters go."""
 
     def run(batches):
         for batch in batches:
-            names, _, _ = label(batch, text, book)
-            yield batch.filter(pa.array([v != UNDETERMINED for v in names]))
+            at = batch.schema.get_field_index(lang)
+            given = batch.column(at)
+            if book.languages:
+                names, _, doubtful = label(batch, text, book)
+                told = ~np.asarray(given.is_null())
+                keep = np.array([v != UNDETERMINED for v in names], bool) & (told | ~doubtful)
+                given = pc.coalesce(given, pa.array(names, pa.string()).cast(given.type))
+            else:
+                keep = np.array([bool(LETTER.search(x or "")) for x in batch.column(batch.schema.get_field_index(text)).to_pylist()], bool)
+            columns = [given if i == at else c for i, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names).filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)
 
