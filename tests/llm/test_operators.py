@@ -73,11 +73,38 @@ def test_repeats_of_a_split_anchor_match_brute_force(spark, monkeypatch):
     rng = random.Random(5)
     shared = prose(90, rng)
     rows = [(i, f"{prose(rng.randint(0, 60), rng)} {i} {shared} {prose(rng.randint(0, 60), rng)}", "en", "s", 0.0, "k") for i in range(60)]
-    monkeypatch.setattr(substrings, "HOT", 8)
+    monkeypatch.setattr(substrings, "PART", 8)
     got = substrings.remove_repeats(spark.createDataFrame(rows, DOCS), Scratch(spark)).collect()
     assert sorted(map(tuple, got)) == sorted((r[0], *x) for r, x in zip(rows, removed(rows), strict=True))
 
 
+def later_cut(rows, length):
+    """Brute force: by rows in the order of ids, what is left when strings that an earlier document holds are cut."""
+    seen, out = {}, {}
+    for i, t, *_ in sorted(rows, key=lambda r: r[0]):
+        raw = (t or "").encode()
+        gone = np.zeros(len(raw) + 1, int)
+        for j in range(len(raw) - length + 1):
+            if seen.setdefault(raw[j : j + length], i) != i:
+                gone[j] += 1
+                gone[j + length] -= 1
+        kept = bytes(b for b, g in zip(raw, np.cumsum(gone)) if not g).decode(errors="ignore")
+        if kept or not raw:
+            out[i] = kept
+    return out
+
+
+@pytest.mark.parametrize("part", [2, 1200])
+def test_first_documents_keep_their_strings(spark, monkeypatch, part):
+    rng = random.Random(15)
+    shared = [prose(30 + 8 * i, rng) for i in range(4)]
+    rows = [(i, " ".join([prose(rng.randint(0, 50), rng), rng.choice(shared), prose(rng.randint(0, 9), rng), rng.choice([*shared, "ab " * 200, ""])]), "en", "s", 0.0, "k") for i in range(60)]
+    rows += [(70, None, "en", "s", 0.0, "k"), (71, "", "en", "s", 0.0, "k"), (72, shared[2], "en", "s", 0.0, "k"), (73, "é" * 300, "en", "s", 0.0, "k"), (74, "x" + "é" * 300, "en", "s", 0.0, "k")]
+    monkeypatch.setattr(substrings, "PART", part)
+    got = substrings.cut_repeats(spark.createDataFrame(rows, DOCS), Scratch(spark), 150, True).collect()
+    assert {r.doc_id: r.text or "" for r in got} == later_cut(rows, 150)
+
+
 def test_suffix_array_and_prefixes():
     rng = np.random.default_rng(2)
     for n, letters in ((1, 2), (50, 1), (300, 2), (900, 4)):
@@ -100,7 +127,7 @@ def test_long_row_is_scanned_in_slices(monkeypatch):
     whole = substrings.anchors(data, np.array([0, len(data)]), Roller())
     monkeypatch.setattr(substrings, "SLICE", 7000)
     parts = substrings.anchors(data, np.array([0, len(data)]), Roller())
-    cover = lambda x: {(int(h), s) for h, a, b in zip(x[1], x[3], x[4]) for s in range(a, b + 1)}
+    cover = lambda x: {(int(h), s) for h, a, b in zip(x[1], x[4], x[5]) for s in range(a, b + 1)}
     assert cover(whole) == cover(parts)
 
 
@@ -269,11 +296,11 @@ def test_decontamination_finds_edits_and_leaves_clean_texts(spark):
         rows.append((i, body, "en", "s", 0.0, "k"))
     rows += [(500, None, "en", "s", 0.0, "k"), (501, "", "en", "s", 0.0, "k"), (502, "short", "en", "s", 0.0, "k"), (None, items[0][1], "en", "s", 0.0, "k")]
     docs, bench = spark.createDataFrame(rows, DOCS), spark.createDataFrame([(i, t, "e") for i, t in items], "item_id long, text string, doc_id string")
-    got = {(r.doc_id, r.item_id) for r in decontaminate.find(docs, bench).collect()}
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find(docs, bench, Scratch(spark)).collect()}
     assert {g for g in got if g[0] is not None} == want
-    kept = decontaminate.drop_contaminated(docs, bench)
-    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {r[0] for r in rows} - {i for i, _ in want}
-    assert decontaminate.find(docs.limit(0), bench).count() == 0 and decontaminate.find(docs, bench.limit(0)).count() == 0
+    kept = decontaminate.drop_contaminated(docs, bench, Scratch(spark))
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {r[0] for r in rows} - {i for i, _ in want} - {None}
+    assert decontaminate.find(docs.limit(0), bench, Scratch(spark)).count() == 0 and decontaminate.find(docs, bench.limit(0), Scratch(spark)).count() == 0
 
 
 def test_decontamination_judges_rows_that_share_a_doc_id(spark):
@@ -281,10 +308,77 @@ def test_decontamination_judges_rows_that_share_a_doc_id(spark):
     item, clean = (" ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(20)) for _ in range(2))
     rows = [(1, clean, "en", "s", 0.0, "a"), (1, "x " + item, "en", "s", 0.0, "b"), (2, item, "en", "s", 0.0, "c"), (3, None, "en", "s", 0.0, "d"), (1, clean, "en", "s", 0.0, "e")]
     bench = spark.createDataFrame([(7, item)], "item_id long, text string")
-    kept = decontaminate.drop_contaminated(spark.createDataFrame(rows, DOCS), bench)
+    kept = decontaminate.drop_contaminated(spark.createDataFrame(rows, DOCS), bench, Scratch(spark))
     assert sorted(tuple(r) for r in kept.collect()) == sorted((r for r in rows if r[5] in "ade"), key=lambda r: (r[0], r[1] or "", r[5]))
 
 
+def edits(p: bytes, t: bytes) -> int:
+    """Least edit distance of p to a substring of t, by the full table."""
+    row = [0] * (len(t) + 1)
+    for i, x in enumerate(p):
+        new = [i + 1]
+        for j, y in enumerate(t):
+            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def test_decontamination_matches_brute_force():
+    """Every item of one segment that is within its budget of a text is found, and no other, with its distance."""
+    rng = random.Random(21)
+    found = 0
+    for letters in ("ab", "abcdef  ", "ab cdefghijklmnopqrstuvwxyz"):
+        items = [(i, "".join(rng.choice(letters) for _ in range(rng.randint(12, 60))).encode()) for i in range(25)] + [(30, b"ab" * 20), (31, b"-" * 40)]
+        ix = decontaminate.index(items)
+        for _ in range(15):
+            t = "".join(rng.choice(letters) for _ in range(rng.randint(0, 150)))
+            for item in rng.sample(items, 3):
+                t += edit(item[1].decode(), rng.randint(0, 3), rng) + rng.choice(["", "abababababab" * 5, "-" * 80, " \n "])
+            raw = np.frombuffer(t.encode(), np.uint8)
+            got = {}
+            for _, item, a, b, d in decontaminate.search(ix, raw, np.array([0, len(raw)])):
+                assert 0 <= a < b <= len(raw)
+                got[item] = min(d, got.get(item, 99))
+            folded = decontaminate.fold(raw, np.array([0, len(raw)]))[0].tobytes()
+            for (item, _), p, k in zip([x for x in items if x[0] in ix.items], ix.texts, ix.budget, strict=True):
+                best = edits(p.tobytes(), folded)
+                assert (item in got) == (best <= k) and got.get(item, best) == best
+                found += item in got
+    assert found > 100
+
+
+def test_decontamination_of_repetitive_text_is_bounded():
+    """A megabyte of one byte, of two by turns and of blanks, against items with long runs of them."""
+    import time
+    import tracemalloc
+
+    items = [(1, b"x" * 300), (2, b"begin " + b" " * 300 + b"end"), (3, b"ab" * 200), (4, b"=" * 40 + b" title of the section " + b"=" * 40)]
+    ix = decontaminate.index(items)
+    for text, want in ((b"x" * 1_000_000, {1}), (b" " * 1_000_000, set()), (b"ab" * 500_000, {3}), (b"=" * 1_000_000, set()), (b"x " * 500_000, set())):
+        raw, began = np.frombuffer(text, np.uint8), time.time()
+        tracemalloc.start()
+        got = decontaminate.search(ix, raw, np.array([0, len(raw)]))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert {g[1] for g in got} == want and peak < 500e6 and time.time() - began < 60
+        assert not want or (len(got) == 1 and got[0][2] < 300 and got[0][3] > 999_700)
+
+
+def test_decontamination_in_blocks_and_slices(spark, monkeypatch):
+    rng = random.Random(31)
+    items = [(i, prose(30, rng)) for i in range(12)]
+    rows = [(str(i), prose(40, rng) + " " + (items[i][1] if i < 12 else "") + " " + prose(5000 if i == 3 else 20, rng)) for i in range(20)]
+    docs, bench = spark.createDataFrame(rows, "name string, body string"), spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "BLOCK", 500)
+    got = decontaminate.find(docs, bench, Scratch(spark), key="name", text="body").collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(str(i), i) for i in range(12)}
+    assert {r.name for r in decontaminate.drop_contaminated(docs, bench, Scratch(spark), text="body").collect()} == {str(i) for i in range(12, 20)}
+    monkeypatch.setattr(decontaminate, "SLICE", 3000)
+    raw = np.frombuffer((prose(900, rng) + items[5][1] + prose(900, rng) + items[5][1]).encode(), np.uint8)
+    found = decontaminate.search(decontaminate.index([(i, t.encode()) for i, t in items]), raw, np.array([0, len(raw)]))
+    assert [f[1] for f in found] == [5, 5] and all(f[4] <= 1 for f in found)
+
+
 def test_banded_alignment_matches_full():
     rng = random.Random(8)
     for _ in range(60):
@@ -312,34 +406,63 @@ def test_mixing_budgets():
     assert short[("a", "en", "s2")] == 1000 and short[("b", "en", "s4")] == 2890
 
 
-def test_mixing_takes_the_seeded_prefix(spark, docs):
-    rows = [(i, prose(1 + i % 40), ["en", "fr", None][i % 3], f"s{i % 4}", 0.0, "k") for i in range(400)] + [(900, None, "en", "s1", 0.0, "k"), (901, " ", "en", "s1", 0.0, "k")] + [(7, prose(9), "fr", "s3", 0.0, "k")] * 2
-    d = spark.createDataFrame(rows, DOCS)
+def dealt(total, weights, room):
+    """Water level: each child gets weight * level, its room at most, with the level at which the total is reached."""
+    total = min(total, sum(r for w, r in zip(weights, room) if w > 0))
+    lo, hi = 0.0, 1e12
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if sum(min(w * mid, r) for w, r in zip(weights, room)) < total else (lo, mid)
+    return [min(w * hi, r) for w, r in zip(weights, room)]
+
+
+def dealt_tree(have, weights, total, epochs):
+    room, got = {}, {(): total}
+    for p, n in have.items():
+        for d in range(len(p) + 1):
+            room[p[:d]] = room.get(p[:d], 0) + n * epochs
+    got[()] = min(total, room[()])
+    for d in range(len(next(iter(have)))):
+        for node in [x for x in got if len(x) == d]:
+            kids = sorted({p[: d + 1] for p in have if p[:d] == node})
+            got |= dict(zip(kids, dealt(got[node], [weights.get(k, 1.0) for k in kids], [room[k] for k in kids])))
+    return {p: int(got[p] + 1e-6) for p in have}
+
+
+def test_mixing_takes_the_seeded_prefix(spark, monkeypatch):
+    rng = random.Random(12)
+    langs, sources = ["en", "fr", None, "a\x1fb", "a\x1e1b"], ["s0", "s1", "s2", "s\x1e"]
+    rows = [(i, prose(1 + i % 40, rng), langs[i % 5], sources[i % 4], float(i), "k") for i in range(600)] + [(900, None, "en", "s1", 0.0, "k"), (901, " ", "en", "s1", 0.0, "k")] + [(7, prose(9, rng), "fr", "s3", 0.0, "k")] * 2 + [(None, "no key", "en", "s1", 0.0, "k")]
+    d = spark.createDataFrame(rows, DOCS).withColumns({"mix_score": F.col("score"), "mix_tokens": F.lit("z"), "whole_": F.lit(1), "h": F.lit(2)})
     levels = {"lang": F.col("lang"), "source": F.col("source")}
-    out = mixing.mix_sources(d, levels, {("en",): 3.0, ("fr", "s1"): 5.0}, Scratch(spark), 1.4, 4, 17)
-    assert out.columns == [*d.columns, "mix_path", "mix_tokens", "mix_copies"]
+    weights = {("en",): 3.0, ("fr", "s1"): 5.0}
+    monkeypatch.setattr(mixing, "BITS", 3)
+    out = mixing.mix_sources(d, levels, weights, Scratch(spark), 1.4, 4, 17)
+    assert sorted(out.columns) == sorted([*(c for c in d.columns if c != "mix_tokens"), "mix_path", "mix_tokens", "mix_copies"])
     got = {}
     for r in out.collect():
-        got.setdefault(r.mix_path, []).append(r)
+        assert r.mix_score == r.score and r.mix_tokens == len(r.text.split())
+        got.setdefault(mixing.parts_of(r.mix_path), []).append(r)
     have, members = {}, {}
     for r in rows:
-        n = len((r[1] or "").split())
-        if n:
+        if n := len((r[1] or "").split()):
             p = (r[2] or "", r[3])
             have[p] = have.get(p, 0) + n
             members.setdefault(p, []).append((r[0], n))
-    plan = mixing.budgets(have, {("en",): 3.0, ("fr", "s1"): 5.0}, 1.4 * sum(have.values()), 4)
+    plan = dealt_tree(have, weights, 1.4 * sum(have.values()), 4)
+    cut = 0
     for p, b in plan.items():
         whole, left = divmod(b, have[p])
-        ids = sorted({i for i, _ in members[p]})
-        h = {r.id: r.h for r in spark.createDataFrame([(i,) for i in ids], "id long").select("id", mixing.hashed(17, F.lit(whole).cast("long"), F.col("id")).alias("h")).collect()}
+        ids = sorted({i for i, _ in members[p]}, key=str)
+        hashes = spark.createDataFrame([(i, str(i) if i is not None else None) for i in ids], "id long, s string").selectExpr("id", f"xxhash64(17, bigint({whole}), s) h").collect()
+        h = {r.id: r.h % 2**64 for r in hashes}
         want, total = {}, 0
-        for _, key in sorted((h[i] if h[i] >= 0 else h[i] + 2**64, str(i)) for i in ids):
-            n = sum(x for i, x in members[p] if str(i) == key)
-            total += n
-            want[int(key)] = whole + (total <= left)
-        assert {r.doc_id: r.mix_copies for r in got.get("\x1f".join(p), [])} == {k: v for k, v in want.items() if v}
-    assert mixing.mix_sources(d.limit(0), levels, {}, Scratch(spark)).count() == 0
+        for x in sorted((i for i in ids), key=lambda i: (h[i], str(i))):
+            total += sum(n for i, n in members[p] if i == x)
+            want[x] = whole + (total <= left)
+            cut += total > left
+        assert {r.doc_id: r.mix_copies for r in got.get(p, [])} == {k: v for k, v in want.items() if v}
+    assert cut > 50 and mixing.mix_sources(d.limit(0), levels, {}, Scratch(spark)).count() == 0
 
 
 def test_language_codes_and_decoding():
@@ -371,6 +494,42 @@ def test_language_held_out_accuracy_and_edge_cases(spark, none):
     assert kept.columns == d.columns and {r.doc_id for r in kept.collect()} == {r[0] for r in rows} - {1000, 1001, 1002}
 
 
+def test_language_learns_the_least_rows_of_many_languages(spark):
+    rng = random.Random(16)
+    rows = [(f"d{i}", prose(8, rng), f"l{i % 210}" if i % 9 else None) for i in range(2400)] + [("d5", "again the same key", "l5"), (None, "no key here", "l7"), ("e", "", "l1"), ("f", None, "l2"), ("g", "12 34", "l3")]
+    d = spark.createDataFrame(rows, "name string, body string, tongue string").repartition(7)
+    seen = {}
+    fit, langid.fit = langid.fit, lambda texts, langs: seen.update(rows=sorted(zip(langs, texts))) or fit(texts[:20], langs[:20])
+    try:
+        langid.learn(d, F.lit(True), 3, text="body", lang="tongue", key="name")
+    finally:
+        langid.fit = fit
+    h = {r.s: r.h for r in spark.createDataFrame([(r[0],) for r in rows if r[0]], "s string").distinct().selectExpr("s", "xxhash64(s) h").collect()} | {None: 42}
+    want = []
+    for lang in {r[2] for r in rows if r[2]}:
+        own = sorted({(h[k], k or "", t) for k, t, v in rows if v == lang and t and any(c.isalpha() for c in t)})
+        want += [(lang, t) for _, _, t in own[:3]]
+    assert [x for x in seen["rows"]] == sorted(want) and len({v for v, _ in want}) == 210
+    none = langid.learn(d, F.lit(False), text="body", lang="tongue", key="name")
+    kept = langid.keep_known(d, none, "body", "tongue")
+    assert kept.schema == d.schema and kept.count() == len(rows) - 3
+    assert {r.lang_pred for r in langid.predict(d, none, "body", "name").collect()} == {"und"}
+
+
+def test_language_stage_rejects_what_is_ambiguous_and_fills_in(spark):
+    said = {"en": "the and of with that house water", "fr": "le la des avec maison"}
+    rng = random.Random(17)
+    rows = [(i, " ".join(rng.choice(v.split()) for _ in range(12)), lang) for i in range(200) for lang, v in [rng.choice(list(said.items()))]]
+    rows += [(300, "the house of water", None), (301, "la maison avec", None), (302, "the the la la", "en"), (303, None, "en"), (304, "??", None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    book = langid.learn(d, F.col("doc_id") < 200)
+    unsure = {r.doc_id for r in langid.predict(d, book).where("is_ambiguous").collect()}
+    got = {r.doc_id: r.lang for r in langid.keep_known(d, book).collect()}
+    assert got[300] == "en" and got[301] == "fr" and got[302] == "en" and not {303, 304} & set(got) and set(range(200)) <= set(got)
+    book.ambiguous_below = 9.0
+    assert set(r.doc_id for r in langid.keep_known(d, book).collect()) == set(range(200)) | {302} and not unsure & {300, 301}
+
+
 def test_toxicity_finds_disguised_words_and_edge_cases(spark, none):
     rng = random.Random(6)
     bad = ["blorgface", "snarfwit", "muckhead"]
