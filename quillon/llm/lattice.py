@@ -90,14 +90,21 @@ def hash_of(s: str) -> int:
     return xxhash.xxh3_64_intdigest(s)
 
 
+def cosine(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Of each row of the two, brought to a largest component between 1/2 and 1 first (by powers of two, exactly), so that no square overflows or vanishes."""
+    p, q = (np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1]) for x in (p, q))
+    return (p * q).sum(1) / (np.sqrt((p * p).sum(1)) * np.sqrt((q * q).sum(1)))
+
+
 def link(vectors: DataFrame, scratch: Scratch, least: float = LINK, tables: int = TABLES, probes: int = PROBES, scale: float = SCALE) -> DataFrame:
     """(vec_id, n_links, component_id, kept): vectors of one label (not null) and one length linked where their cosine, in doubles, is ``least`` or more.
 
-    Vectors that are null, empty, zero or hold null or non-finite components, and those without a label, link with nothing. Rows that repeat a vec_id with its vector and label are one vector. Equal vectors of a label are one class: they are linked to each other and counted, never paired. Each class is in its cell of every table; a class looks into its own and its ``probes`` nearest neighbouring cells, so a pair may be met from either side in any table. What is met is confirmed, so no link is false; some may be missed (README: recall)."""
+    Vectors that are null, empty, zero or hold null or non-finite components, and those without a label, link with nothing. Rows that repeat a vec_id with its vector and label are one vector; with another vector or label they are vectors of their own. Equal vectors of a label are one class: they are linked to each other and counted, never paired. Each class is in its cell of every table; a class looks into its own and its ``probes`` nearest neighbouring cells, so a pair may be met from either side in any table. What is met is confirmed, so no link is false; some may be missed (README: recall)."""
     rows = scratch.save(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding").withColumn("ok", usable()).withColumns({"c1": F.xxhash64("label", "embedding"), "c2": F.xxhash64(F.lit(1), "embedding", "label")}).dropDuplicates(["vec_id", "c1", "c2"]))
     good = rows.where("ok and vec_id is not null")
-    named = good.groupBy("c1", "c2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    classes = scratch.save(good.join(named, ["c1", "c2"]).where("vec_id = rep").select("rep", "copies", "label", "embedding", "c1", "c2"))
+    same = [F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding")]
+    # a number of its own for each class, fixed by writing it: a vec_id may have several vectors
+    classes = scratch.save(good.groupBy("c1", "c2").agg(*same).withColumn("rep", F.monotonically_increasing_id()))
     met = probe(classes, tables, probes, scale)
     met = scratch.save(met)
     own = met.where("own").select("cell", F.col("rep").alias("a"))
@@ -114,14 +121,16 @@ def link(vectors: DataFrame, scratch: Scratch, least: float = LINK, tables: int
             for dim in np.unique(size[same]):
                 at = same[size[same] == dim]
                 p, q = (v.take(pa.array(at)).flatten().to_numpy().reshape(-1, dim) for v in (ea, eb))
-                keep[at] = (p * q).sum(1) / (np.sqrt((p * p).sum(1)) * np.sqrt((q * q).sum(1))) >= least
+                keep[at] = cosine(p, q) >= least
             yield batch.filter(pa.array(keep)).select(["a", "b", "na", "nb"])
 
     links = scratch.save(both.mapInArrow(run, "a long, b long, na long, nb long"))
     scratch.drop(met)
     counts = links.select(F.col("a").alias("rep"), F.col("nb").alias("n")).unionAll(links.select(F.col("b").alias("rep"), F.col("na").alias("n"))).groupBy("rep").agg(F.sum("n").alias("others"))
-    of = classes.select("c1", "c2", "rep", "copies").join(counts, "rep", "left").join(components(links, scratch).withColumnRenamed("id", "rep"), "rep", "left")
-    of = of.select("c1", "c2", F.lit(True).alias("ok"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n"), F.coalesce("component", "rep").alias("component"))
+    joined = components(links, scratch).withColumnRenamed("id", "rep")
+    of = scratch.save(classes.select("c1", "c2", "rep", "least", "copies").join(counts, "rep", "left").join(joined, "rep", "left").withColumn("c", F.coalesce("component", "rep")))
+    lowest = of.groupBy("c").agg(F.min("least").alias("component"))
+    of = of.drop("component").join(lowest, "c").select("c1", "c2", F.lit(True).alias("ok"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n"), "component")
     out = rows.withColumn("ok", F.when(F.col("ok") & F.col("vec_id").isNotNull(), True)).join(of, ["c1", "c2", "ok"], "left")
     component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))

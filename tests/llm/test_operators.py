@@ -613,6 +613,14 @@ def test_embedding_links_match_brute_force(spark):
     assert lattice.link(spark.createDataFrame([], "vec_id long, embedding array<float>, label int"), Scratch(spark)).count() == 0
 
 
+def test_embedding_links_of_extreme_components_and_repeated_ids(spark):
+    v, w = [1.0, 2.0, 3.0, 4.0], [1.0, 2.0, 3.0, 4.1]
+    rows = [(1, [x * 1e200 for x in v], 0), (2, w, 0), (3, [x * 1e-200 for x in v], 0), (4, [x * 5e-324 for x in v], 0), (5, [-x for x in v], 0)]
+    rows += [(6, [9.0, -1.0, 0.0, 0.0], 0), (6, [0.0, 0.0, 1.0, -5.0], 0), (7, [9.1, -1.0, 0.0, 0.0], 0), (8, [0.0, 0.0, 1.0, -5.1], 0), (6, [9.0, -1.0, 0.0, 0.0], 0)]
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in lattice.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), Scratch(spark)).collect())
+    assert got == [(1, 3, 1, True), (2, 3, 1, False), (3, 3, 1, False), (4, 3, 1, False), (5, 0, 5, True), (6, 1, 6, True), (6, 1, 6, True), (7, 1, 6, False), (8, 1, 6, False)]
+
+
 def test_token_attribution():
     size = np.array([0, 5, 6, 9], np.int64)
     count, over = tokens.attribute(np.array([2, 5, 7, 9, 12]), size, 12)
