@@ -114,23 +114,36 @@ def segment_counts(reads: DataFrame, length: int, segments: int, order: list[str
     return reads.select(F.explode(parts).alias("part")).groupBy("part").agg(F.count("*").alias("n"))
 
 
-def barcode_stats(counts: DataFrame) -> DataFrame:
-    """(types, reads, singles, repeated) of a barcode count table."""
-    return counts.agg(F.count("*").alias("types"), F.sum("n").alias("reads"), F.count_if(F.col("n") == 1).alias("singles"), F.count_if(F.col("n") > 1).alias("repeated"))
-
-
-def umi_reason(umi: Column, has_n: Column, scores: Column | None = None, low: int = 11, most: int = 1) -> Column:
-    """Why a tag is dropped: n, then poly_a (code 0), then low_quality (over ``most`` bases under ``low``); null if it stays."""
+def barcode_stats(reads: DataFrame, scores: Column, order: list[str], low: int = 10) -> DataFrame:
+    """One row of a run's barcodes: reads, low_percent (bases under ``low``), types, singles, repeated (reads beyond a
+    type's first), and follows: reads whose barcode is that of the read before them, an estimate of spots read twice.
+    The order is found in ranges, whose first reads are compared with the last ones of the ranges before."""
+    per = reads.groupBy("barcode").agg(F.count("*").alias("n"))
+    types = per.agg(F.count("*").alias("types"), F.count_if(F.col("n") == 1).alias("singles"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("repeated"))
+    bases = reads.agg(F.count("*").alias("reads"), F.sum(F.size(F.filter(scores, lambda s: s < low))).alias("_low"), F.sum(F.size(scores)).alias("_all"))
+    ranged = reads.select("barcode", F.struct(*order).alias("o")).repartitionByRange("o").sortWithinPartitions("o").withColumn("part", F.spark_partition_id())
+    w = Window.partitionBy("part").orderBy("o")
+    inner = ranged.withColumn("_p", F.lag("barcode").over(w))
+    ends = inner.groupBy("part").agg(F.min_by("barcode", "o").alias("first"), F.max_by("barcode", "o").alias("last"), F.count_if(F.col("barcode") == F.col("_p")).alias("k"))
+    joined = ends.withColumn("_q", F.lag("last").over(Window.orderBy("part")))  # a row a range
+    follows = joined.agg(F.coalesce(F.sum(F.col("k") + F.coalesce((F.col("first") == F.col("_q")).cast("int"), F.lit(0))), F.lit(0)).alias("follows"))
+    out = bases.crossJoin(types).crossJoin(follows)  # one row each
+    return out.withColumn("low_percent", percent(F.col("_low"), F.col("_all"))).drop("_low", "_all")
+
+
+def umi_reason(umi: Column, has_n: Column, scores: Column | None = None, low: int = 11, most: int = 1, paired: bool = True) -> Column:
+    """Why a tag is dropped: n, then poly_a (code 0), then, of paired reads, low_quality (over ``most`` bases under ``low``); null if it stays."""
     out = F.when(has_n, "n").when(umi == 0, "poly_a")
-    return out.when(F.size(F.filter(scores, lambda s: s < low)) > most, "low_quality") if scores is not None else out
+    return out.when(F.size(F.filter(scores, lambda s: s < low)) > most, "low_quality") if scores is not None and paired else out
 
 
 def trim_poly_a(reads: DataFrame, window: int, mismatches: int, least: int = 30, text: str = "seq") -> DataFrame:
-    """``pos``, ``dropped`` and the kept sequence: a run of A that begins before ``least`` drops the read, a later one cuts it."""
+    """``pos``, ``dropped``, the kept sequence and, if there is a ``qual``, its kept qualities: a run of A that begins before ``least`` drops the read, a later one cuts it."""
     out = reads.withColumn("pos", seq.find_poly_a(F.col(text), window, mismatches))
     gone = (F.col("pos") >= 0) & (F.col("pos") < least)
-    kept = F.when(gone, "").when(F.col("pos") >= least, F.substring(F.col(text), F.lit(1), F.col("pos"))).otherwise(F.col(text))
-    return out.withColumns({"dropped": gone, "kept": kept})
+    cut = lambda c: F.when(gone, "").when(F.col("pos") >= least, F.substring(F.col(c), F.lit(1), F.col("pos"))).otherwise(F.col(c))
+    quals = {"kept_qual": cut("qual")} if "qual" in reads.columns else {}
+    return out.withColumns({"dropped": gone, "kept": cut(text), **quals})
 
 
 def percent(a: Column, b: Column) -> Column:
@@ -181,11 +194,35 @@ def downscale(points: DataFrame, factor: int) -> DataFrame:
     return points.select(F.floor(F.col("x") / factor).alias("x"), F.floor(F.col("y") / factor).alias("y"), "n").groupBy("x", "y").agg(F.sum("n").alias("n"))
 
 
-def merge_pair(left: Column, right: Column, least: int = 30, errors: float = 0.1) -> Column:
-    """Length of the first overlap of a read's end with the other's start within the error rate; null if there is none."""
-    lengths = F.sequence(F.lit(least), F.least(F.length(left), F.length(right)))
-    wrong = lambda n: F.aggregate(F.zip_with(F.split(F.substring(left, F.length(left) - n + 1, n), ""), F.split(F.substring(right, F.lit(1), n), ""), lambda a, b: (a != b).cast("int")), F.lit(0), lambda s, v: s + v)
-    return F.when(F.least(F.length(left), F.length(right)) >= least, F.array_min(F.filter(lengths, lambda n: wrong(n) <= n * errors)))
+def merge_overlap(left: Column, left_qual: Column, right: Column, right_qual: Column, least: int = 30, good: int = 30, poor: int = 15, most: int = 2) -> Column:
+    """Bases by which a read's end and the other's start (on one strand) overlap: the first length from ``least`` on at
+    which each difference is between a base of quality ``good`` or more and one of ``poor`` or less, ``most`` at most;
+    null if there is none."""
+    p, q = seq.phred(left_qual), seq.phred(right_qual)
+    a, b = F.split(left, ""), F.split(right, "")
+    size = F.least(F.length(left), F.length(right))
+
+    def fits(n: Column) -> Column:
+        pairs = F.zip_with(F.slice(a, F.length(left) - n + 1, n), F.slice(b, F.lit(1), n), lambda x, y: x != y)
+        scores = F.zip_with(F.slice(p, F.length(left) - n + 1, n), F.slice(q, F.lit(1), n), lambda x, y: ((x >= good) & (y <= poor)) | ((x <= poor) & (y >= good)))
+        wrong = F.filter(F.zip_with(pairs, scores, lambda x, y: F.struct(x.alias("x"), y.alias("y"))), lambda z: z.x)
+        return F.forall(wrong, lambda z: z.y) & (F.size(wrong) <= most)
+
+    return F.when(size >= least, F.array_min(F.filter(F.sequence(F.lit(least), size), fits)))
+
+
+def merge_reads(left: Column, left_qual: Column, right: Column, right_qual: Column, overlap: Column, good: int = 30, poor: int = 15) -> Column:
+    """(seq, qual) of two reads that overlap by that many bases: equal bases add their qualities; of different ones the
+    left one's if it is good and the other poor, else the right one's."""
+    n = F.length(left) - overlap
+    p, q = F.slice(seq.phred(left_qual), n + 1, overlap), F.slice(seq.phred(right_qual), F.lit(1), overlap)
+    base = F.zip_with(F.slice(F.split(left, ""), n + 1, overlap), F.slice(F.split(right, ""), F.lit(1), overlap), lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+    score = F.zip_with(p, q, lambda x, y: F.struct(x.alias("p"), y.alias("q")))
+    one = F.zip_with(base, score, lambda z, w: F.when(z.x == z.y, F.struct(z.x.alias("b"), (w.p + w.q).alias("s"))).when((w.p >= good) & (w.q <= poor), F.struct(z.x.alias("b"), w.p.alias("s"))).otherwise(F.struct(z.y.alias("b"), w.q.alias("s"))))
+    rest = lambda c: F.substring(c, overlap + 1, F.length(c))
+    made = F.concat(F.substring(left, F.lit(1), n), F.array_join(F.transform(one, lambda z: z.b), ""), rest(right))
+    quals = F.concat(F.substring(left_qual, F.lit(1), n), F.array_join(F.transform(one, lambda z: F.chr(z.s + 33)), ""), rest(right_qual))
+    return F.struct(made.alias("seq"), quals.alias("qual"))
 
 
 #: Distance of spots on a chip, in nanometres, by pitch class.
@@ -213,17 +250,32 @@ def poly_t(code_text: Column, most_other: int) -> Column:
     return F.length(F.replace(code_text, F.lit("T"), F.lit(""))) <= most_other
 
 
+def map_plain(reads: DataFrame, chip: DataFrame, keys: list[str], radius: int = 0, other: int = 3, length: int = 25) -> DataFrame:
+    """(keys, how, x, y) by the rule without neighbours: barcodes of almost only T are dropped first (``poly_t``); codes
+    without unknown bases are looked up exactly; those with one (``n_pos``) are filled in only if ``radius`` is over 0."""
+    text = seq.decode(F.col("barcode"), length)
+    poly = (F.col("n_pos") < 0) & poly_t(text, other)
+    plain = reads.where("n_pos < 0").withColumn("_t", poly).join(chip.select("barcode", "x", "y"), "barcode", "left")
+    how = F.when(F.col("_t"), "poly_t").when(F.col("x").isNotNull(), "exact")
+    found = plain.select(*keys, how.alias("how"), *[F.when(how == "exact", F.col(c)).alias(c) for c in ("x", "y")])
+    unknown = reads.where("n_pos >= 0").select(*keys)
+    if radius == 0:
+        return found.unionByName(unknown.select(*keys, F.lit(None).cast("string").alias("how"), *[F.lit(None).cast(chip.schema[c].dataType).alias(c) for c in ("x", "y")]))
+    filled = rescue_n(reads, chip, keys)
+    return found.unionByName(unknown.join(filled, keys, "left").withColumn("how", F.when(F.col("x").isNotNull(), "n")).select(*keys, "how", "x", "y"))
+
+
 def near_spots(x1: Column, y1: Column, x2: Column, y2: Column, distance: int) -> Column:
     """Signed difference on both axes within a distance: an estimate of one spot read twice."""
     return (F.abs(x1 - x2) <= distance) & (F.abs(y1 - y2) <= distance)
 
 
-def positions_from_reads(reads: DataFrame, start: int, length: int, columns: int, reverse: bool = False) -> DataFrame:
-    """(barcode, x, y) from reads whose name ends in a spot's number; reads with another letter in the barcode are dropped."""
+def positions_from_reads(reads: DataFrame, start: int, length: int, columns: int, reverse: bool = False, rows: int | None = None) -> DataFrame:
+    """(barcode, x, y) from reads whose name ends in a spot's number; reads with another letter in the barcode are dropped, as are spots off a mask of ``rows`` rows."""
     text = F.substring("seq", start + 1, length)
     spot = F.regexp_extract("name", r"(\d+)\D*$", 1).try_cast("long")
     code = seq.encode(seq.reverse_complement(text) if reverse else text)
-    return reads.select(code.alias("barcode"), (spot % columns).alias("x"), F.floor(spot / columns).alias("y")).where("barcode is not null and x is not null")
+    return reads.select(code.alias("barcode"), (spot % columns).alias("x"), F.floor(spot / columns).alias("y")).where("barcode is not null and x is not null").where(F.lit(True) if rows is None else F.col("y") < rows)
 
 
 def mask_cells(positions: DataFrame, segments: int) -> DataFrame:

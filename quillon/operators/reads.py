@@ -25,8 +25,9 @@ def adapter_start(text: Column, adapter: str, share: float = 0.1) -> Column:
 
 def clip_adapter(reads: DataFrame, adapter: str, share: float = 0.1, after: int = 0) -> DataFrame:
     """Cuts the adapter, what follows it, and ``after`` bases more."""
-    n = F.greatest(adapter_start(F.col("seq"), adapter, share) - after, F.lit(0))
-    return reads.withColumns({c: F.substring(c, F.lit(1), n) for c in ("seq", "qual")})
+    # counted once in a column of its own: two copies of its nested lambdas in one projection disturb each other
+    out = reads.withColumn("_cut", F.greatest(adapter_start(F.col("seq"), adapter, share) - after, F.lit(0)))
+    return out.withColumns({c: F.substring(c, F.lit(1), F.col("_cut")) for c in ("seq", "qual")}).drop("_cut")
 
 
 def good_stretches(text: Column, least: int = 12) -> Column:
@@ -42,17 +43,6 @@ def shift_quality(qual: Column, by: int) -> Column:
     return F.array_join(F.transform(F.split(qual, ""), lambda c: F.chr(F.greatest(F.ascii(c) + by, F.lit(33)))), "")
 
 
-def merged(left_seq: Column, left_qual: Column, right_seq: Column, right_qual: Column, overlap: Column) -> Column:
-    """(seq, qual) of two reads on one strand whose ends overlap by that many bases: where they differ, the base of the better quality."""
-    n = F.length(left_seq)
-    at = F.sequence(F.lit(1), overlap)
-    one = F.transform(at, lambda i: F.struct(F.substring(left_seq, n - overlap + i, F.lit(1)).alias("a"), F.substring(left_qual, n - overlap + i, F.lit(1)).alias("p"), F.substring(right_seq, i, F.lit(1)).alias("b"), F.substring(right_qual, i, F.lit(1)).alias("q")))
-    seq = F.array_join(F.transform(one, lambda z: F.when(z.p >= z.q, z.a).otherwise(z.b)), "")
-    qual = F.array_join(F.transform(one, lambda z: F.greatest(z.p, z.q)), "")
-    whole = lambda a, mid, b: F.concat(F.substring(a, F.lit(1), n - overlap), mid, F.substring(b, overlap + 1, F.length(b)))
-    return F.struct(whole(left_seq, seq, right_seq).alias("seq"), whole(left_qual, qual, right_qual).alias("qual"))
-
-
 def local_alignment(a: str, b: str, match: int = 1, mismatch: int = -1, opens: int = -2, extends: int = -1) -> tuple[int, int, int]:
     """(score, end in a, end in b) of the best local alignment with affine gaps, row by row; a gap of n costs opens + n * extends."""
     x, y = (np.frombuffer(s.encode(), np.uint8) for s in (a, b))

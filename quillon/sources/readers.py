@@ -16,10 +16,12 @@ def _is_record(four: list[str]) -> bool:
 
 def paths_of(spark: SparkSession, path: str) -> list[str]:
     """A path, or, if the file's first line names a readable path, the paths that its lines name."""
-    lines = [r.value.strip() for r in spark.read.text(path).limit(10_000).collect()]
-    if lines and ("/" in lines[0]) and not lines[0].startswith(("@", ">", "#")) and "\t" not in lines[0]:
-        return [x for x in lines if x]
-    return [path]
+    first = spark.read.text(path).first()
+    line = first.value.strip() if first else ""
+    if "/" not in line or line.startswith(("@", ">", "#")) or "\t" in line:
+        return [path]
+    # a list is as long as there are files to read, which the driver lists anyway
+    return [x for r in spark.read.text(path).collect() if (x := r.value.strip())]
 
 
 def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -91,13 +93,17 @@ def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def pair(first: DataFrame, second: DataFrame) -> DataFrame:
-    """(read_no, r1, r2) of two files' reads; the shorter file ends it."""
-    one = lambda d, n: d.select("read_no", F.struct("name", "seq", "qual").alias(n))
-    return one(first, "r1").join(one(second, "r2"), "read_no")
+    """(file_no, read_no, r1, r2) of two mates' reads, the files of each taken in the order of their names; the shorter file of two ends them."""
+
+    def one(d: DataFrame, n: str) -> DataFrame:
+        files = d.select("file").distinct().withColumn("file_no", F.row_number().over(Window.orderBy("file")) - 1)  # a row a file
+        return d.join(F.broadcast(files), "file").select("file_no", "read_no", F.struct("name", "seq", "qual").alias(n))
+
+    return one(first, "r1").join(one(second, "r2"), ["file_no", "read_no"])
 
 
 def interleaved(reads: DataFrame) -> DataFrame:
-    """Pairs of one file in which mates follow each other."""
+    """Pairs of files in which mates follow each other."""
     mate = reads.withColumns({"m": F.col("read_no") % 2, "read_no": F.floor(F.col("read_no") / 2)})
     return pair(mate.where("m = 0"), mate.where("m = 1"))
 
