@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,8 +17,11 @@ def exon_lengths(exons: DataFrame, transcript: str = "tr", start: str = "es", en
     return exons.withColumns({"exon": F.row_number().over(w), "before": F.coalesce(F.sum(F.col(end) - F.col(start) + 1).over(before), F.lit(0)), "reach": F.max(end).over(w.rowsBetween(Window.unboundedPreceding, 0))})
 
 
-def spans(exons: DataFrame, by: str, start: str = "es", end: str = "ee") -> DataFrame:
-    return exons.groupBy(by).agg(F.min(start).alias("start"), F.max(end).alias("end"), F.count("*").alias("exons"))
+def spans(exons: DataFrame, by: str, start: str = "es", end: str = "ee", group: tuple[str, ...] = ()) -> DataFrame:
+    """Each gene's start, end and exons, and ``reach``, the largest end of the genes up to it in the order of starts; genes, not exons, meet in a group's window."""
+    out = exons.groupBy(*group, by).agg(F.min(start).alias("start"), F.max(end).alias("end"), F.count("*").alias("exons"))
+    w = Window.partitionBy(*group).orderBy("start", by).rowsBetween(Window.unboundedPreceding, 0)
+    return out.withColumn("reach", F.max("end").over(w))
 
 
 def motif(donor: Column, acceptor: Column) -> Column:
@@ -55,20 +60,74 @@ def kmer_index(kmers_: DataFrame) -> DataFrame:
     return kmers_.groupBy("kmer").agg(F.count("*").alias("n"), F.min(F.struct("chr", "pos")).alias("first"))
 
 
+def both_halves(chromosomes: DataFrame) -> DataFrame:
+    """(chr, half, seq): the chromosomes and, as half 1, their other strands."""
+    turned = F.reverse(F.translate("seq", "ACGT", "TGCA"))
+    return chromosomes.select("chr", F.posexplode(F.array("seq", turned)).alias("half", "seq"))
+
+
 def suffix_table(bins: DataFrame, width: int, depth: int, every: int = 1) -> DataFrame:
-    """(suffix, chr, pos), range-partitioned and sorted by the first ``depth`` bases: a suffix array whose rows are spread by sampled bounds. Bins overlap by ``depth`` bases."""
+    """(suffix, chr, pos), range-partitioned and sorted by the first ``depth`` bases: a suffix array whose rows are spread by sampled bounds. Bins overlap by ``depth`` bases; of the places every ``every``th is taken."""
     made = F.posexplode(F.transform(F.sequence(F.lit(0), F.least(F.length("seq"), F.lit(width)) - 1), lambda i: F.substring(F.col("seq"), i + 1, F.lit(depth))))
     rows = bins.where("length(seq) > 0").select("chr", "bin", made.alias("i", "suffix")).select("suffix", "chr", (F.col("bin").cast("long") * width + F.col("i")).alias("pos")).where(F.col("pos") % every == 0)
     return rows.repartitionByRange("suffix", "chr", "pos").sortWithinPartitions("suffix", "chr", "pos")
 
 
+def ranked(suffixes: DataFrame, path: str) -> DataFrame:
+    """The suffix table with each row's ``rank`` from 0: written to ``path`` by ranges, as their bounds are drawn anew in each run, then counted by range."""
+    suffixes.withColumn("part", F.spark_partition_id()).write.parquet(path)
+    rows = suffixes.sparkSession.read.parquet(path)
+    sizes = rows.groupBy("part").agg(F.count("*").alias("n"))
+    before = sizes.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))  # a row a range
+    inside = F.row_number().over(Window.partitionBy("part").orderBy("suffix", "chr", "pos")) - 1
+    return rows.withColumn("_i", inside).join(before, "part").select("suffix", "chr", "pos", (F.col("before") + F.col("_i")).alias("rank"))
+
+
+def prefix_index(ranked_: DataFrame, levels: int) -> DataFrame:
+    """(level, prefix, first, last, unknown): of each prefix of 1 to ``levels`` known bases that occurs, the first and last rank; ``unknown``: whether a suffix between has another letter or ends within the level."""
+    each = ranked_.select("rank", F.explode(F.sequence(F.lit(1), F.lit(levels))).alias("level"), "suffix")
+    each = each.withColumn("prefix", F.substring("suffix", F.lit(1), F.col("level")))
+    known = each.where("length(prefix) = level and not prefix rlike '[^ACGT]'").groupBy("level", "prefix").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
+    # a prefix is followed by other letters where its longer ones don't fill its ranks
+    longer = known.select((F.col("level") - 1).alias("level"), F.expr("substring(prefix, 1, level - 1)").alias("prefix"), (F.col("last") - F.col("first") + 1).alias("n"))
+    filled = longer.where("level > 0").groupBy("level", "prefix").agg(F.sum("n").alias("n"))
+    out = known.join(filled, ["level", "prefix"], "left")
+    return out.select("level", "prefix", "first", "last", ((F.col("level") < levels) & (F.coalesce("n", F.lit(0)) < F.col("last") - F.col("first") + 1)).alias("unknown"))
+
+
+def absent_prefixes(index: DataFrame, level: int) -> DataFrame:
+    """Prefixes of a level that don't occur."""
+    digit = F.transform(F.sequence(F.lit(level - 1), F.lit(0)), lambda i: F.substring(F.lit("ACGT"), (F.floor(F.col("id") / F.pow(F.lit(4), i)) % 4).cast("int") + 1, F.lit(1)))
+    every = index.sparkSession.range(4**level).select(F.array_join(digit, "").alias("prefix"))
+    return every.join(index.where(F.col("level") == level).select("prefix"), "prefix", "left_anti")
+
+
+def insert_suffixes(ranked_: DataFrame, more: DataFrame, path: str) -> DataFrame:
+    """The ranked table with more suffixes (extra sequences, junction flanks): sorted and ranked together."""
+    both = ranked_.select("suffix", "chr", "pos").unionByName(more.select("suffix", "chr", "pos"))
+    return ranked(both.repartitionByRange("suffix", "chr", "pos").sortWithinPartitions("suffix", "chr", "pos"), path)
+
+
 def repeat_shift(left: Column, right: Column) -> Column:
-    """Bases by which a gap can slide: the common prefix of two strings, 255 at most."""
+    """Bases by which a gap can slide to the right: the common prefix of two strings, without unknown bases, 255 at most. To the left: of the reversed bases before the gap and those that end it."""
     n = F.least(F.length(left), F.length(right), F.lit(255))
-    wrong = F.filter(F.sequence(F.lit(1), n), lambda i: F.substring(left, i, 1) != F.substring(right, i, 1))
+    wrong = F.filter(F.sequence(F.lit(1), n), lambda i: (F.substring(left, i, 1) != F.substring(right, i, 1)) | ~F.substring(left, i, 1).isin(*"ACGT"))
     return F.when(n <= 0, 0).otherwise(F.coalesce(F.array_min(wrong) - 1, n))
 
 
+def shifts(junctions: DataFrame, bins: DataFrame, width: int, most: int = 255) -> DataFrame:
+    """``motif``, ``shift_left`` and ``shift_right`` of introns (chr, 0-based start, end after it); bins overlap by ``most`` bases."""
+    left = lambda at: F.greatest(F.col(at) - most, F.lit(0))
+    out = junctions.withColumns({"_a": left("start"), "_b": left("end")})
+    for name, at in (("_p", "_a"), ("_q", "start"), ("_r", "_b"), ("_s", "end")):
+        out = fetch(out, bins, width, at, F.lit(most), name)
+    before = lambda c, at, low: F.reverse(F.substring(c, F.lit(1), (F.col(at) - F.col(low)).cast("int")))
+    ends = F.substring("_r", (F.col("end") - F.col("_b") - 1).cast("int"), F.lit(2))
+    return out.withColumns({
+        "motif": motif(F.substring("_q", 1, 2), ends), "shift_left": repeat_shift(before("_p", "start", "_a"), before("_r", "end", "_b")), "shift_right": repeat_shift(F.col("_q"), F.col("_s")),
+    }).drop("_a", "_b", "_p", "_q", "_r", "_s")
+
+
 def locate(positions: DataFrame, chromosomes: DataFrame, at: str = "pos", width: int = 1 << 24) -> DataFrame:
     """``chr``, ``chr_start`` and ``chr_length`` of the chromosome of each genome-wide position; positions outside all are dropped."""
     fields = ["chr", "chr_start", "chr_length"]
@@ -92,14 +151,20 @@ def allele_choices(flanks_: DataFrame, most: int = 10) -> DataFrame:
     return rows.withColumn("variant", F.when(F.col("choice") < 0, F.col("flank")).otherwise(put))
 
 
-def window_parameters(genome_bases: int, intron_max: int = 0, mates_gap: int = 0, bits: int = 16, reach: int = 9, bin_bits: int = 18) -> dict[str, int]:
-    """Window bins from the limits of introns and mates: without limits the defaults, else bins of about a quarter of the larger limit, between 2^4 and the default, and a reach that covers it twice."""
-    if intron_max == 0 and mates_gap == 0:
-        return {"bits": bits, "reach": reach, "flank": 4, "bins": (genome_bases >> bits) + 1}
-    limit = max(4, intron_max, mates_gap or 1000)
-    bits = max(4, min(bin_bits, bits, round(limit / 4).bit_length() - 1))
-    reach = max(1, -(-2 * limit // (1 << bits)) + 1)
-    return {"bits": bits, "reach": reach, "flank": max(1, reach // 2), "bins": (genome_bases >> bits) + 1}
+def window_parameters(genome_bases: int, intron_max: int = 0, mates_gap: int = 0, bits: int = 16, reach: int = 9, flank: int = 4, bin_bits: int = 18) -> dict[str, int]:
+    """Window bins from the limits of introns and mates. Without limits the defaults hold. Otherwise a bin is about a
+    quarter of the largest of 4, the intron limit and the mates' limit (1000 if not given), in whole powers of two, but
+    not so small that the genome has many more than 40 000 bins; the flank is the larger limit in bins, rounded up, and
+    the reach twice that. No bin is larger than a chromosome's."""
+    near = lambda x: math.floor(math.log2(x) + 0.5)
+    limited = intron_max > 0 or mates_gap > 0
+    if limited:
+        bits = max(near(max(4, intron_max, mates_gap or 1000) // 4), near(genome_bases // 40_000 + 1))
+    bits = min(bits, bin_bits)
+    if limited:
+        flank = (max(intron_max, mates_gap) >> bits) + 1
+        reach = 2 * flank
+    return {"bits": bits, "reach": reach, "flank": flank, "bins": (genome_bases >> bits) + 1}
 
 
 def apply_consensus(genome: DataFrame, variants: DataFrame) -> DataFrame:

@@ -64,12 +64,13 @@ def seed_top(seeds: DataFrame, window: list[str], k: int = 50) -> DataFrame:
     return out.where((F.col("_r") <= k) & (F.col("_a") <= k)).drop("_r", "_a")
 
 
-def windows(anchors: DataFrame, group: list[str], at: str, bins: int = 16, reach: int = 9, flank: int = 4) -> DataFrame:
-    """(group, island, first_bin, last_bin, anchors): anchors' bins of 2^bins bases, joined within ``reach`` bins, widened by ``flank``. Which anchors meet doesn't depend on their order."""
+def windows(anchors: DataFrame, group: list[str], at: str, bins: int = 16, reach: int = 9, flank: int = 4, last: Column | None = None) -> DataFrame:
+    """(group, island, first_bin, last_bin, anchors): anchors' bins of 2^bins bases, joined within ``reach`` bins, widened by ``flank`` inside the chromosome, whose last bin may be given by the groups' columns. Which anchors meet doesn't depend on their order; a group is a read's strand and chromosome."""
     binned = anchors.withColumn("_b", F.floor(F.col(at) / (1 << bins)))
     joined = islands(binned.withColumn("_e", F.col("_b")), group, "_b", "_e", reach)
     out = joined.groupBy(*group, "island").agg(F.min("_b").alias("first_bin"), F.max("_b").alias("last_bin"), F.count("*").alias("anchors"))
-    return out.withColumns({"first_bin": F.greatest(F.col("first_bin") - flank, F.lit(0)), "last_bin": F.col("last_bin") + flank})
+    end = F.col("last_bin") + flank
+    return out.withColumns({"first_bin": F.greatest(F.col("first_bin") - flank, F.lit(0)), "last_bin": end if last is None else F.least(end, last)})
 
 
 def drop_dominated(rows: DataFrame, window: list[str], key: str, blocks: str, score: str) -> DataFrame:
@@ -80,12 +81,3 @@ def drop_dominated(rows: DataFrame, window: list[str], key: str, blocks: str, sc
     pairs = a.join(b, [*window, "block"]).where("a <> b and na <= nb").groupBy(*window, "a", "b", "sa", "sb", "na", "nb").agg(F.count("*").alias("c")).where("c = na")
     lost = pairs.where("sb > sa or (sb = sa and (nb > na or b < a))").select(*window, F.col("a").alias(key)).distinct()
     return rows.join(lost, [*window, key], "left_anti")
-
-
-def keep_pairs(rows: DataFrame, read: list[str], most: int) -> DataFrame:
-    """The first ``most`` loci (hi) of each read."""
-    return rows.where(F.col("hi") <= most)
-
-
-def by_input(rows: DataFrame, number: str = "read_no") -> DataFrame:
-    return rows.orderBy(number)

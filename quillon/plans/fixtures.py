@@ -44,6 +44,32 @@ from (select l_orderkey k1, l_linenumber k2, l_partkey k3, l_suppkey k4, cast(l_
     "exons": """select o_custkey tr, o_custkey % 300 gene, o_orderkey, o_custkey * 100000 + (o_orderkey % 400) * 200 es,
   o_custkey * 100000 + (o_orderkey % 400) * 200 + 60 + o_orderkey % 200 ee from orders""",
 }
+TEXTS |= {
+    # exons of genes: two of each part, and a third of every fourth
+    "gene_exons": """select gene_id, chr, cast(gs + o * 400 as bigint) gs, cast(least(gs + o * 400 + 150 + gene_id % 90, ge + 900) as bigint) ge, strand
+from (select p_partkey gene_id, cast(floor(p_partkey / 500.0) as int) % 5 chr, p_partkey * 1000 gs, p_partkey * 1000 + p_size * 40 ge, cast(p_partkey % 3 as int) strand from part) g
+cross join (select 0 o union all select 1 o union all select 2 o) e where o < 2 or gene_id % 4 = 0""",
+    # alignments of three blocks, a row a block: what follows a block, places, lengths, clips
+    "pieces": """select k1, k2, k3, k4, k5, i, frag, len, r, g, kind, annot, lft, rgt, ref_len, read_length
+from (select k1, k2, k3, k4, k5, i,
+    case i when 0 then l0 when 1 then l1 else l2 end len, case when i = 2 and m1 = -3 or i >= 1 and m0 = -3 then 1 else 0 end frag,
+    case i when 0 then c0 when 1 then c0 + l0 + x0 else c0 + l0 + x0 + l1 + x1 end r,
+    case i when 0 then g0 when 1 then g0 + l0 + y0 else g0 + l0 + y0 + l1 + y1 end g,
+    case i when 0 then m0 when 1 then m1 else -9 end kind, case i when 0 then a0 when 1 then a1 else 0 end annot,
+    case i when 0 then k4 % 5 when 1 then k1 % 4 else 0 end lft, case i when 0 then k3 % 3 when 1 then k2 % 3 else 0 end rgt,
+    c0 + l0 + x0 + l1 + x1 + l2 + k3 % 3 read_length, l0 + y0 + l1 + y1 + l2 ref_len
+  from (select k1, k2, k3, k4, k5, l0, l1, l2, c0, g0, m0, m1, a0, a1,
+      case when m0 = -2 then 1 + k3 % 3 when m0 = -3 then 1 else 0 end x0, case when m1 = -2 then 1 + k3 % 3 when m1 = -3 then 1 else 0 end x1,
+      case when m0 >= 0 then 100 + k4 * 10 when m0 = -1 then 1 + k4 % 4 when m0 = -3 then k2 * 5 - 12 else 0 end y0,
+      case when m1 >= 0 then 60 + k2 * 10 when m1 = -1 then 1 + k2 % 3 when m1 = -3 then k4 * 3 - 9 else 0 end y1
+    from (select l_orderkey k1, l_linenumber k2, l_partkey k3, l_suppkey k4, l_extendedprice k5,
+        cast(3 + l_quantity as bigint) % 23 + 1 l0, cast(4 + l_linenumber * 3 as bigint) l1, cast(2 + l_suppkey % 19 as bigint) l2, l_linenumber % 4 c0, l_partkey * 1000 + l_suppkey g0,
+        cast(case when l_orderkey % 9 = 8 then -3 when l_orderkey % 9 = 7 then -2 when l_orderkey % 9 = 6 then -1 else l_orderkey % 7 end as int) m0,
+        cast(case when l_orderkey % 9 = 8 then 1 when l_partkey % 5 = 0 then -3 when l_partkey % 5 = 1 then -1 else l_suppkey % 7 end as int) m1,
+        cast(case when l_partkey % 3 = 0 and l_orderkey % 9 < 6 then 1 else 0 end as int) a0, cast(case when l_linenumber % 3 = 0 and l_partkey % 5 > 1 and l_orderkey % 9 < 8 then 1 else 0 end as int) a1
+      from lineitem) b) c
+  cross join (select 0 i union all select 1 i union all select 2 i) d) e""",
+}
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
 

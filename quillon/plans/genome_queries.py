@@ -55,7 +55,10 @@ EXONS = duck("exons") + """ select tr, o_orderkey, cast(row_number() over w as i
 
 
 def gene_spans(spark, d):
-    return A.spans(derived(spark, d, "exons"), "gene")
+    return A.spans(derived(spark, d, "exons").withColumn("chr", F.col("tr") % 3), "gene", group=("chr",))
+
+
+SPANS = duck("exons") + """, s as (select tr % 3 chr, gene, min(es) start, max(ee) "end", count(*) exons from exons group by 1, 2) select *, max("end") over (partition by chr order by start, gene) reach from s"""
 
 
 def kmer_index(spark, d):
@@ -113,10 +116,10 @@ from blocks join snps on blocks.chr = snps.chr and pos between bs and bend where
 
 
 def gene_counts(spark, d):
-    return Q.gene_counts(derived(spark, d, "blocks"), derived(spark, d, "genes"), KEYS)
+    return Q.gene_counts(derived(spark, d, "blocks"), derived(spark, d, "gene_exons"), KEYS)
 
 
-GENES = duck("blocks", "genes") + f""", h as (select distinct {K}, gene_id, strand, str from blocks b join genes g on b.chr = g.chr and bs <= ge and gs <= bend where nh = 1),
+GENES = duck("blocks", "gene_exons") + f""", genes as (select distinct gene_id from gene_exons), h as (select distinct {K}, gene_id, strand, str from blocks b join gene_exons g on b.chr = g.chr and bs <= ge and gs <= bend where nh = 1),
 u as (select distinct {K} from blocks where nh = 1), m as (select unnest(['none', 'same', 'reverse']) m),
 f as (select {K}, m, gene_id from h, m where m = 'none' or strand = 0 or (m = 'same' and strand = str + 1) or (m = 'reverse' and strand = 2 - str)),
 p as (select {K}, m, min(gene_id) lo, max(gene_id) hi from f group by {K}, m),
@@ -133,31 +136,59 @@ def full_overlap(spark, d):
 FULL = duck("blocks", "genes") + f""" select {K}, array_to_string(list_sort(list_distinct(list(gene_id))), ',') genes from blocks b join genes g on b.chr = g.chr and bs <= ge and gs <= bend where strand = 0 or strand = str + 1 group by {K}"""
 
 
-def projection_inputs(spark, d):
-    """Transcripts of two exons for each part, cut so that some reads' blocks end at their edges."""
-    part = table(spark, d, "part").select(F.col("p_partkey").alias("tr"), (F.floor(F.col("p_partkey") / 500.0).cast("int") % 5).alias("chr"), "p_size")
-    two = part.select("tr", "chr", F.posexplode(F.array(F.struct((F.col("tr") * 1000).alias("es"), (F.col("tr") * 1000 + 399).alias("ee")), F.struct((F.col("tr") * 1000 + 500).alias("es"), (F.col("tr") * 1000 + 500 + F.col("p_size") * 30).alias("ee")))).alias("i", "x"))
-    return derived(spark, d, "blocks"), A.exon_lengths(two.select("tr", "chr", "x.es", "x.ee"))
+def projection(spark, d):
+    """Alignments of the pieces, moved onto transcripts of three exons for each part, some of the other strand."""
+    p = derived(spark, d, "pieces").where("kind <> -9 or i = 2")
+    one = F.struct("i", F.col("r").cast("bigint").alias("r"), F.col("g").alias("g"), F.col("len").alias("len"), "kind")
+    rows = p.groupBy(*KEYS, (F.col("k3") % 5).alias("chr"), (F.col("k1") % 2).cast("int").alias("str"), "read_length").agg(F.sort_array(F.collect_list(one)).alias("x"))
+    sign = lambda x: F.when(x.kind >= 0, "N").when(x.kind == -1, "D").when(x.kind == -2, "I").otherwise("P")
+    rows = rows.select(*KEYS, "chr", "str", "read_length", F.transform("x", lambda x: F.struct(x.r.alias("r"), x.g.alias("g"), x.len.alias("len"))).alias("blocks"), F.transform(F.slice("x", 1, 2), sign).alias("gaps"))
+    return Q.project(rows, transcripts(spark, d)).select(*KEYS, "tr", "t_str", F.array_join(F.transform("t_blocks", lambda b: F.concat_ws(":", b.r, b.t, b.len)), ",").alias("at"))
 
 
-def projection(spark, d):
-    blocks, exons = projection_inputs(spark, d)
-    return Q.project(blocks, exons, KEYS)
+def transcripts(spark, d):
+    return spark.sql(_spark_exons(), line=table(spark, d, "lineitem"), part=table(spark, d, "part"))
+
+
+#: Exons that end and begin where some alignments' junctions do: of the alignments whose keys are the least of their part.
+EXON_TEXT = """select k3 tr, cast(k3 % 5 as int) chr, cast(1 + k3 % 2 as int) tr_str, e.o, case e.o when 0 then k3 * 1000 - 20 when 1 then k3 * 1000 + k4 + l0 + 100 + k4 * 10 else k3 * 1000 + k4 + l0 + 160 + k4 * 10 + l1 + k2 * 10 end es,
+  case e.o when 0 then k3 * 1000 + k4 + l0 - 1 when 1 then k3 * 1000 + k4 + l0 + 100 + k4 * 10 + l1 - 1 else k3 * 1000 + k4 + l0 + 160 + k4 * 10 + l1 + k2 * 10 + 300 end ee
+from (select l_partkey k3, min(l_suppkey) k4, min(l_linenumber) k2, min(cast(3 + l_quantity as bigint) % 23 + 1) l0, min(cast(4 + l_linenumber * 3 as bigint)) l1 from LINE where l_suppkey * 100 + l_linenumber in (select 100 * s + n from (select l_suppkey s, 1 n from LINE) q) group by l_partkey) t
+cross join (select 0 o union all select 1 o union all select 2 o) e"""
+
+
+def _spark_exons() -> str:
+    return EXON_TEXT.replace("LINE", "{line}")
+
 
+PROJECT = duck("pieces") + f""", ex0 as ({EXON_TEXT.replace('LINE', 'lineitem')}), ex as (select tr, chr, tr_str, cast(o as int) o, es, ee, coalesce(sum(ee - es + 1) over (partition by tr order by es rows between unbounded preceding and 1 preceding), 0) bef, sum(ee - es + 1) over (partition by tr) tl from ex0),
+a as (select {K}, k3 % 5 chr, k1 % 2 str, read_length, max(case when i = 0 then r end) r0, max(case when i = 1 then r end) r1, max(case when i = 2 then r end) r2, max(case when i = 0 then g end) g0, max(case when i = 1 then g end) g1, max(case when i = 2 then g end) g2,
+  max(case when i = 0 then len end) l0, max(case when i = 1 then len end) l1, max(case when i = 2 then len end) l2, max(case when i = 0 then kind end) m0, max(case when i = 1 then kind end) m1 from pieces group by {K}, 6, 7, read_length),
+c as (select a.*, tr, unnest([0, -1]) dd from a, (select 0 tr) z),
+j as (select c.* exclude (tr, dd), k3 + dd tr from c),
+f as (select j.*, tr_str, tl, o o0, es s0, ee e0, bef b0 from j join ex using (tr, chr) where g0 >= es and g0 + l0 - 1 <= ee),
+s as (select f.*, x.o o1, x.es s1, x.ee e1, x.bef b1 from f join ex x on x.tr = f.tr where g1 >= x.es and g1 + l1 - 1 <= x.ee and
+  case when m0 >= 0 then x.o = o0 + 1 and g0 + l0 - 1 = e0 and g1 = x.es when m0 = -3 then true else x.o = o0 end),
+t as (select s.*, y.es s2, y.bef b2 from s join ex y on y.tr = s.tr where g2 >= y.es and g2 + l2 - 1 <= y.ee and
+  case when m1 >= 0 then y.o = o1 + 1 and g1 + l1 - 1 = e1 and g2 = y.es when m1 = -3 then true else y.o = o1 end),
+q as (select {K}, tr, tr_str, str, read_length, tl, r0, b0 + g0 - s0 t0, r1, b1 + g1 - s1 t1, r2, b2 + g2 - s2 t2, l0, l1, l2, m0 >= 0 n0, m1 >= 0 n1 from t),
+l as (select *, case when n0 and n1 then [struct_pack(r := r0, t := t0, l := l0 + l1 + l2)] when n0 then [struct_pack(r := r0, t := t0, l := l0 + l1), struct_pack(r := r2, t := t2, l := l2)]
+  when n1 then [struct_pack(r := r0, t := t0, l := l0), struct_pack(r := r1, t := t1, l := l1 + l2)] else [struct_pack(r := r0, t := t0, l := l0), struct_pack(r := r1, t := t1, l := l1), struct_pack(r := r2, t := t2, l := l2)] end b from q)
+select {K}, tr, case when tr_str = 2 then 1 - str else str end t_str, array_to_string(case when tr_str = 1 then list_transform(b, lambda x: x.r || ':' || cast(x.t as bigint) || ':' || x.l) else list_reverse(list_transform(b, lambda x: (read_length - x.r - x.l) || ':' || cast(tl - x.t - x.l as bigint) || ':' || x.l)) end, ',') "at" from l"""
 
-PROJECT = duck("blocks") + f""", p as (select p_partkey tr, cast(floor(p_partkey / 500.0) as int) % 5 chr, p_size from part),
-e as (select tr, chr, 1 exon, tr * 1000 es, tr * 1000 + 399 ee, 0 bef from p union all select tr, chr, 2, tr * 1000 + 500, tr * 1000 + 500 + p_size * 30, 400 from p),
-h as (select {K}, b, bs, bend, tr, exon, es, ee, bef from blocks x join e on x.chr = e.chr and bs >= es and bend <= ee)
-select x.k1, x.k2, x.k3, x.k4, x.k5, x.tr, cast(x.bef + x.bs - x.es as bigint) t_start, cast(y.bef + y.bend - y.es as bigint) t_end from h x join h y using ({K}, tr)
-where x.b = 0 and y.b = 1 and (x.exon = y.exon or (y.exon = x.exon + 1 and x.bend = x.ee and y.bs = y.es))"""
+
+def many_loci(spark, d):
+    """Blocks of reads of 1 to 26 loci."""
+    return derived(spark, d, "blocks").withColumn("nh", F.when(F.col("nh") > 1, F.col("k4") % 25 + 2).otherwise(1))
 
 
 def bedgraph(spark, d):
-    return Q.signal(derived(spark, d, "blocks"))
+    return Q.signal(many_loci(spark, d))
 
 
-def _signal(by: str) -> str:
-    return duck("blocks") + f""", k as (select chr, str, bs, bend, 'unique' kind, 2520 w from blocks where nh = 1 union all select chr, str, bs, bend, 'all', 2520 // nh from blocks),
+def _signal(by: str, where: str = "true", events: str = "select chr, str, bs, bend, kind, w from n") -> str:
+    return duck("blocks") + f""", m as (select * exclude (nh), case when nh > 1 then k4 % 25 + 2 else 1 end nh, 1 + k2 % 2 mate from blocks where {where}),
+n as (select *, 'unique' kind, {Q.SCALE} w from m where nh = 1 union all select *, 'all', cast(round({Q.SCALE}.0 / nh) as bigint) from m), k as ({events}),
 s as (select {by}, kind, p, sum(w) dd from (select {by}, kind, bs p, w from k union all select {by}, kind, bend + 1, -w from k) group by {by}, kind, p having sum(w) <> 0),
 r as (select {by}, kind, p start, lead(p) over w "end", cast(sum(dd) over w as bigint) value from s window w as (partition by {by}, kind order by p))"""
 
@@ -166,20 +197,46 @@ BED = _signal("chr, str") + """ select chr, str, kind, start, "end", value from
 
 
 def rpm(spark, d):
-    blocks = derived(spark, d, "blocks")
-    return Q.per_million(Q.signal(blocks, False), blocks, KEYS)
+    """Per million, of the chromosomes whose names begin with 1 or hold it."""
+    blocks = many_loci(spark, d).withColumn("chr", F.col("chr") + 10 * ((F.col("chr") + 1) % 3))
+    return Q.per_million(Q.signal(blocks, False, prefix="1"), blocks.where("b = 0"), prefix="1")
+
+
+RPM = _signal("chr", "true", "select chr + 10 * ((chr + 1) % 3) chr, bs, bend, kind, w from n where cast(chr + 10 * ((chr + 1) % 3) as varchar) like '1%'") + f""", t as (select count_if(nh = 1) u, sum(case when nh > 1 then cast(round({Q.SCALE}.0 / nh) as bigint) else 0 end) v from m where b = 0 and cast(chr + 10 * ((chr + 1) % 3) as varchar) like '1%')
+select chr, kind, start, "end", value, round(value / {Q.SCALE}.0 * 1e6 / case when kind = 'unique' then u else u + v / {Q.SCALE}.0 end, 6) rpm from r, t where value <> 0"""
+
+
+def starts(spark, d):
+    """The 5' bases of first mates, and second mates' blocks."""
+    blocks = many_loci(spark, d).withColumn("mate", (F.col("k2") % 2 + 1).cast("int"))
+    first = Q.signal(blocks, part="start", read=tuple(KEYS)).withColumn("part", F.lit("start"))
+    return first.unionByName(Q.signal(blocks, part="second").withColumn("part", F.lit("second")))
+
+
+STARTS = _signal("part, chr, str", "true", f"""select 'second' part, chr, str, bs, bend, kind, w from n where mate = 2 union all
+  select 'start', chr, str, p, p, kind, w from (select {K}, chr, str, kind, w, case when str = 0 then min(bs) else max(bend) end p from n where mate = 1 group by all)""").replace("group by all", f"group by {K}, chr, str, kind, w") + ' select part, chr, str, kind, start, "end", value from r where value <> 0'
+
+
+def wiggle(spark, d):
+    """Bases of the signal, summed up by chromosome."""
+    w = Q.wiggle(Q.signal(many_loci(spark, d), False))
+    return w.groupBy("chr", "kind").agg(F.count("*").alias("bases"), F.sum("pos").alias("places"), F.sum(F.col("pos") % 97 * F.col("value") % 1_000_003).alias("worth"))
 
 
-RPM = _signal("chr") + f""", t as (select count_if(nh = 1) u, count(*) a from (select distinct {K}, nh from blocks))
-select chr, kind, start, "end", value, round(value / 2520.0 * 1e6 / case when kind = 'unique' then u else a end, 6) rpm from r, t where value <> 0"""
+WIGGLE = _signal("chr") + """, b as (select chr, kind, value, unnest(range(start + 1, "end" + 1)) pos from r where value <> 0) select chr, kind, count(*) bases, cast(sum(pos) as bigint) places, cast(sum(pos % 97 * value % 1000003) as bigint) worth from b group by 1, 2"""
 
 
 def duplicates(spark, d):
-    reads = derived(spark, d, "blocks").where("b = 0").select(*KEYS, "chr", "str", (F.col("bs") - F.col("bs") % 50).alias("at"), (F.col("bend") - F.col("bs")).alias("score"))
-    return Q.mark_duplicates(reads, ["chr", "str", "at"], "score", KEYS).select(*KEYS, "duplicate")
+    """Pairs of few places, clips and flags; some without a place."""
+    b = derived(spark, d, "blocks").where("b = 0")
+    clip = lambda c: F.when(F.col(c) % 3 == 0, "4S26M").when(F.col(c) % 3 == 1, "30M").otherwise("2S20M100N6M2S")
+    start = lambda c: F.when(F.col(c) % 3 == 0, 4).when(F.col(c) % 3 == 1, 0).otherwise(2)
+    pairs = b.select(*KEYS, "chr", F.when(F.col("k2") < 7, F.col("k3") % 20 * 100 + start("k4")).alias("pos1"), clip("k4").alias("cigar1"), (F.lit(99) + F.col("k1") % 2 * 16).cast("int").alias("flag1"), (F.col("k3") % 20 * 100 + 300 + start("k2")).alias("pos2"), clip("k2").alias("cigar2"), (F.lit(147) - F.col("k1") % 2 * 16).cast("int").alias("flag2"), F.concat(F.repeat(F.lit("ACG"), F.lit(9)), F.when(F.col("k4") % 2 == 0, "TTT").otherwise("TTA")).alias("seq2"), (F.col("bend") - F.col("bs")).alias("score"), "nh")
+    return Q.mark_duplicates(Q.pair_keys(pairs, 4), ["chr", *[f"key{i}" for i in range(1, 8)]], "score", KEYS, True).select(*KEYS, "key5", "duplicate")
 
 
-DUPS = duck("blocks") + f""" select {K}, row_number() over (partition by chr, str, bs - bs % 50 order by bend - bs desc, {K}) > 1 duplicate from blocks where b = 0"""
+DUPS = duck("blocks") + f""", p as (select {K}, chr, case when k2 < 7 then k3 % 20 * 100 end a, case when k4 % 3 = 2 then '22M100N8M' else '30M' end c1, k1 % 2 f, k3 % 20 * 100 + 300 z, case when k2 % 3 = 2 then '22M100N8M' else '30M' end c2, case when k1 % 2 = 1 then 'ACGA' when k4 % 2 = 0 then 'GTTT' else 'GTTA' end q, bend - bs score, nh from blocks where b = 0)
+select {K}, c1 key5, nh > 1 or row_number() over (partition by chr, a, c1, f, z, c2, q order by score desc, {K}) > 1 duplicate from p"""
 
 
 def lifted(spark, d):
@@ -207,7 +264,7 @@ QUERIES = {
     "gtf_junctions": (gtf_junctions, GTF),
     "junction_dedupe_priority": (dedupe, DEDUPE),
     "transcript_exon_cumlen": (exon_lengths, EXONS),
-    "gene_spans": (gene_spans, duck("exons") + ' select gene, min(es) start, max(ee) "end", count(*) exons from exons group by gene'),
+    "gene_spans": (gene_spans, SPANS),
     "kmer_index": (kmer_index, KMERS),
     "junction_collapse": (collapsed, EMIT + " select * from c"),
     "junction_filter": (filtered, TWO + " select * from g2"),
@@ -219,6 +276,8 @@ QUERIES = {
     "coverage_bedgraph": (bedgraph, BED),
     "coverage_rpm": (rpm, RPM),
     "mark_duplicates": (duplicates, DUPS),
+    "coverage_parts": (starts, STARTS),
+    "coverage_wiggle": (wiggle, WIGGLE),
     "liftover_asof": (lifted, LIFT),
     "final_stats": (stats, STATS),
 }

@@ -66,14 +66,16 @@ SEEDS = """select "window", length, anchor, r_start, g_start from (select *, row
 
 
 def windows(spark, d):
-    anchors = table(spark, d, "lineitem").select((F.col("l_suppkey") % 5).alias("chr"), (F.col("l_linenumber") % 2).alias("str"), (F.col("l_orderkey") * 4099 + F.col("l_partkey")).alias("at"))
-    return sam.windows(anchors, ["chr", "str"], "at")
+    """Anchors of an order's lines, some far apart, on a chromosome of 40 bins."""
+    at = F.col("l_linenumber") * F.col("l_linenumber") * 61_000 + F.col("l_partkey") % 100 * 4_099 + F.col("l_suppkey") % 3 * 600_000
+    anchors = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("read"), (F.col("l_suppkey") % 2).alias("chr"), (F.col("l_partkey") % 2).alias("str"), at.alias("at"))
+    return sam.windows(anchors, ["read", "chr", "str"], "at", last=F.lit(40) + F.col("chr"))
 
 
-WINDOWS = """with a as (select l_suppkey % 5 chr, l_linenumber % 2 str, (l_orderkey * 4099 + l_partkey) // 65536 b from lineitem),
-n as (select *, case when b - max(b) over (partition by chr, str order by b rows between unbounded preceding and 1 preceding) > 9 then 1 else 0 end n from a),
-i as (select *, sum(n) over (partition by chr, str order by b rows unbounded preceding) island from n)
-select chr, str, cast(island as bigint) island, greatest(min(b) - 4, 0) first_bin, max(b) + 4 last_bin, count(*) anchors from i group by chr, str, island"""
+WINDOWS = """with a as (select l_orderkey "read", l_suppkey % 2 chr, l_partkey % 2 str, (l_linenumber * l_linenumber * 61000 + l_partkey % 100 * 4099 + l_suppkey % 3 * 600000) // 65536 b from lineitem),
+n as (select *, case when b - max(b) over (partition by "read", chr, str order by b rows between unbounded preceding and 1 preceding) > 9 then 1 else 0 end n from a),
+i as (select *, sum(n) over (partition by "read", chr, str order by b rows unbounded preceding) island from n)
+select "read", chr, str, cast(island as bigint) island, greatest(min(b) - 4, 0) first_bin, least(max(b) + 4, 40 + chr) last_bin, count(*) anchors from i group by "read", chr, str, island"""
 
 
 def dominated(spark, d):
