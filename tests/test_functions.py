@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quillon.functions import seq
 from quillon.operators import align as A
-from quillon.operators import annotation, barcode, cells, chimera, intervals, junctions, quant
+from quillon.operators import annotation, barcode, cells, chimera, frontend, intervals, junctions, quant, reads
 from quillon.sources import readers, writers
 
 
@@ -240,7 +240,38 @@ def test_sam_round_trip(spark, tmp_path):
 
 def test_merged_pair(spark):
     left, right = "ACGTACGTAA" + "GATTACAGATTACAGATTACAGATTACAGATTACA", "GATTACAGATTACAGATTACAGATTACAGATTACA" + "CCC"
-    assert one(spark, barcode.merge_pair(F.lit(left), F.lit(right), 30))[0] == 35 and one(spark, barcode.merge_pair(F.lit("A"), F.lit("A"), 30))[0] is None
+    n = lambda a, p, b, q: one(spark, barcode.merge_overlap(*map(F.lit, (a, p, b, q))))[0]
+    high, other = "I" * 45, "GATTACAGAT" + "G" + right[11:]
+    assert n(left, high, right, "I" * 38) == 35 and n("A", "I", "A", "I") is None
+    # a difference must be between a good base and a poor one
+    assert n(left, high, other, "I" * 38) is None and n(left, high, other, "I" * 10 + "#" + "I" * 27) == 35
+    got = one(spark, barcode.merge_reads(*map(F.lit, (left, high, other, "I" * 10 + "#" + "I" * 27, 35))))[0]
+    assert got.seq == left + "CCC" and got.qual == "I" * 10 + "q" * 10 + "I" + "q" * 24 + "III"
+
+
+def test_adapter_cuts_bases_and_qualities_alike(spark):
+    df = spark.createDataFrame([("ACGTACGTACGG", "ABCDEFGHIJKL"), ("ACGATTACAGGT", "ABCDEFGHIJKL"), ("", "")], "seq string, qual string")
+    assert [tuple(r) for r in reads.clip_adapter(df, "GATTACAGG").collect()] == [("ACGTACGTACG", "ABCDEFGHIJK"), ("AC", "AB"), ("", "")]
+
+
+def test_front_end_raises_and_routes(spark):
+    df = spark.createDataFrame([("ACGT", 1), ("ACG", 2)], "seq string, n int")
+    with pytest.raises(Exception, match="read length"):
+        frontend.check_lengths(df, F.col("seq")).collect()
+    assert frontend.check_lengths(df.where("n = 1"), F.col("seq")).count() == 1 and frontend.check_lengths(df.limit(0), F.col("seq")).count() == 0
+    with pytest.raises(Exception, match="no code"):
+        df.select(frontend.encode_or_fail(F.lit("ACNT"))).collect()
+    names = [one(spark, frontend.tagged_name(F.lit(x), F.lit(255), F.lit(1)))[0] for x in ("a/1", "a/2/b/2", "a/1/2", "a")]
+    assert names == ["a FF 1", "a/2/b FF 1", "a/1 FF 1", "a FF 1"]
+    rows = frontend.split_unknown(spark.createDataFrame([("ACGT",), ("ANGT",), ("NNGT",)], "cb string")).collect()
+    assert [(r.way, r.n_pos, r.barcode) for r in rows] == [("exact", -1, 27), ("rescue", 2, 11), ("drop", -1, 11)]
+
+
+def test_path_lists_of_any_length(spark, tmp_path):
+    (tmp_path / "list").write_text("\n".join(f"/data/reads_{i}.fq" for i in range(12_345)))
+    (tmp_path / "one").write_text("@r/1\nA\n+\nI\n")
+    assert len(readers.paths_of(spark, str(tmp_path / "list"))) == 12_345
+    assert readers.paths_of(spark, str(tmp_path / "one")) == [str(tmp_path / "one")]
 
 
 def test_duplicate_positions(spark):

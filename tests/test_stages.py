@@ -22,11 +22,6 @@ def test_adapters_and_stretches(spark):
     assert tuple(reads.clip(df, 1, 2).first()) == ("CGT", "III") and tuple(reads.clip(df, 5, 5).first()) == ("", "")
 
 
-def test_merged_mates_take_the_better_base(spark):
-    got = one(spark, reads.merged(F.lit("AACCG"), F.lit("IIII!"), F.lit("CCTGG"), F.lit("IIIII"), F.lit(3)))
-    assert tuple(got) == ("AACCTGG", "IIIIIII")
-
-
 def test_local_alignment():
     assert reads.local_alignment("GATTACA", "GATTACA") == (7, 7, 7) and reads.local_alignment("AAA", "CCC")[0] == 0
     assert reads.local_alignment("ACGTACGTAC" + "GGCATTAGCC", "ACGTACGTAC" + "T" + "GGCATTAGCC")[0] == 17
@@ -56,7 +51,9 @@ def test_flanks_alleles_and_places(spark):
     chromosomes = spark.createDataFrame([("a", 0, 90), ("b", 128, 50)], "chr string, chr_start long, chr_length long")
     places = annotation.locate(spark.createDataFrame([(5,), (100,), (130,), (178,)], "pos long"), chromosomes, width=64)
     assert sorted((r.pos, r.chr) for r in places.collect()) == [(5, "a"), (130, "b")]
-    assert annotation.window_parameters(1 << 20)["bits"] == 16 and annotation.window_parameters(1 << 20, 1000)["bits"] < 16
+    got = lambda *a: tuple(annotation.window_parameters(*a)[k] for k in ("bits", "reach", "flank"))
+    assert got(1 << 20) == (16, 9, 4) and got(3_100_000_000, 1000) == (16, 2, 1) and got(3_100_000_000, 500_000, 500_000) == (17, 8, 4)
+    assert got(1_000_000, 3, 0) == (8, 2, 1) and got(10_000, 2_000_000) == (18, 16, 8)
 
 
 def test_two_passes_and_other_alleles(spark):
