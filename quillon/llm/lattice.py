@@ -13,6 +13,7 @@ from .common import Scratch, components, mix
 
 TABLES, PROBES, SCALE = 10, 16, 1.25
 LINK = 0.98
+FLOATS = 2048  # numbers of a block of vectors: it bounds a row, and with it an Arrow batch
 ODD = np.random.default_rng(88).integers(1, 1 << 62, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -55,7 +56,9 @@ def usable(embedding: str = "embedding", label: str = "label"):
 
 
 def probe(classes: DataFrame, tables: int, probes: int, scale: float) -> DataFrame:
-    """(cell, rep, own): the cell of each vector in each table, and the neighbouring cells nearest to it."""
+    """(cell, own, home, rep): the cell of each vector in each table (``own``), and the neighbouring cells nearest to it, all with the vector's cell in the first table, its home; the one row of a vector that is its home names it."""
+    schema = "cell long, own boolean, home long, rep long"
+    names = ["cell", "own", "home", "rep"]
 
     def run(batches):
         near, plans = roots(), {}
@@ -70,18 +73,21 @@ def probe(classes: DataFrame, tables: int, probes: int, scale: float) -> DataFra
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
                 if dim not in plans:
                     plans[dim] = np.random.default_rng(int(dim)).normal(size=(tables, int(dim), 8)) * scale
+                home = None
                 for t in range(tables):
                     y = x @ plans[dim][t]
                     p = nearest(y)
                     seed = mix(kind[at] + ODD[10] * np.uint64(t) + ODD[11] * np.uint64(dim))
-                    own = cells(p, seed)
-                    yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(rep[at]), pa.array(np.ones(len(at), bool))], ["cell", "rep", "own"])
+                    own = cells(p, seed).view(np.int64)
+                    home = own if t == 0 else home
+                    named = pa.array(rep[at]) if t == 0 else pa.nulls(len(at), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.ones(len(at), bool)), pa.array(home), named], names)
                     if probes:
                         top = np.argpartition(-((y - p) @ near.T), probes - 1, 1)[:, :probes]
-                        other = cells(p[:, None, :] + near[top], seed[:, None])
-                        yield pa.RecordBatch.from_arrays([pa.array(other.ravel().view(np.int64)), pa.array(np.repeat(rep[at], probes)), pa.array(np.zeros(other.size, bool))], ["cell", "rep", "own"])
+                        other = cells(p[:, None, :] + near[top], seed[:, None]).view(np.int64).ravel()
+                        yield pa.RecordBatch.from_arrays([pa.array(other), pa.array(np.zeros(other.size, bool)), pa.array(np.repeat(home, probes)), pa.nulls(other.size, pa.int64())], names)
 
-    return classes.select("rep", F.col("label").cast("string"), "embedding").mapInArrow(run, "cell long, rep long, own boolean")
+    return classes.select("rep", F.col("label").cast("string"), "embedding").mapInArrow(run, schema)
 
 
 def hash_of(s: str) -> int:
@@ -96,38 +102,119 @@ def cosine(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p * q).sum(1) / (np.sqrt((p * p).sum(1)) * np.sqrt((q * q).sum(1)))
 
 
+class Tally:
+    """Links found in a task, as a row (rep, n, root) for each vector that has any: the number of others linked to it, and the smallest vector that it is joined with."""
+
+    def __init__(self, most: int = 2_000_000):
+        self.most = most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.held, self.a, self.b, self.na, self.nb = 0, [], [], [], []
+
+    def add(self, a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> None:
+        self.a.append(a), self.b.append(b), self.na.append(na), self.nb.append(nb)
+        self.held += len(a)
+
+    def rows(self, last: bool = False):
+        if not self.held or not (last or self.held >= self.most):
+            return
+        a, b, na, nb = (np.concatenate(x).astype(np.int64) for x in (self.a, self.b, self.na, self.nb))
+        self._clear()
+        ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        n = np.zeros(len(ids), np.int64)
+        np.add.at(n, at, np.concatenate([nb, na]))
+        u, v, root = at[: len(a)], at[len(a) :], np.arange(len(ids))
+        while True:  # the least label spreads over links and along labels
+            low, new = np.minimum(root[u], root[v]), root.copy()
+            for x in (u, v, root[u], root[v]):
+                np.minimum.at(new, x, low)
+            new = new[new]
+            if (new == root).all():
+                break
+            root = new
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n), pa.array(ids[root])], ["rep", "n", "root"])
+
+
+def _unpack(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(offsets, reps, copies, vectors in one row after the other) of lists of (rep, copies, embedding)."""
+    flat = column.flatten()
+    rep, copies, e = (flat.field(i) for i in range(3))
+    return column.offsets.to_numpy() - column.offsets[0].as_py(), rep.to_numpy(), copies.to_numpy(), e.cast(pa.list_(pa.float64()))
+
+
+def compare(least: float):
+    """A task's function: tallies of all links between the vectors of two blocks (lists ``x`` and ``y``), or inside one block where ``same``."""
+
+    def run(batches):
+        tally = Tally()
+        for batch in batches:
+            xo, xr, xn, xe = _unpack(batch.column(0))
+            yo, yr, yn, ye = _unpack(batch.column(1))
+            same = np.asarray(batch.column(2))
+            xd, yd = (e.value_lengths().to_numpy(zero_copy_only=False) for e in (xe, ye))
+            xs, ys = np.diff(xo), np.diff(yo)
+            # single vectors, which most blocks are, all at once
+            one = np.flatnonzero((xs == 1) & (ys == 1) & ~same)
+            one = one[xd[xo[one]] == yd[yo[one]]]
+            for dim in np.unique(xd[xo[one]]):
+                at = one[xd[xo[one]] == dim]
+                i, j = xo[at], yo[at]
+                p, q = (e.take(pa.array(k)).flatten().to_numpy().reshape(-1, dim) for e, k in ((xe, i), (ye, j)))
+                ok = cosine(p, q) >= least
+                tally.add(xr[i[ok]], yr[j[ok]], xn[i[ok]], yn[j[ok]])
+            for r in np.flatnonzero((xs > 1) | (ys > 1)):
+                i, j = slice(xo[r], xo[r + 1]), slice(yo[r], yo[r + 1])
+                dim = int(xd[xo[r]])
+                if (xd[i] != dim).any() or (yd[j] != dim).any():
+                    continue  # a home holds vectors of one length, but for a collision of hashes
+                p, q = (e.slice(k.start, k.stop - k.start).flatten().to_numpy().reshape(-1, dim) for e, k in ((xe, i), (ye, j)))
+                a, b = np.nonzero(products(p, q) >= least - 1e-9)
+                if same[r]:
+                    a, b = a[a < b], b[a < b]
+                ok = cosine(p[a], q[b]) >= least if len(a) else np.zeros(0, bool)
+                tally.add(xr[i][a[ok]], yr[j][b[ok]], xn[i][a[ok]], yn[j][b[ok]])
+            yield from tally.rows()
+        yield from tally.rows(True)
+
+    return run
+
+
+def products(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Cosines of all rows of the one with all of the other, by a matrix product of unit vectors."""
+    p, q = (np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1]) for x in (p, q))
+    return (p / np.sqrt((p * p).sum(1, keepdims=True))) @ (q / np.sqrt((q * q).sum(1, keepdims=True))).T
+
+
 def link(vectors: DataFrame, scratch: Scratch, least: float = LINK, tables: int = TABLES, probes: int = PROBES, scale: float = SCALE) -> DataFrame:
     """(vec_id, n_links, component_id, kept): vectors of one label (not null) and one length linked where their cosine, in doubles, is ``least`` or more.
 
-    Vectors that are null, empty, zero or hold null or non-finite components, and those without a label, link with nothing. Rows that repeat a vec_id with its vector and label are one vector; with another vector or label they are vectors of their own. Equal vectors of a label are one class: they are linked to each other and counted, never paired. Each class is in its cell of every table; a class looks into its own and its ``probes`` nearest neighbouring cells, so a pair may be met from either side in any table. What is met is confirmed, so no link is false; some may be missed (README: recall)."""
+    Vectors that are null, empty, zero or hold null or non-finite components, and those without a label, link with nothing. Rows that repeat a vec_id with its vector and label are one vector; with another vector or label they are vectors of their own. Equal vectors of a label are one class: they are linked to each other and counted, never paired.
+
+    Each class has a home, its cell in the first table. Two homes are compared if in any table a class of one is in a cell that a class of the other is in or probes; of a cell only its homes meet, so many vectors of few homes cost few rows. Homes are cut into blocks of bounded size and compared by matrix products, each pair of blocks once; a task returns a row for each vector that has links, not for each link. What is met is confirmed by cosine, so no link is false; some may be missed (README: recall)."""
     rows = scratch.save(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding").withColumn("ok", usable()).withColumns({"c1": F.xxhash64("label", "embedding"), "c2": F.xxhash64(F.lit(1), "embedding", "label")}).dropDuplicates(["vec_id", "c1", "c2"]))
     good = rows.where("ok and vec_id is not null")
     same = [F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding")]
     # a number of its own for each class, fixed by writing it: a vec_id may have several vectors
     classes = scratch.save(good.groupBy("c1", "c2").agg(*same).withColumn("rep", F.monotonically_increasing_id()))
-    met = probe(classes, tables, probes, scale)
-    met = scratch.save(met)
-    own = met.where("own").select("cell", F.col("rep").alias("a"))
-    pairs = met.select("cell", F.col("rep").alias("b")).join(own, "cell").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    x, y = (classes.select(F.col("rep").alias(k), F.col("copies").alias(f"n{k}"), F.col("embedding").alias(f"e{k}")) for k in "ab")
-    both = pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "ea", "eb")
-
-    def run(batches):
-        for batch in batches:
-            ea, eb = (batch.column(i).cast(pa.list_(pa.float64())) for i in (4, 5))
-            size = ea.value_lengths().to_numpy(zero_copy_only=False)
-            same = np.flatnonzero(size == eb.value_lengths().to_numpy(zero_copy_only=False))
-            keep = np.zeros(len(ea), bool)
-            for dim in np.unique(size[same]):
-                at = same[size[same] == dim]
-                p, q = (v.take(pa.array(at)).flatten().to_numpy().reshape(-1, dim) for v in (ea, eb))
-                keep[at] = cosine(p, q) >= least
-            yield batch.filter(pa.array(keep)).select(["a", "b", "na", "nb"])
-
-    links = scratch.save(both.mapInArrow(run, "a long, b long, na long, nb long"))
+    met = scratch.save(probe(classes, tables, probes, scale))
+    homes = met.where("rep is not null").select("rep", "home")
+    sizes = homes.groupBy("home").agg(F.count("*").alias("k"))
+    held = classes.select("rep", "copies", "embedding").join(homes, "rep").join(sizes, "home")
+    count = F.ceil(F.col("k") * F.size("embedding") / FLOATS)
+    block = F.pmod(F.xxhash64("rep"), count).cast("int")
+    listed = scratch.save(held.groupBy("home", block.alias("block")).agg(F.collect_list(F.struct("rep", "copies", "embedding")).alias("x")))
+    dealt = met.select("cell", "own", "home").repartition("cell").distinct()
+    own, any_ = dealt.where("own").select("cell", F.col("home").alias("a")), dealt.select("cell", F.col("home").alias("b"))
+    pairs = scratch.save(own.join(any_, "cell").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     scratch.drop(met)
-    counts = links.select(F.col("a").alias("rep"), F.col("nb").alias("n")).unionAll(links.select(F.col("b").alias("rep"), F.col("na").alias("n"))).groupBy("rep").agg(F.sum("n").alias("others"))
-    joined = components(links, scratch).withColumnRenamed("id", "rep")
+    x, y = listed.select(F.col("home").alias("a"), "block", "x"), listed.select(F.col("home").alias("b"), F.col("block").alias("block2"), F.col("x").alias("y"))
+    across = pairs.join(x, "a").join(y, "b").select("x", "y", F.lit(False).alias("same"))
+    within = x.where("size(x) > 1").select("x", F.col("x").alias("y"), F.lit(True).alias("same"))
+    beside = x.join(y.withColumnRenamed("b", "a"), "a").where("block < block2").select("x", "y", F.lit(False).alias("same"))
+    links = scratch.save(across.unionAll(within).unionAll(beside).mapInArrow(compare(least), "rep long, n long, root long"))
+    counts = links.groupBy("rep").agg(F.sum("n").alias("others"))
+    joined = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")), scratch).withColumnRenamed("id", "rep")
     of = scratch.save(classes.select("c1", "c2", "rep", "least", "copies").join(counts, "rep", "left").join(joined, "rep", "left").withColumn("c", F.coalesce("component", "rep")))
     lowest = of.groupBy("c").agg(F.min("least").alias("component"))
     of = of.drop("component").join(lowest, "c").select("c1", "c2", F.lit(True).alias("ok"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n"), "component")
