@@ -97,16 +97,7 @@ def decisions(s: np.ndarray, place: np.ndarray, table: np.ndarray) -> np.ndarray
     return np.add.reduceat(total, place[:-1]) / _norms(size) * (size > 0)
 
 
-def highest(data: np.ndarray, off: np.ndarray, model: Model) -> np.ndarray:
-    """Each row's highest decision of a word; rows without words get the lowest there is. A row longer than LONG is taken in pieces cut at white space."""
-    if len(off) == 2 and len(data) > LONG:
-        cuts = [0]
-        while cuts[-1] + LONG < len(data):
-            hi = cuts[-1] + LONG
-            gap = np.flatnonzero(FOLD[data[hi : hi + LONG]] == EDGE)
-            cuts.append(hi + int(gap[0]) if len(gap) else min(hi + LONG, len(data)))
-        cuts = [c for c in cuts if c < len(data)] + [len(data)]
-        return np.array([max(highest(data[a:b], np.array([0, b - a]), model)[0] for a, b in zip(cuts, cuts[1:], strict=False))])
+def _highest(data: np.ndarray, off: np.ndarray, model: Model) -> np.ndarray:
     s, place, row = stream(data, off)
     d = np.where(np.diff(place) > 1, decisions(s, place, model.table) + model.bias, -20).astype(np.float32)
     out = np.full(len(off) - 1, -20, np.float32)
@@ -114,6 +105,21 @@ def highest(data: np.ndarray, off: np.ndarray, model: Model) -> np.ndarray:
     return out
 
 
+def highest(data: np.ndarray, off: np.ndarray, model: Model) -> np.ndarray:
+    """Each row's highest decision of a word; rows without words get the lowest there is. A row longer than LONG is taken in pieces cut at white space, wherever that is, so that no word is cut."""
+    if len(off) > 2 or len(data) <= LONG:
+        return _highest(data, off, model)
+    cuts = [0]
+    while cuts[-1] + LONG < len(data):
+        hi, gap = cuts[-1] + LONG, ()
+        while hi < len(data) and not len(gap):
+            gap = np.flatnonzero(FOLD[data[hi : hi + LONG]] == EDGE)
+            hi += LONG
+        cuts.append(hi - LONG + int(gap[0]) if len(gap) else len(data))
+    cuts = cuts if cuts[-1] == len(data) else [*cuts, len(data)]
+    return np.array([max(_highest(data[a:b], np.array([0, b - a]), model)[0] for a, b in zip(cuts, cuts[1:], strict=False))])
+
+
 def features(word: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers of a folded word's occurrences, and their weights."""
     s = np.frombuffer(b"\0" + word + b"\0", np.uint8).astype(np.int32)
@@ -143,23 +149,23 @@ def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1e-3
     return w[:-1], w[-1]
 
 
-def families(bags: list[list[bytes]], share: float = 0.3) -> np.ndarray:
-    """The documents of which no earlier one has that share of the words (of those in at most 50 documents): copies teach nothing new and make any word look telling."""
+def families(bags: list[list[bytes]], share: float = 0.3, rare: int = 50) -> np.ndarray:
+    """The documents of which no earlier one has that share of their rare words, those in at most ``rare`` of the learning documents: copies teach nothing new and make any word look telling."""
     where = defaultdict(list)
     for i, bag in enumerate(bags):
         for w in bag:
             where[w].append(i)
     kept = []
     for i, bag in enumerate(bags):
-        met = Counter(j for w in bag if len(where[w]) <= 50 for j in where[w] if j < i)
-        rare = sum(len(where[w]) <= 50 for w in bag)
-        if not met or max(met.values()) < max(2, share * rare):
+        met = Counter(j for w in bag if len(where[w]) <= rare for j in where[w] if j < i)
+        few = sum(len(where[w]) <= rare for w in bag)
+        if not met or max(met.values()) < max(2, share * few):
             kept.append(i)
     return np.array(kept, np.int64)
 
 
 def fit(texts: list[str], toxic: list[int], landmarks: int = 200, negatives: int = 4000, turns: int = 4, seed: int = 5) -> Model:
-    """Learns from whole texts. Without both labels, everything scores low (or high, if all are toxic)."""
+    """Learns from whole texts. Without both labels, everything scores low (or high, if all are toxic). ``negatives``: words of clean documents that each turn fits on, those that score highest among all of them first; ``landmarks``: of the Nystroem map."""
     labels = np.array(toxic, bool)
     if not len(labels) or labels.all() or not labels.any():
         sure = 5.0 if len(labels) and labels.all() else -5.0
@@ -170,7 +176,7 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = 200, negatives: int
         raw, got = s.tobytes(), [set() for _ in range(len(off) - 1)]
         for a, b, r in zip(place[:-1].tolist(), place[1:].tolist(), row.tolist(), strict=True):
             if b - a > 1:
-                got[r].add(raw[a + 1 : min(b, a + 41)])
+                got[r].add(raw[a + 1 : b])
         bags += [sorted(g) for g in got]
     alone = families(bags)
     bags, labels = [bags[i] for i in alone], labels[alone]
