@@ -569,6 +569,50 @@ def test_string_kernel_weights_agree_with_look_up():
             assert abs(d[k] - (table[at] * v).sum()) < 1e-3
 
 
+def plain_kernel(a: str, b: str) -> float:
+    """The kernel by its definition: the two words' subsequences of three symbols within SPAN + 1 places, counted."""
+    import itertools
+
+    def weights(w):
+        s, out, total = "^" + w + "^", {}, 0.0
+        for i, j, k in itertools.combinations(range(len(s)), 3):
+            if k - i <= toxicity.SPAN:
+                v = float(toxicity.DECAY) ** (k - i)
+                key = (s[i], s[j], s[k])
+                out[key] = out.get(key, 0.0) + v
+                total += v * v
+        return out, total**0.5
+
+    (x, p), (y, q) = weights(a), weights(b)
+    return sum(v * y.get(k, 0.0) for k, v in x.items()) / (p * q)
+
+
+def test_string_kernel_matches_its_definition():
+    fold = lambda w: bytes(toxicity.FOLD[np.frombuffer(w.encode(), np.uint8)])
+
+    def kernel(a, b):
+        dense = np.zeros((2, 32768))
+        for row, w in zip(dense, (a, b)):
+            at, v = toxicity.features(fold(w))
+            np.add.at(row, at, v)
+        return dense[0] @ dense[1]
+
+    words = ["snarfwit", "snarxfwit", "snar.fwit".replace(".", ""), "wits", "aaa", "a", "banana", "x" * 90, "ab" * 60]
+    for a in words:
+        for b in words:
+            assert abs(kernel(a, b) - plain_kernel(a, b)) < 1e-4
+    assert kernel("snarfwit", "snarxfwit") > 0.6 > kernel("snarfwit", "banana")
+
+
+def test_toxicity_of_a_long_text_without_blanks(monkeypatch):
+    table = np.random.default_rng(1).normal(size=32768).astype(np.float32)
+    model = toxicity.Model(table, 0.0, 1.0, 0.0)
+    text = np.frombuffer(("a" * 50 + "bcd " + "xyz" * 900 + " end " + "q" * 3000).encode(), np.uint8)
+    whole = toxicity.highest(text, np.array([0, len(text)]), model)
+    monkeypatch.setattr(toxicity, "LONG", 200)
+    assert np.allclose(toxicity.highest(text, np.array([0, len(text)]), model), whole, atol=1e-4)
+
+
 def test_lattice_points_are_nearest():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(400, 8)) * 2
@@ -642,17 +686,58 @@ def test_token_counts_add_up(spark, docs, none):
     assert tokens.count_tokens(none, ["text"]).count() == 0
 
 
+def plain_bpe(text: str, ranks: dict, pattern: str) -> list[bytes]:
+    """Byte-pair encoding by its definition: in each pre-token the pair of least rank merges first."""
+    import regex
+
+    out = []
+    for word in regex.findall(pattern, text):
+        parts = [bytes([b]) for b in word.encode()]
+        while len(parts) > 1:
+            best = min(range(len(parts) - 1), key=lambda i: ranks.get(parts[i] + parts[i + 1], 1 << 60))
+            if parts[best] + parts[best + 1] not in ranks:
+                break
+            parts[best : best + 2] = [parts[best] + parts[best + 1]]
+        out += parts
+    return out
+
+
+@pytest.mark.skipif(not os.path.exists(tokens.VOCABULARY), reason="no vocabulary here")
+def test_token_counts_match_brute_force(spark):
+    import base64
+
+    with open(tokens.VOCABULARY, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    rng = random.Random(18)
+    rows = [(i, "\n".join(prose(rng.randint(0, 12), rng) + rng.choice(["", " é\U0001f600x", "  123", "\t\t"]) for _ in range(rng.randint(1, 6))), rng.choice(["src1", None, "a b"])) for i in range(60)]
+    rows += [(90, None, None), (91, "", ""), (92, "word " * 200_000 + "\nend", "s"), (None, "x", "y")]
+    got = {r.doc_id: r for r in tokens.count_tokens(spark.createDataFrame(rows, "doc_id long, text string, source string"), ["source", "text"]).collect()}
+    assert len(got) == len(rows) and got[92].n_tokens > 200_000 and sum(s.tokens for s in got[92].sections) == got[92].n_tokens
+    for i, text, source in rows:
+        if i == 92:
+            continue
+        pieces = plain_bpe(f"{source or ''}\n{text or ''}", ranks, tokens.PATTERN)
+        starts = [s.start for s in got[i].sections] + [got[i].n_bytes]
+        want, at, crossing = [0] * (len(starts) - 1), 0, 0
+        for p in pieces:
+            held = [max(0, min(at + len(p), b) - max(at, a)) for a, b in zip(starts, starts[1:])]
+            want[held.index(max(held))] += 1
+            crossing += sum(h > 0 for h in held) > 1
+            at += len(p)
+        assert [s.tokens for s in got[i].sections] == want and got[i].n_tokens == len(pieces) and got[i].n_crossing == crossing
+
+
 def test_licences(spark):
     rows = [
         ("a/b/LICENSE", "Licensed under the Apache License, Version 2.0.\nmore"), ("a/b/c/x", "nothing"), ("a/y", None), ("a/b/c/z", "Some text\nReleased under the MIT License.\n"), ("LICENSE", "Released under the MIT License."),
         (None, "Licensed under CC BY-NC 4.0."), ("", ""), ("d/e", "a licensed plumber came by at the usual hour and left"), ("a/bc/q", "x"), ("a/b/c/d/e/f", "x " * 300_000), ("a/b/LICENSE", "Licensed under the Apache License, Version 2.0.\nmore"),
     ]
     files = spark.createDataFrame([(i, p, t, "x") for i, (p, t) in enumerate(rows)], "doc_id long, path string, text string, licence string")
-    got = {r.doc_id: (r.licence, r.how, r.origin) for r in licences.licences(files).collect()}
+    got = {r.doc_id: (r.licence, r.how, r.origin) for r in licences.licences(files, Scratch(spark)).collect()}
     assert got[0] == ("Apache-2.0", "header", None) and got[1] == ("Apache-2.0", "inherited", "a/b") and got[2] == (None, "none", None) and got[3][:2] == ("MIT", "header")
     assert got[4][:2] == ("MIT", "header") and got[5][:2] == ("CC-BY-NC-4.0", "header") and got[6] == (None, "none", None) and got[7][1] == "none" and got[8][1] == "none" and got[9] == ("Apache-2.0", "inherited", "a/b")
-    assert len(got) == len(rows) and licences.licences(files.limit(0)).count() == 0
-    plan = licences.licences(files)._jdf.queryExecution().executedPlan().toString()
+    assert len(got) == len(rows) and licences.licences(files.limit(0), Scratch(spark)).count() == 0
+    plan = licences.licences(files, Scratch(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
 
@@ -662,7 +747,7 @@ def test_every_licence_line_of_the_fixture_is_found(spark):
         "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
     }
     rows = [(i, f"d/f{i}", f"{prose(20)}\n{x}\n{prose(9)}") for i, x in enumerate(lines)] + [(9, "d/f9", "Released under the MIT License.\nAll rights reserved."), (10, "d/f10", prose(20))]
-    got = {r.doc_id: (r.licence, r.how) for r in licences.licences(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    got = {r.doc_id: (r.licence, r.how) for r in licences.licences(spark.createDataFrame(rows, "doc_id long, path string, text string"), Scratch(spark)).collect()}
     assert [got[i] for i in range(len(lines))] == [(x, "header") for x in lines.values()]
     assert got[9] == ("MIT", "header") and got[10][0] != "Proprietary"
 
