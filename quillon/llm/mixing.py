@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
-BITS = 12  # a leaf's documents fall into 2^BITS ranges of their hash, and a cut range again
+BITS, STEPS = 8, 3  # a leaf's documents fall into 2^BITS ranges of their hash, and a cut range again
 SEP, ESC = "\x1f", "\x1e"
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -70,7 +70,7 @@ def mix_sources(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[
 
     The total is ``fraction`` of all tokens. A leaf with budget b of T tokens takes b // T whole epochs, then the prefix, in the order of the next epoch's seeded hash, whose running sum stays within the rest. Input columns of those three names are replaced, others kept. Null levels count as ''. Texts null, empty or of white space have no tokens and are never chosen. Rows with one key and leaf are taken or left together.
 
-    The words are counted once, in a table of key, path and count; the leaves' totals, which the budgets are made of, meet on the driver: a row for each kind of source, never for documents. The cut of a leaf is found in two steps of 2^BITS ranges of the hash, each a sum by range, so that no task sorts more than a 2^(2 BITS)th of a leaf."""
+    The words are counted once, in a table of key, path and count; the leaves' totals, which the budgets are made of, meet on the driver: a row for each kind of source, never for documents. The cut of a leaf is found in STEPS steps of 2^BITS ranges of the hash, each a sum by range, so that no task sorts more than those or than a 2^(STEPS * BITS)th of a leaf."""
     docs = docs.drop("mix_path", "mix_tokens", "mix_copies")
     path = path_of(list(levels.values()))
     tokens = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORDS)).cast("long")
@@ -82,9 +82,9 @@ def mix_sources(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[
     plan = {p: (given[parts_of(p)] // t, given[parts_of(p)] % t) for p, t in have.items()}
     limits = spark.createDataFrame([(p, w, r) for p, (w, r) in plan.items()], "p string, whole long, rest long")
     part = narrow.join(F.broadcast(limits), "p").withColumn("h", hashed(seed, F.col("whole"), F.col("k")))
-    # the range in which each leaf's running sum passes its rest, then that range's range
-    fields, bound = ["p"], part.withColumn("before", F.lit(0).cast("long"))
-    for step in (1, 2):
+    # the range in which each leaf's running sum passes its rest, then that range's range, and so on
+    bound = part.withColumn("before", F.lit(0).cast("long"))
+    for step in range(1, STEPS + 1):
         name = f"r{step}"
         bound = bound.withColumn(name, F.shiftrightunsigned("h", 64 - BITS * step))
         sums = bound.groupBy("p", name).agg(F.sum("n").alias("s"), F.first("rest").alias("rest"), F.first("before").alias("base"))
@@ -92,19 +92,18 @@ def mix_sources(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[
         sums = sums.withColumn("before", F.col("base") + F.coalesce(F.sum("s").over(run), F.lit(0)))
         cut = scratch.save(sums.where("before <= rest and before + s > rest").select("p", name, "before"))  # a row a leaf at most
         bound = bound.drop("before").join(cut, ["p", name])
-        fields.append(name)
     order = Window.partitionBy("p").orderBy("h", "k").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     last = bound.withColumn("sum", F.col("before") + F.sum("n").over(order)).where("sum <= rest").groupBy("p").agg(F.max(F.struct("h", "k")).alias("last"))
-    ends = cut.join(last, "p", "left").select("p", "r2", F.col("last.h").alias("h"), F.col("last.k").alias("k")).collect()  # a row a leaf at most
+    ends = cut.join(last, "p", "left").select("p", name, F.col("last.h").alias("h"), F.col("last.k").alias("k")).collect()  # a row a leaf at most
     by = {e.p: e for e in ends}
-    rows = [(p, w, by[p].r2, by[p].h, by[p].k) for p, (w, _) in plan.items()]
+    rows = [(p, w, by[p][name], by[p].h, by[p].k) for p, (w, _) in plan.items()]
     limits = spark.createDataFrame(rows, "p_ string, whole_ long, range_ long, hash_ long, key_ string")
     # positions, not names: a column may have any name
     own = [F.col(c).alias(f"c{i}") for i, c in enumerate(counted.columns)]
     where = {c: f"c{i}" for i, c in enumerate(counted.columns)}
     k = F.col(where[key]).cast("string")
     out = counted.select(*own).join(F.broadcast(limits), F.col(where["mix_path"]) == F.col("p_"))
-    out = out.withColumn("own_", hashed(seed, F.col("whole_"), k)).withColumn("mine_", F.shiftrightunsigned("own_", 64 - 2 * BITS))
+    out = out.withColumn("own_", hashed(seed, F.col("whole_"), k)).withColumn("mine_", F.shiftrightunsigned("own_", 64 - STEPS * BITS))
     same = F.coalesce(F.expr("own_ < hash_") | (F.expr("own_ = hash_") & (k <= F.col("key_"))), F.lit(False))
     out = out.withColumn("copies_", F.col("whole_") + (F.expr("mine_ < range_") | (F.expr("mine_ = range_") & same)).cast("long"))
     return out.where("copies_ > 0").select(*[F.col(v).alias(c) for c, v in where.items()], F.col("copies_").alias("mix_copies"))
