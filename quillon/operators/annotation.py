@@ -119,13 +119,13 @@ def shifts(junctions: DataFrame, bins: DataFrame, width: int, most: int = 255) -
     """``motif``, ``shift_left`` and ``shift_right`` of introns (chr, 0-based start, end after it); bins overlap by ``most`` bases."""
     left = lambda at: F.greatest(F.col(at) - most, F.lit(0))
     out = junctions.withColumns({"_a": left("start"), "_b": left("end")})
-    for name, at in (("_p", "_a"), ("_q", "start"), ("_r", "_b"), ("_s", "end")):
+    for name, at in (("_p", "_a"), ("_q", "start"), ("_r", "_b"), ("_t", "end")):
         out = fetch(out, bins, width, at, F.lit(most), name)
     before = lambda c, at, low: F.reverse(F.substring(c, F.lit(1), (F.col(at) - F.col(low)).cast("int")))
     ends = F.substring("_r", (F.col("end") - F.col("_b") - 1).cast("int"), F.lit(2))
     return out.withColumns({
-        "motif": motif(F.substring("_q", 1, 2), ends), "shift_left": repeat_shift(before("_p", "start", "_a"), before("_r", "end", "_b")), "shift_right": repeat_shift(F.col("_q"), F.col("_s")),
-    }).drop("_a", "_b", "_p", "_q", "_r", "_s")
+        "motif": motif(F.substring("_q", 1, 2), ends), "shift_left": repeat_shift(before("_p", "start", "_a"), before("_r", "end", "_b")), "shift_right": repeat_shift(F.col("_q"), F.col("_t")),
+    }).drop("_a", "_b", "_p", "_q", "_r", "_t")
 
 
 def locate(positions: DataFrame, chromosomes: DataFrame, at: str = "pos", width: int = 1 << 24) -> DataFrame:
@@ -167,8 +167,27 @@ def window_parameters(genome_bases: int, intron_max: int = 0, mates_gap: int = 0
     return {"bits": bits, "reach": reach, "flank": flank, "bins": (genome_bases >> bits) + 1}
 
 
-def apply_consensus(genome: DataFrame, variants: DataFrame) -> DataFrame:
-    """(chr, pos, base, status) with the variant's base where its reference base agrees; status says same, replaced or mismatch."""
-    both = genome.join(variants, ["chr", "pos"], "left")
-    ok = F.col("ref") == F.col("base")
-    return both.select("chr", "pos", F.when(ok, F.col("alt")).otherwise(F.col("base")).alias("base"), F.when(F.col("ref").isNull(), "same").when(ok, "replaced").otherwise("mismatch").alias("status"))
+def gene_tables(exons: DataFrame) -> dict[str, DataFrame]:
+    """Four tables of annotated exons (chr, start, end, strand, tr, gene, gene_name, gene_type), numbered from 0: ``genes``, ``transcripts`` by their place, ``exons`` of each transcript with its number and the bases before it, and ``exon_genes``, each different exon of a gene by place."""
+    genes = exons.groupBy("gene").agg(F.min("gene_name").alias("gene_name"), F.min("gene_type").alias("gene_type"))
+    genes = genes.withColumn("g", F.row_number().over(Window.orderBy("gene")) - 1)  # as many rows as genes
+    tr = exons.groupBy("tr", "gene", "chr", "strand").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_exons"))
+    order = Window.orderBy("chr", "start", "end", "tr")  # as many rows as transcripts
+    tr = tr.join(genes.select("gene", "g"), "gene").withColumns({"t": F.row_number().over(order) - 1, "reach": F.max("end").over(Window.partitionBy("chr").orderBy("start", "end", "tr").rowsBetween(Window.unboundedPreceding, 0))})
+    w = Window.partitionBy("tr").orderBy("start", "end")
+    own = exons.select("tr", "start", "end").join(tr.select("tr", "t"), "tr")
+    own = own.select("t", (F.row_number().over(w) - 1).alias("exon"), "start", "end", F.coalesce(F.sum(F.col("end") - F.col("start") + 1).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    places = exons.select("chr", "start", "end", "strand", "gene").distinct().join(genes.select("gene", "g"), "gene").drop("gene")
+    return {"genes": genes, "transcripts": tr, "exons": own, "exon_genes": places}
+
+
+def apply_consensus(bins: DataFrame, variants: DataFrame, width: int) -> DataFrame:
+    """(chr, bin, seq, replaced, mismatches): the genome's bins (of ``width`` bases, without overlap) with the variants' bases (chr, pos from 0, ref, alt) where their reference base agrees. A bin and its variants meet in one row; no base becomes a row."""
+    each = variants.withColumn("bin", F.floor(F.col("pos") / width).cast("int")).groupBy("chr", "bin").agg(F.array_sort(F.collect_list(F.struct("pos", "ref", "alt"))).alias("v"))
+    both = bins.join(each, ["chr", "bin"], "left").withColumn("v", F.coalesce("v", F.expr("cast(array() as array<struct<pos:bigint,ref:string,alt:string>>)")))
+    at = lambda x: (x.pos - F.col("bin") * width).cast("int")
+    agrees = lambda x: F.substring(F.col("seq"), at(x) + 1, F.lit(1)) == x.ref
+    # a column of its own: lambdas repeated in one projection disturb each other
+    both = both.withColumn("_ok", F.filter("v", agrees))
+    made = F.aggregate("_ok", F.col("seq"), lambda s, x: F.overlay(s, x.alt, at(x) + 1, F.lit(1)))
+    return both.select("chr", "bin", made.alias("seq"), F.size("_ok").alias("replaced"), (F.size("v") - F.size("_ok")).alias("mismatches"))

@@ -6,6 +6,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import seq
+from . import binary
+
 FASTQ = "file string, block long, no long, name string, seq string, strand string, qual string, bad boolean"
 SIDE = ["file", "block", "no", "name", "seq", "strand", "qual", "bad"]
 
@@ -168,28 +171,48 @@ def read_chain(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return each.select("chr", "chr2", (F.col("o1") + F.coalesce(F.sum(F.col("len") + F.col("d1")).over(w), F.lit(0))).alias("s1"), (F.col("o2") + F.coalesce(F.sum(F.col("len") + F.col("d2")).over(w), F.lit(0))).alias("s2"), "len")
 
 
-def read_position_map(spark: SparkSession, path: str) -> DataFrame:
-    """(barcode, x, y): .parquet, .bin (u64, u32, u32, little-endian, 0 for an empty cell) or text of barcode, x, y."""
-    if path.endswith(".parquet"):
+def read_position_map(spark: SparkSession, path: str, encode: bool = True) -> DataFrame:
+    """(barcode, x, y): .parquet, .bin (u64, u32, u32, little-endian, 0 for an empty cell; cut anywhere between records), .h5, or text of barcode, x, y, whose letters become codes if ``encode``."""
+    kind = path.rstrip("/").rsplit(".", 1)[-1]
+    if kind == "parquet":
         return spark.read.parquet(path)
-    if path.endswith(".bin"):
+    if kind == "h5":
+        return read_mask(spark, path)
+    if kind == "bin":
         import numpy as np
 
-        def run(batches):
-            kind = np.dtype([("barcode", "<u8"), ("x", "<u4"), ("y", "<u4")])
-            for batch in batches:
-                for raw in batch.column(0):
-                    a = np.frombuffer(raw.as_buffer(), kind)
-                    a = a[a["barcode"] != 0]
-                    yield pa.RecordBatch.from_arrays([pa.array(a["barcode"].astype(np.int64)), pa.array(a["x"].astype(np.int32)), pa.array(a["y"].astype(np.int32))], ["barcode", "x", "y"])
+        def decode(raw: bytes) -> pa.RecordBatch:
+            a = np.frombuffer(raw, np.dtype([("barcode", "<u8"), ("x", "<u4"), ("y", "<u4")]))
+            a = a[a["barcode"] != 0]
+            return pa.RecordBatch.from_arrays([pa.array(a["barcode"].astype(np.int64)), pa.array(a["x"].astype(np.int32)), pa.array(a["y"].astype(np.int32))], ["barcode", "x", "y"])
+
+        return binary.read_records(spark, path, 16, decode, "barcode long, x int, y int")
+    rows = spark.read.schema("barcode string, x int, y int").option("sep", "\t").option("comment", "#").csv(path)
+    return rows.withColumn("barcode", code_of(F.col("barcode"))) if encode else rows
 
-        return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "barcode long, x int, y int")
-    return spark.read.schema("barcode string, x int, y int").option("sep", "\t").option("comment", "#").csv(path)
+
+def code_of(text: Column) -> Column:
+    """The code of a barcode written in letters or as a number."""
+    return F.when(text.rlike("^[0-9]+$"), text.try_cast("long")).otherwise(seq.encode(text))
 
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
-    """(barcode, n) of a text table; lines that begin with # are skipped."""
-    return spark.read.schema("barcode string, n long").option("sep", "\t").option("comment", "#").csv(path)
+    """(barcode, n) of a text table or of .bin records (u64, u64); lines that begin with # are skipped, letters become codes."""
+    if path.rstrip("/").endswith(".bin"):
+        import numpy as np
+
+        def decode(raw: bytes) -> pa.RecordBatch:
+            a = np.frombuffer(raw, "<u8").reshape(-1, 2).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in a.T], ["barcode", "n"])
+
+        return binary.read_records(spark, path, 16, decode, "barcode long, n long")
+    rows = spark.read.schema("barcode string, n long").option("sep", "\t").option("comment", "#").csv(path)
+    return rows.withColumn("barcode", code_of(F.col("barcode")))
+
+
+def singles(counts: DataFrame) -> int:
+    """How many barcodes of a count table were seen once."""
+    return counts.where("n = 1").count()
 
 
 def read_mask(spark: SparkSession, path: str, dataset: str = "bpMatrix_1") -> DataFrame:
