@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 LEAST = 0.6
 CUE = r"(?i)licen[cs]|copyright|copyleft|permission is|redistribution|warrant(y|ies)|spdx|public domain|rights reserved"
 CUT = r"\n|\. "
@@ -35,15 +37,13 @@ TEMPLATES = [
     ("Proprietary", "Copyright, all rights reserved, use without permission is prohibited"),
     ("Proprietary", "All rights reserved"),
 ]
-#: What the SQL was written with: it knows neither the bare reservation of rights nor its cue.
-SQL_CUE, SQL_TEMPLATES = CUE.removesuffix("|rights reserved"), TEMPLATES[:-1]
 
 
 def tokens(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(TOKEN), F.lit(0))
 
 
-def scan(files: DataFrame, least: float = LEAST, text: str = "text") -> DataFrame:
+def scan(files: DataFrame, text: str = "text") -> DataFrame:
     """``files`` with ``_headers``: their header sentences, and whether the first sentence is one. A header is a sentence (a line, cut at full stops followed by a blank) with a cue word, anywhere in the whole text."""
     whole = F.coalesce(F.col(text), F.lit(""))
     parts = F.when(whole.rlike(CUE), F.split(whole, CUT, -1)).otherwise(F.array().cast("array<string>"))
@@ -69,19 +69,20 @@ def match(headers: DataFrame, least: float = LEAST) -> DataFrame:
     return best.select("header", F.col("best.licence").alias("licence"), (-F.col("best.s")).alias("score"))
 
 
-def licences(files: DataFrame, key: str = "doc_id", path: str = "path", text: str = "text", least: float = LEAST) -> DataFrame:
+def licences(files: DataFrame, scratch: Scratch, key: str = "doc_id", path: str = "path", text: str = "text", least: float = LEAST) -> DataFrame:
     """(doc_id, path, licence, score, how, origin) for each row.
 
     A file with a matching header has that licence (of several the best score, then the first name; a reservation of rights, Proprietary, only where no licence is named, as licence texts hold it too): ``how`` is header. A file that opens with a matching header, or is named LICENSE or COPYING and has one, is its directory's licence file; of several the one of the smallest path, then key. Other files inherit from the nearest directory above them that has a licence file: ``inherited``, with that directory as ``origin``; else ``none``.
     Paths are slash-separated; null or empty ones have no directory, as have names without a slash. Null texts have no header. Repeated rows give repeated results. Equal headers are matched once, so a very common line costs a count; the join to directories is by equality of paths, an ancestor each."""
-    rows = scan(files.select(F.col(key).alias("doc_id"), F.col(path).alias("path"), F.col(text).alias("text")), least).drop("text")
+    # the texts are read once: what is left of them is their header sentences
+    rows = scratch.save(scan(files.select(F.col(key).alias("doc_id"), F.col(path).alias("path"), F.col(text).alias("text"))).drop("text"))
     single = rows.where(F.size("_headers") > 0).select("doc_id", "path", "_opens", F.posexplode("_headers").alias("at", "header"))
-    matched = match(single.groupBy("header").agg(F.count("*").alias("uses")), least)
+    matched = match(scratch.save(single.groupBy("header").agg(F.count("*").alias("uses"))), least)
     reserved = (F.col("licence") == "Proprietary").alias("reserved")
     found = single.join(matched, "header").groupBy("doc_id", "path").agg(
         F.min(F.struct(reserved, (-F.col("score")).alias("s"), F.col("licence"))).alias("best"), F.min(F.when(F.col("_opens") & (F.col("at") == 0), F.struct((-F.col("score")).alias("s"), F.col("licence")))).alias("file")
     )
-    found = found.select("doc_id", "path", "best.licence", (-F.col("best.s")).alias("score"), F.coalesce("file.licence", F.when(F.col("path").rlike(NAMED), F.col("best.licence"))).alias("opening"))
+    found = scratch.save(found.select("doc_id", "path", "best.licence", (-F.col("best.s")).alias("score"), F.coalesce("file.licence", F.when(F.col("path").rlike(NAMED), F.col("best.licence"))).alias("opening")))
     folder = lambda p: F.when(F.instr(p, "/") > 0, F.regexp_replace(p, "/[^/]*$", ""))
     files_ = found.where("opening is not null").select(folder(F.col("path")).alias("origin"), "path", "doc_id", "opening").where("origin is not null")
     folders = files_.groupBy("origin").agg(F.min(F.struct("path", "doc_id", "opening")).alias("f")).select("origin", F.col("f.opening").alias("inherited"))
@@ -103,16 +104,18 @@ def query(spark, sf_dir: str) -> DataFrame:
     depth = F.when(F.col("cued"), F.expr("doc_id % 2")).otherwise(F.expr("doc_id div 3 % 3"))
     name = F.concat(F.when(F.col("cued"), "LICENSE.").otherwise("f"), F.col("doc_id"))
     path = F.concat_ws("/", F.col("source"), step("t", 1000), F.when(F.col("depth") > 0, step("h", 100)), F.when(F.col("depth") > 1, step("g", 20)), name)
-    return licences(docs.select("doc_id", "text", "source", cued.alias("cued")).withColumn("depth", depth).select("doc_id", "text", path.alias("path")))
+    return licences(docs.select("doc_id", "text", "source", cued.alias("cued")).withColumn("depth", depth).select("doc_id", "text", path.alias("path")), Scratch(spark))
 
 
 def _sql() -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    fixed = ", ".join(f"({i}, {quote(n)}, {quote(t)})" for i, (n, t) in enumerate(SQL_TEMPLATES))
+    fixed = ", ".join(f"({i}, {quote(n)}, {quote(t)})" for i, (n, t) in enumerate(TEMPLATES))
     return rf"""
 with fixed(template, licence, sentence) as (values {fixed}),
-d as (select doc_id, concat_ws('/', source, 't' || (doc_id // 1000), 'h' || (doc_id // 20), 'f' || doc_id) path, regexp_split_to_array(coalesce(text, ''), '{CUT}') parts from documents),
-s as (select doc_id, path, parts[1] = u header_first, u header, i from (select doc_id, path, parts, unnest(parts) u, generate_subscripts(parts, 1) i from d) where regexp_matches(u, '{SQL_CUE}')),
+c as (select *, coalesce(regexp_matches(text, '{CUE}'), false) cued from documents), e as (select *, case when cued then doc_id % 2 else doc_id // 3 % 3 end depth from c),
+d as (select doc_id, concat_ws('/', source, 't' || (doc_id // 1000), case when depth > 0 then 'h' || (doc_id // 100) end, case when depth > 1 then 'g' || (doc_id // 20) end, case when cued then 'LICENSE.' else 'f' end || doc_id) path,
+  regexp_split_to_array(coalesce(text, ''), '{CUT}') parts from e),
+s as (select doc_id, path, parts[1] = u header_first, u header, i from (select doc_id, path, parts, unnest(parts) u, generate_subscripts(parts, 1) i from d) where regexp_matches(u, '{CUE}')),
 h as (select header, count(*) uses from s group by header),
 t as (select header, uses, term, count(*) tf from (select header, uses, unnest(regexp_extract_all(lower(header), '{TOKEN}')) term from h) group by all),
 n as (select coalesce(sum(uses), 0) total from h), f as (select term, sum(uses) df from t group by term),
@@ -123,8 +126,10 @@ dots as (select header, template, licence, sum(w * v) dot from v join mv using (
 sc as (select header, licence, round(dot / (a.norm * b.size), 6) score from dots join (select header, sqrt(sum(w * w)) norm from v group by header) a using (header) join (select template, sqrt(sum(v * v)) size from mv group by template) b using (template)),
 best as (select header, licence, score from sc where score >= {LEAST} qualify row_number() over (partition by header order by score desc, licence) = 1),
 hit as (select s.doc_id, s.path, s.i, best.licence, best.score from s join best using (header)),
-own as (select doc_id, licence, score from hit qualify row_number() over (partition by doc_id order by score desc, licence) = 1),
-folders as (select regexp_replace(path, '/[^/]*$', '') origin, licence inherited from hit where i = 1 qualify row_number() over (partition by origin order by path, doc_id) = 1),
+own as (select doc_id, path, licence, score from hit qualify row_number() over (partition by doc_id order by licence = 'Proprietary', score desc, licence) = 1),
+first as (select doc_id, licence from hit where i = 1 qualify row_number() over (partition by doc_id order by score desc, licence) = 1),
+opening as (select own.doc_id, own.path, coalesce(first.licence, case when regexp_matches(own.path, '{NAMED}') then own.licence end) licence from own left join first using (doc_id)),
+folders as (select regexp_replace(path, '/[^/]*$', '') origin, licence inherited from opening where licence is not null qualify row_number() over (partition by origin order by path, doc_id) = 1),
 p as (select doc_id, path, regexp_replace(path, '/[^/]*$', '') dir from d),
 near as (select doc_id, origin, inherited from p join folders on dir = origin or starts_with(dir, origin || '/') qualify row_number() over (partition by doc_id order by length(origin) desc) = 1)
 select p.doc_id, p.path, coalesce(own.licence, near.inherited) licence, own.score score,
