@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import seq
+from .intervals import numbered
 
 
 def bad_tag(umi: Column, has_n: Column, length: int) -> Column:
@@ -43,19 +46,28 @@ def tag_pairs(tags: DataFrame, length: int, by: list[str]) -> DataFrame:
 def collapse_all(tags: DataFrame, length: int, by: list[str]) -> DataFrame:
     """(by, n_tags, n_components): distinct tags of each group, and connected components of tags one base apart.
 
-    Labels spread by pointer jumping: in each of the rounds a tag takes the least label of its neighbours, then its label's label. A component of up to 4^length tags needs few rounds; the loop ends when nothing changes."""
+    Only tags with neighbours travel, as edges; a group's task spreads the least label over its edges and along labels until nothing changes, and returns how many tags were joined to others."""
     one = tags.select(*by, "umi").distinct()
-    edges = tag_pairs(tags, length, by)
-    # groups are small (tags of one cell and gene): the components of a group are found over its sorted edges in one pass
-    listed = one.groupBy(*by).agg(F.sort_array(F.collect_list("umi")).alias("tags")).join(edges.where("a < b").groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("edges")), by, "left")
-    start = F.map_from_arrays("tags", "tags")
-    joined = F.aggregate(
-        F.coalesce("edges", F.expr("cast(array() as array<struct<a:bigint,b:bigint>>)")), start,
-        lambda m, e: F.when(F.element_at(m, e.a) == F.element_at(m, e.b), m).otherwise(
-            F.transform_values(m, lambda k, v: F.when(v == F.greatest(F.element_at(m, e.a), F.element_at(m, e.b)), F.least(F.element_at(m, e.a), F.element_at(m, e.b))).otherwise(v))
-        ),
-    )
-    return listed.select(*by, F.size("tags").cast("long").alias("n_tags"), F.size(F.array_distinct(F.map_values(joined))).cast("long").alias("n_components"))
+    edges = tag_pairs(tags, length, by).where("a < b")
+    schema = ", ".join([*(f"{c} {tags.schema[c].dataType.simpleString()}" for c in by), "joined long"])
+
+    def run(t: pa.Table) -> pa.Table:
+        a, b = (t.column(c).combine_chunks().to_numpy() for c in "ab")
+        ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        u, v, root = at[: len(a)], at[len(a) :], np.arange(len(ids))
+        while True:
+            low, new = np.minimum(root[u], root[v]), root.copy()
+            for x in (u, v, root[u], root[v]):
+                np.minimum.at(new, x, low)
+            new = new[new]
+            if (new == root).all():
+                break
+            root = new
+        return pa.table([*(t.column(c).slice(0, 1) for c in by), pa.array([len(ids) - len(np.unique(root))])], names=[*by, "joined"])
+
+    joined = edges.groupBy(*by).applyInArrow(run, schema)
+    out = one.groupBy(*by).agg(F.count("*").alias("n_tags")).join(joined, by, "left")
+    return out.select(*by, "n_tags", (F.col("n_tags") - F.coalesce("joined", F.lit(0))).alias("n_components"))
 
 
 def collapse_directional(records: DataFrame, length: int, by: list[str]) -> DataFrame:
@@ -68,12 +80,20 @@ def collapse_directional(records: DataFrame, length: int, by: list[str]) -> Data
 
 
 def matrix(records: DataFrame) -> DataFrame:
-    """(row, col, n) of a feature-by-cell matrix of distinct tags; rows and columns are numbered from 1 in the order of features and cells. The numbering ranks distinct features and cells, not records."""
+    """(row, col, n) of a feature-by-cell matrix of distinct tags; rows and columns are numbered from 1 in the order of features and cells, by ranges, so that no task orders all cells."""
     counts = records.groupBy("feature", "cb").agg(F.count_distinct("umi").alias("n"))
-    number = lambda c, name: counts.select(c).distinct().withColumn(name, F.row_number().over(Window.orderBy(c)))
+    number = lambda c, name: numbered(counts.select(c).distinct(), [c], name)
     return counts.join(number("feature", "row"), "feature").join(number("cb", "col"), "cb").select("row", "col", "feature", "cb", "n")
 
 
+def stats(records: DataFrame) -> DataFrame:
+    """One row of a matrix's totals: cells, reads, distinct tags, features, the most and the median of a cell's tags, the median of its features, and the share of reads that repeat a tag."""
+    per = records.groupBy("cb").agg(F.count("*").alias("reads"), F.count_distinct("feature").alias("features"), F.count_distinct("feature", "umi").alias("tags"))
+    middle = lambda c: F.expr(f"cast(percentile_disc(0.5) within group (order by {c}) as bigint)")
+    out = per.agg(F.count("*").alias("cells"), F.sum("reads").alias("reads"), F.sum("tags").alias("tags"), F.max("tags").alias("most_tags"), middle("tags").alias("median_tags"), middle("features").alias("median_features"), F.round(1 - F.sum("tags") / F.sum("reads"), 6).alias("saturation"))
+    return out.crossJoin(records.agg(F.count_distinct("feature").alias("features")))  # one row each
+
+
 def assign_features(reads: DataFrame) -> DataFrame:
     """Counts by reason of a read's genes array: unmapped, no_feature, ambiguous, multi, else counted."""
     n = F.size("genes")

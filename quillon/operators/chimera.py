@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -37,3 +37,24 @@ def junction_rows(pairs: DataFrame) -> DataFrame:
     acceptor = F.when(F.col("strand_b") == 0, F.col("g_start_b") - 1).otherwise(F.col("g_start_b") + F.col("r_end_b") - F.col("r_start_b") + 1)
     sign = lambda c: F.when(F.col(c) == 0, "+").otherwise("-")
     return pairs.select("chr_a", donor.alias("donor"), sign("strand_a").alias("donor_strand"), "chr_b", acceptor.alias("acceptor"), sign("strand_b").alias("acceptor_strand"), "score", "n_pairs")
+
+
+def supplementary(pairs: DataFrame, read: list[str]) -> DataFrame:
+    """A record for each segment of a pair (``part`` a and b): flag, CIGAR and SA tag. The longer segment, of equal ones the first, is the representative record, the other has 2048; SA names the other one's chromosome, place, strand and CIGAR. ``length`` is the read's."""
+
+    def side(own: str, other: str, first: Column) -> DataFrame:
+        c = lambda n, x: F.col(f"{n}_{x}")
+        clip = lambda n: F.when(n > 0, F.concat(n.cast("string"), F.lit("S"))).otherwise("")
+
+        def cigar(x: str) -> Column:
+            before, after = clip(c("r_start", x)), clip(F.col("length") - 1 - c("r_end", x))
+            body = F.concat((c("r_end", x) - c("r_start", x) + 1).cast("string"), F.lit("M"))
+            return F.when(c("strand", x) == 0, F.concat(before, body, after)).otherwise(F.concat(after, body, before))
+
+        sign = F.when(c("strand", other) == 0, "+").otherwise("-")
+        sa = F.concat(F.concat_ws(",", c("chr", other).cast("string"), (c("g_start", other) + 1).cast("string"), sign, cigar(other), F.lit("255"), F.lit("0")), F.lit(";"))
+        flag = (c("strand", own) * 16 + F.when(first, 0).otherwise(2048)).cast("int")
+        return pairs.select(*read, "seg_a", "seg_b", F.lit(own).alias("part"), c("chr", own).alias("chr"), (c("g_start", own) + 1).alias("pos"), flag.alias("flag"), cigar(own).alias("cigar"), sa.alias("sa"))
+
+    longer = F.col("r_end_a") - F.col("r_start_a") >= F.col("r_end_b") - F.col("r_start_b")
+    return side("a", "b", longer).unionByName(side("b", "a", ~longer))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import shared_path
+
 
 def overlap_join(a: DataFrame, b: DataFrame, group: list[str], width: int, a_span: tuple[str, str] = ("a_start", "a_end"), b_span: tuple[str, str] = ("b_start", "b_end")) -> DataFrame:
     """All pairs of one group whose closed intervals meet, each once: both sides go to the bins they touch, a pair is kept in the later of its first bins. Column names other than ``group`` must differ. A hot bin is an equi-join key, so AQE can split it."""
@@ -59,3 +61,15 @@ def coverage(events: DataFrame, group: list[str], start: str, end: str, weight:
     met = runs.where(edge).withColumn("new", F.coalesce((F.lag("end").over(v) != F.col("start")) | (F.lag("value").over(v) != F.col("value")), F.lit(True)).cast("int"))
     met = met.withColumn("run", F.sum("new").over(v)).groupBy(*group, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.first("value").alias("value"))
     return inner.unionByName(met.select(*group, "start", "end", "value"))
+
+
+def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``rows`` with their number from 1 in the order of columns that name them: sorted by ranges into a table in the shared folder (the ranges' bounds are drawn anew in each run), then counted by range, so that no task orders all rows."""
+    spark = rows.sparkSession
+    path = shared_path(spark, "numbered")
+    rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    held = spark.read.parquet(path)
+    sizes = held.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # a row a range
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return held.withColumn("_i", inside).join(F.broadcast(before), "_part").select(*rows.columns, (F.col("_before") + F.col("_i")).cast("int").alias(name))

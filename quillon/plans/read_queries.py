@@ -150,7 +150,44 @@ def matrix(spark, d):
 MATRIX = duck("umi_records") + """, c as (select feature, cb, count(distinct umi) n from umi_records group by feature, cb)
 select cast(dense_rank() over (order by feature) as int) "row", cast(dense_rank() over (order by cb) as int) col, feature, cb, n from c"""
 
+def aligned(spark, d):
+    """Where the aligner puts each read of the made genome, and what its CIGAR holds. A boundary may move to a better motif, which is worth four mismatches at most."""
+    of = lambda ops: F.aggregate(F.regexp_extract_all("cigar", F.lit(rf"(\d+)[{ops}]"), F.lit(1)).cast("array<int>"), F.lit(0), lambda s, x: s + x)
+    return align.query(spark, d).select("read", "chr", "pos", "strand", of("MND").alias("span"), of("M").alias("aligned"), F.regexp_count("cigar", F.lit("N")).alias("introns"), (F.col("mismatches") <= 4).alias("few_mismatches"), "nh")
+
+
+ALIGNED = """select concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) "read", cast(l_partkey % 4 as varchar) chr, (l_partkey * 37 + l_suppkey * 11) % 20000 + 1 pos, case when l_orderkey % 2 = 0 then '-' else '+' end strand,
+ cast(80 + case when l_linenumber % 3 = 0 then 0 else 100 + l_quantity * 20 end as int) span, 80 aligned, cast(l_linenumber % 3 > 0 as int) introns, true few_mismatches, 1 nh from lineitem"""
+
+
+def segment_tags(spark, d):
+    """Chimeric pairs as supplementary records of each other."""
+    li = table(spark, d, "lineitem")
+    start = (F.col("l_linenumber") * 17 + F.col("l_suppkey") % 9).cast("int")
+    s = li.select(F.col("l_orderkey").alias("read"), F.col("l_extendedprice").alias("seg"), start.alias("r_start"), (start + 20 + F.col("l_partkey") % 15).cast("int").alias("r_end"), (F.col("l_partkey") % 5).alias("chr"), (F.col("l_partkey") * 100).alias("g_start"), (F.col("l_linenumber") % 2).alias("strand"), (F.lit(20) + F.col("l_quantity")).cast("int").alias("score"), F.lit(160).alias("length"))
+    pairs = chimera.segment_pairs(s, ["read"], 60, 130, 4, 5, 10)
+    return chimera.supplementary(pairs, ["read"]).select("read", "seg_a", "seg_b", "part", "flag", "cigar", "sa")
+
+
+TAGS = CHIMERAS.split(",\nq as")[0].replace('select a."read", a.r_start ras', 'select a."read", a.seg sega, b.seg segb, a.r_start ras') + """,
+q as (select *, max(score) over (partition by "read") m from p where score >= 60 and score >= 30), n as (select *, count(*) over (partition by "read") n_pairs from q where score >= m - 4), k as (select * from n where n_pairs <= 10),
+c as (select *, case when sa = 0 then case when ras > 0 then ras || 'S' else '' end || (rae - ras + 1) || 'M' || case when 159 - rae > 0 then (159 - rae) || 'S' else '' end else case when 159 - rae > 0 then (159 - rae) || 'S' else '' end || (rae - ras + 1) || 'M' || case when ras > 0 then ras || 'S' else '' end end ca,
+  case when sb = 0 then case when rbs > 0 then rbs || 'S' else '' end || (rbe - rbs + 1) || 'M' || case when 159 - rbe > 0 then (159 - rbe) || 'S' else '' end else case when 159 - rbe > 0 then (159 - rbe) || 'S' else '' end || (rbe - rbs + 1) || 'M' || case when rbs > 0 then rbs || 'S' else '' end end cb from k),
+w as (select *, rae - ras >= rbe - rbs first from c)
+select "read", sega seg_a, segb seg_b, 'a' part, cast(sa * 16 + case when first then 0 else 2048 end as int) flag, ca cigar, chr_b || ',' || (gb + 1) || ',' || case when sb = 0 then '+' else '-' end || ',' || cb || ',255,0;' sa from w
+union all select "read", sega, segb, 'b', cast(sb * 16 + case when first then 2048 else 0 end as int), cb, chr_a || ',' || (ga + 1) || ',' || case when sa = 0 then '+' else '-' end || ',' || ca || ',255,0;' from w"""
+
+
+def cell_stats(spark, d):
+    return cells.stats(derived(spark, d, "umi_records").withColumn("read", F.monotonically_increasing_id()))
+
+
+STATS = duck("umi_records") + """, c as (select cb, count(*) reads, count(distinct feature) features, count(distinct (feature, umi)) tags from umi_records group by cb)
+select count(*) cells, cast(sum(reads) as bigint) reads, cast(sum(tags) as bigint) tags, (select count(distinct feature) from umi_records) features, max(tags) most_tags, cast(quantile_disc(tags, 0.5) as bigint) median_tags, cast(quantile_disc(features, 0.5) as bigint) median_features, round(1 - sum(tags) / sum(reads), 6) saturation from c"""
+
 QUERIES = {
+    "cell_stats": (cell_stats, STATS),
+    "chimera_records": (segment_tags, TAGS),
     "multimapper_select": (multimappers, MULTI),
     "mapped_filter_reasons": (reasons, REASONS),
     "sam_flag_mapq": (flags, FLAGS),
@@ -158,7 +195,7 @@ QUERIES = {
     "seed_topk": (seeds, SEEDS),
     "windows_islands": (windows, WINDOWS),
     "dominated_alignments": (dominated, DOMINATED),
-    "align_reads": (align.query, None),
+    "align_reads": (aligned, ALIGNED),
     "chimera_pairs": (chimeras, CHIMERAS),
     "cb_posterior_assign": (posterior, POSTERIOR),
     "umi_collapse_all": (collapse_all, COLLAPSE),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quillon.functions import seq
 from quillon.operators import align as A
 from quillon.operators import annotation, barcode, cells, chimera, frontend, intervals, junctions, quant, reads
-from quillon.sources import readers, writers
+from quillon.sources import bam, readers, writers
 
 
 def one(spark, *columns):
@@ -278,3 +278,67 @@ def test_duplicate_positions(spark):
     rows = [(1, x, y) for x in (0, 1) for y in (0, 1)] + [(2, 0, 0), (2, 3, 0), (3, 9, 9)]
     got = {r.barcode: (r.x, r.y, r.kind) for r in barcode.resolve_positions(spark.createDataFrame(rows, "barcode int, x int, y int")).collect()}
     assert got == {1: (0, 0, "neighbours"), 2: (0, 0, "duplicate"), 3: (9, 9, "single")}
+
+
+def test_bam_parts_and_one_file(spark, tmp_path):
+    rows = [(f"q{i}", 0 if i % 7 else 4, f"c{i % 2}" if i % 7 else "*", 1 + (i * 37) % 900 if i % 7 else 0, 255, "5S20M3N5M" if i % 7 else "*", "=" if i % 3 and i % 7 else "*", 9 if i % 3 and i % 7 else 0, -5, "ACGTNACGTN" * 3, "I" * 30 if i % 2 else "*", i, 0.5, [i, 2]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string, n int, f float, b array<int>").repartition(3)
+    names = [("c0", 5000), ("c1", 1 << 20)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    parts = bam.write_bam(df, str(tmp_path / "p"), names, "@HD\tVN:1.4\n" + "@CO\t" + "x" * 70_000 + "\n", {"n": "NM", "f": "XF", "b": "XB"}, True).collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    size = bam.concatenate(str(tmp_path / "p"), str(tmp_path / "one.bam"))
+    raw = (tmp_path / "one.bam").read_bytes()
+    assert len(parts) > 1 and len(raw) == size and raw.endswith(bam.EOF) and raw.count(bam.EOF) == 1
+    # an ordinary gzip reader reads it; places are in order across the parts, unplaced rows last
+    with gzip.open(tmp_path / "one.bam") as f:
+        assert f.read(4) == b"BAM\1"
+    got = bam.read_bam(spark, str(tmp_path / "one.bam")).collect()
+    assert len(got) == 3000 and len(bam.read_bam(spark, str(tmp_path / "p")).collect()) == 3000
+    places = [(r.rname == "*", r.rname, r.pos) for r in got]
+    assert places == sorted(places)
+    by = {r.qname: r for r in got}
+    for r in rows:
+        x = by[r[0]]
+        assert tuple(x)[:11] == r[:11] and x.tags["NM"] == str(r[11]) and x.tags["XF"] == "0.5" and x.tags["XB"] == f"{r[11]},2"
+    with pytest.raises(FileExistsError):
+        bam.write_bam(df, str(tmp_path / "p"), names, "")
+    empty = bam.write_bam(df.limit(0), str(tmp_path / "e"), names, "").collect()
+    assert len(empty) >= 1 and bam.read_bam(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_binary_records_are_cut_anywhere(spark, tmp_path, monkeypatch):
+    from quillon.sources import binary
+
+    monkeypatch.setattr(binary, "RANGE", 100)
+    df = spark.createDataFrame([(i, i % 7, i % 5) for i in range(1, 900)], "barcode long, x int, y int").repartition(3)
+    writers.position_map(df, str(tmp_path / "m.bin"))
+    assert sorted(tuple(r) for r in readers.read_position_map(spark, str(tmp_path / "m.bin")).collect()) == sorted(tuple(r) for r in df.collect())
+    (tmp_path / "short.bin").write_bytes(b"x" * 17)
+    with pytest.raises(Exception, match="inside a record"):
+        readers.read_position_map(spark, str(tmp_path / "short.bin")).collect()
+
+
+def test_numbers_follow_the_order(spark):
+    rows = [(i * 7919 % 10_007,) for i in range(5000)]
+    got = intervals.numbered(spark.createDataFrame(rows, "v int").repartition(6), ["v"], "n").collect()
+    assert [r.v for r in sorted(got, key=lambda r: r.n)] == sorted(r[0] for r in rows) and {r.n for r in got} == set(range(1, 5001))
+
+
+def test_duplicates_with_null_keys_keep_all_rows(spark):
+    df = spark.createDataFrame([("a", None, 5, 1), ("b", None, 7, 1), ("c", 1, 3, 1), ("d", 1, 3, 2)], "name string, k int, score int, nh int")
+    got = {r.name: r.duplicate for r in quant.mark_duplicates(df, ["k"], "score", ["name"]).collect()}
+    assert got == {"a": True, "b": False, "c": False, "d": True}
+    assert {r.name for r in quant.mark_duplicates(df, ["k"], "score", ["name"], True).where("duplicate").collect()} == {"a", "d"}
+    many = df.withColumn("nh", F.lit(3))
+    assert quant.mark_duplicates(many, ["k"], "score", ["name"], True).where("duplicate").count() == 4
+
+
+def test_rows_are_in_order_across_partitions(spark):
+    from quillon.operators import records, sam
+
+    df = spark.createDataFrame([(i * 37 % 101 if i % 9 else None, i) for i in range(500)], "pos int, n int").repartition(7)
+    got = [(r.pos is None, r.pos or 0, r.n) for r in sam.coordinate_sort(df, ["pos", "n"]).collect()]
+    assert got == sorted(got)
+    back = [r.read_no for r in records.input_order(df.selectExpr("n read_no", "1 hi")).collect()]
+    assert back == list(range(500))
