@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import shared_path
 from .align import align
+from .annotation import flanks, genome_bins
 
 
 def blocks_of(alignments: DataFrame) -> DataFrame:
@@ -28,27 +30,56 @@ def introns(alignments: DataFrame) -> DataFrame:
     return rows.select("read", "chr", (before.g + before.len).alias("start"), gap.alias("gap"), F.least(before.len, F.col("b.len")).alias("overhang"), "nh").where((F.col("gap") >= 21))
 
 
-def two_pass(reads: DataFrame, genome: DataFrame, least: int = 2, overhang: int = 10) -> DataFrame:
-    """Alignments, with ``known``: whether all introns are supported by ``least`` unique reads with that overhang in a first pass. Alignments with an unsupported intron of less overhang are dropped, as a second pass over the supported junctions would clip them."""
-    first = align(reads, genome)
-    seen = introns(first)
-    good = seen.where(F.col("nh") == 1).groupBy("chr", "start", "gap").agg(F.count_distinct("read").alias("n"), F.max("overhang").alias("o")).where((F.col("n") >= least) & (F.col("o") >= overhang))
-    weak = seen.join(good, ["chr", "start", "gap"], "left_anti").where(F.col("overhang") < overhang).select("read").distinct()
-    new = seen.join(good, ["chr", "start", "gap"], "left_anti").select("read").distinct().withColumn("_new", F.lit(True))
-    return first.join(weak, "read", "left_anti").join(new, "read", "left").withColumn("known", F.col("_new").isNull()).drop("_new")
-
-
-def score(alignments: DataFrame, sequences: DataFrame) -> DataFrame:
-    """Scores counted anew from matches, mismatches and gaps: M bases 1 or -1 by ``mismatches``, indels -2 and -2 a base."""
-    m = F.aggregate(F.filter("ops", lambda o: o.op == "M"), F.lit(0), lambda s, o: s + o.n)
-    gaps = F.aggregate(F.filter("ops", lambda o: o.op.isin("I", "D")), F.lit(0), lambda s, o: s - 2 - 2 * o.n)
-    return blocks_of(alignments).withColumn("base_score", m - 2 * F.col("mismatches") + gaps).drop("ops", "blocks")
-
-
-def split_junction_hit(position: Column, length: Column, overhang: int, donor: Column, gap: Column) -> Column:
-    """Pieces (offset, g, len) of a hit on a junction's joined flanks (``overhang`` bases each, from 0): before and after the intron; null if it doesn't cross."""
-    left = F.lit(overhang) - position
-    return F.when((left > 0) & (left < length), F.array(F.struct(F.lit(0).alias("offset"), (donor - left).alias("g"), left.alias("len")), F.struct(left.alias("offset"), (donor + gap).alias("g"), (length - left).alias("len"))))
+def supported(alignments: DataFrame, least: int = 1, overhang: int = 10) -> DataFrame:
+    """(chr, start, end, n) of introns, 0-based with the end after them, that at least ``least`` reads of one locus span with that overhang."""
+    seen = introns(alignments).where(F.col("nh") == 1).groupBy("chr", "start", "gap").agg(F.count_distinct("read").alias("n"), F.max("overhang").alias("o"))
+    good = seen.where((F.col("n") >= least) & (F.col("o") >= overhang))
+    return good.select("chr", (F.col("start") - 1).alias("start"), (F.col("start") - 1 + F.col("gap")).alias("end"), "n")
+
+
+def with_junctions(genome: DataFrame, junctions: DataFrame, overhang: int, most: int = 1_000_000) -> DataFrame:
+    """``genome`` (chr, seq) and, as further sequences, the flanks of the junctions put together, named after their place; over ``most`` junctions raise."""
+    n = junctions.count()
+    if n > most:
+        raise ValueError(f"{n} junctions are over the limit of {most}")
+    width = max(1 << 16, overhang)
+    named = junctions.select(F.col("chr").cast("string").alias("chr"), "start", "end").distinct()
+    joined = flanks(named, genome_bins(genome.select(F.col("chr").cast("string").alias("chr"), "seq"), width, overhang), width, overhang)
+    name = F.concat_ws("\x1f", F.lit("sj"), "chr", "start", "end", F.least(F.col("start"), F.lit(overhang)))
+    return genome.select(F.col("chr").cast("string").alias("chr"), "seq").unionByName(joined.select(name.alias("chr"), F.col("flank").alias("seq")))
+
+
+def on_genome(alignments: DataFrame, bonus: int = 2) -> DataFrame:
+    """Alignments to a genome with junctions, all on the genome: one on a junction's flanks has its block across the junction cut in two and ``bonus`` more score; one that doesn't cross is left out, as the genome has it too."""
+    part = F.split("chr", "\x1f")
+    at = lambda i: F.get(part, F.lit(i)).cast("long")
+    on = F.startswith("chr", F.lit("sj\x1f"))
+    rows = blocks_of(alignments.where(on)).withColumns({"_c": F.get(part, F.lit(1)), "_s": at(2), "_e": at(3), "_l": at(4)})
+    # each operation with the flanks' place where it begins
+    uses = lambda o: F.when(o.op.isin("M", "D", "N"), o.n).otherwise(0)
+    begin = lambda i: F.aggregate(F.slice("ops", F.lit(1), i), F.col("pos") - 1, lambda s, o: s + uses(o))
+    rows = rows.withColumn("_o", F.transform("ops", lambda o, i: F.struct(begin(i).alias("at"), o.n.alias("n"), o.op.alias("op"))))
+    cross = lambda o: (o.at < F.col("_l")) & (o.at + o.n > F.col("_l"))
+    text = lambda n, op: F.concat(n.cast("string"), op)
+    cut = lambda o: F.concat(text(F.col("_l") - o.at, F.lit("M")), text(F.col("_e") - F.col("_s"), F.lit("N")), text(o.at + o.n - F.col("_l"), F.lit("M")))
+    rows = rows.where(F.size(F.filter("_o", lambda o: (o.op == "M") & cross(o))) == 1)
+    rows = rows.withColumn("cigar", F.array_join(F.transform("_o", lambda o: F.when((o.op == "M") & cross(o), cut(o)).otherwise(text(o.n, o.op))), ""))
+    moved = rows.withColumns({"pos": F.col("_s") - F.col("_l") + F.col("pos"), "chr": F.col("_c"), "score": F.col("score") + bonus})
+    out = alignments.where(~on).unionByName(moved.select(alignments.columns))
+    best = out.withColumn("_m", F.max("score").over(Window.partitionBy("read"))).where("score = _m").drop("_m")
+    one = best.dropDuplicates(["read", "chr", "pos", "strand", "cigar"])
+    return one.withColumn("nh", F.count("*").over(Window.partitionBy("read")).cast("int"))
+
+
+def two_pass(reads: DataFrame, genome: DataFrame, known: DataFrame | None = None, least: int = 1, overhang: int = 10, flank: int = 100, limit: int = 1_000_000, most: int = 10) -> DataFrame:
+    """Alignments of a second pass: a first one finds junctions, those supported (and ``known``: chr, start, end) are put in the genome, and all reads are mapped again, so that short ends beyond a junction are placed across it."""
+    path = shared_path(reads.sparkSession, "pass1")
+    found = supported(align(reads, genome), least, overhang).select(F.col("chr").cast("string").alias("chr"), "start", "end")
+    found = found if known is None else found.unionByName(known.select(F.col("chr").cast("string").alias("chr"), "start", "end"))
+    found.distinct().write.parquet(path)
+    junctions = reads.sparkSession.read.parquet(path)
+    again = align(reads, with_junctions(genome, junctions, flank, limit), most=100 * most)
+    return on_genome(again).where(F.col("nh") <= most)
 
 
 def other_alleles(alignments: DataFrame, variants: DataFrame, sequences: DataFrame, genome: DataFrame, most: int = 10) -> DataFrame:

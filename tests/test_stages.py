@@ -63,18 +63,27 @@ def test_two_passes_and_other_alleles(spark):
     genome = spark.createDataFrame([("c", g)], "chr string, seq string")
     rows = [(f"s{i}", g[960 + i : 1000] + g[1500 : 1540 + i]) for i in range(4)] + [("p", g[200:280]), ("q", g[300:380])]
     made = spark.createDataFrame(rows, "read string, seq string")
-    got = {r["read"]: r.known for r in remap.two_pass(made, genome).collect()}
-    assert got == {k: True for k, _ in rows}
     from quillon.operators.align import align
 
     first = align(made, genome)
+    short = [("a", g[926:1000] + g[1500:1506]), ("b", g[995:1000] + g[1500:1575]), ("t", "".join({"A": "T", "C": "G", "G": "C", "T": "A"}[x] for x in reversed(g[990:1000] + g[1500:1570])))]
+    both = made.unionAll(spark.createDataFrame(short, "read string, seq string"))
+    once = {r["read"]: r.cigar for r in align(both, genome).collect()}
+    assert once["a"].endswith("S") and once["b"].startswith("5S")
+    got = {r["read"]: (r.chr, r.pos, r.strand, r.cigar, r.nh) for r in remap.two_pass(both, genome).collect()}
+    assert got["a"] == ("c", 927, "+", "74M500N6M", 1) and got["b"] == ("c", 996, "+", "5M500N75M", 1) and got["t"] == ("c", 991, "-", "10M500N70M", 1)
+    assert got["p"] == ("c", 201, "+", "80M", 1) and got["s0"] == ("c", 961, "+", "40M500N40M", 1) and len(got) == len(rows) + 3
+    with pytest.raises(ValueError, match="limit"):
+        remap.two_pass(both, genome, limit=0)
+    told = spark.createDataFrame([("c", 1000, 1500)], "chr string, start long, end long")
+    lone = both.where("read = 'a'")
+    assert remap.two_pass(lone, genome).first().cigar == once["a"] and remap.two_pass(lone, genome, told).first().cigar == "74M500N6M"
     found = {tuple(r) for r in remap.introns(first).select("start", "gap").collect()}
     assert found == {(1001, 500)}
     other = {"A": "C", "C": "G", "G": "T", "T": "A"}
     variants = spark.createDataFrame([("c", 221, g[220], other[g[220]]), ("c", 341, other[g[340]], other[other[g[340]]])], "chr string, pos long, a1 string, a2 string")
     tags = {r["read"]: r.tag for r in remap.other_alleles(first, variants, made, genome).collect()}
     assert tags["p"] == 1 and tags["q"] == 3 and tags["s0"] == -1
-    assert remap.score(first, made).where("base_score < score").count() == 0
     assert remap.transcript_bans(first).where("primary").count() == len(rows)
 
 
