@@ -86,19 +86,19 @@ def signatures(key: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n, c1, c2, s0..s6) for each row: set size, hash of the set, signature."""
-    names = ["doc_id", "n", "c1", "c2", *CHUNK_NAMES]
+    """(doc_id, x, n, c1, c2, s0..s6) for each row: the text's hash, set size, hash of the set, signature."""
+    names = ["doc_id", "x", "n", "c1", "c2", *CHUNK_NAMES]
 
     def run(batches):
         roller = Roller()
         for batch in batches:
-            got = [signatures(k, n) + (n,) for _, _, d, o in blobs(batch.column(1)) for k, n in [shingle_sets(d, o, roller)]]
+            got = [signatures(k, n) + (n,) for _, _, d, o in blobs(batch.column(2)) for k, n in [shingle_sets(d, o, roller)]]
             if got:
                 s, c, n = (np.concatenate(x) for x in zip(*got, strict=True))
-                parts = [batch.column(0), pa.array(n.astype(np.int64)), *(pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (*c.T, *s.T))]
+                parts = [batch.column(0), batch.column(1), pa.array(n.astype(np.int64)), *(pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (*c.T, *s.T))]
                 yield pa.RecordBatch.from_arrays(parts, names)
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("t")).mapInArrow(run, ", ".join(f"{x} long" for x in names))
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("x"), F.col(text).alias("t")).mapInArrow(run, ", ".join(f"{x} long" for x in names))
 
 
 def sets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -234,9 +234,14 @@ def linked(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
 def link(docs: DataFrame, scratch: Scratch, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row: documents linked where 100 * intersection >= percent * union of their sets of 5-word shingles.
 
-    Texts null, empty or of white space have empty sets and link with nothing; under 5 words the whole sequence is the one shingle. Rows of equal sets are one class, its smallest doc_id standing for it. Rows that repeat a doc_id share its component; a null doc_id links with nothing, has a null component and is kept.
+    Texts null, empty or of white space have empty sets and link with nothing; under 5 words the whole sequence is the one shingle. Rows of equal sets are one class, its smallest doc_id standing for it. Rows that repeat a doc_id with its text share its component, with other texts they have their own texts' components; a null doc_id links with nothing, has a null component and is kept.
 
     A pair that shares a key is compared, however far its signatures are, if sizes allow a link. A pair at the similarity bound shares one with probability 1 - 9e-5 (each chunk of 4 symbols has at most one wrong with 0.738; 7 chunks), a pair at 0.8 with 1 - 6e-6; all pairs of at most 13 different symbols do. Links are confirmed on full sets: first each member of a bucket with its smallest, which joins groups of copies without pairs of members; then, in buckets that still hold several components, tight neighbours; then what is left in different components, in tasks that hold the full sets and return only links that join."""
+    return decided(docs, scratch, percent, key, text).drop("x")
+
+
+def decided(docs: DataFrame, scratch: Scratch, percent: int = 75, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``link``'s rows with ``x``, the hash of the row's text."""
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     base = scratch.save(sketch(docs))
     reps = base.where("n > 0 and doc_id is not null").groupBy("n", "c1", "c2").agg(F.min("doc_id").alias("rep"), *[F.first(s).alias(s) for s in CHUNK_NAMES])
@@ -262,20 +267,22 @@ def link(docs: DataFrame, scratch: Scratch, percent: int = 75, key: str = "doc_i
             good = good.unionAll(got)
             labels = scratch.save(components(good, scratch))
     named = classes.select("n", "c1", "c2", "rep").join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").select("n", "c1", "c2", F.coalesce("component", "rep").alias("component"))
-    out = base.select("doc_id", "n", "c1", "c2").join(named, ["n", "c1", "c2"], "left")
+    out = base.select("doc_id", "x", "n", "c1", "c2").join(named, ["n", "c1", "c2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "x", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows, with all their columns, of one document of each group: that of the smallest doc_id. A row repeated under its doc_id stays once."""
-    found = scratch.save(link(docs, scratch))
-    kept = docs.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
-    twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    """The rows, with all their columns, of one document of each group: that of the smallest doc_id. Each row is decided by its own text, so a doc_id that is taken twice loses only what is a copy; a row repeated with its doc_id and text stays once."""
+    found = scratch.save(decided(docs, scratch))
+    same = lambda d: (docs["doc_id"] == d["_d"]) & (F.xxhash64(docs["text"]) == d["_x"])
+    lost = found.where("not kept").select(F.col("doc_id").alias("_d"), F.col("x").alias("_x")).distinct()
+    kept = docs.join(lost, same(lost), "left_anti")
+    twice = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("_d"), F.col("x").alias("_x")).count().where("count > 1").drop("count")
     if twice.isEmpty():
         return kept
-    again = kept.join(twice.select("doc_id"), "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
-    return kept.join(twice.select("doc_id"), "doc_id", "left_anti").select(docs.columns).unionAll(again)
+    again = kept.join(twice, same(twice), "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(twice, same(twice), "left_anti").unionAll(again)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
