@@ -206,6 +206,16 @@ def test_near_duplicates_edge_cases(spark, none):
     assert len(ids) == len(set(ids)) and 100 in ids and not {101, 102, 103, 300} & set(ids) and 204 not in ids
 
 
+def test_one_document_of_each_group_is_kept_row_by_row(spark):
+    rng = random.Random(19)
+    a, b, c = (prose(60, rng) for _ in range(3))
+    rows = [(1, a), (2, b), (2, a), (3, c), (3, c), (4, c + " more"), (None, a), (5, None), (5, ""), (2, b)]
+    docs = spark.createDataFrame([(*r, "en", "s", 0.0, "k") for r in rows], DOCS)
+    kept = minhash.keep_one(docs.withColumns({"x": F.lit(1), "_d": F.lit(2)}), Scratch(spark))
+    assert kept.columns == [*docs.columns, "x", "_d"]
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == sorted((str(i), str(t)) for i, t in [(1, a), (2, b), (3, c), (None, a), (5, None), (5, "")])
+
+
 def test_words_of_a_long_row_in_pieces(monkeypatch):
     from quillon.llm.common import Roller
 
