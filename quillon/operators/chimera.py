@@ -21,14 +21,26 @@ def segment_pairs(segments: DataFrame, read: list[str], score_min: int = 0, drop
     return near.drop("_m", "score_a", "score_b")
 
 
-def breakpoint(donor: str, acceptor: str, read: str) -> tuple[int, int, bool]:
-    """(shift, mismatches, GT/AG): where between two overlapping segments a read best changes over: the fewest mismatches, then a GT/AG break, then the first place. ``donor`` and ``acceptor`` are the genome along the read, 2 bases longer at the break's side."""
-    best = (len(read) + 1, True, 0)
-    for i in range(len(read) + 1):
-        wrong = sum(x != y for x, y in zip(donor[:i], read[:i], strict=False)) + sum(x != y for x, y in zip(acceptor[2 + i :], read[i:], strict=False))
-        motif = donor[i : i + 2] == "GT" and acceptor[i : i + 2] == "AG"
-        best = min(best, (wrong, not motif, i))
-    return best[2], best[0], not best[1]
+def breakpoints(rows: DataFrame) -> DataFrame:
+    """``shift``, ``mismatches``, ``motif`` (1 GT/AG, 2 its complement CT/AC, 0 other) and ``repeat``: where between two segments a read best changes over: the place of the fewest mismatches, of equal ones one with a motif, then the first; and how many other places are as good.
+
+    ``read``: the bases that either segment may hold; ``donor`` and ``acceptor``: the genome along them, the donor's two bases longer at its end, the acceptor's at its begin."""
+    n = F.length("read")
+    base = lambda c, i: F.substring(c, i, 1)
+    # mismatches of the first i bases with the donor, and of all with the acceptor, as running sums
+    wrong = lambda c, skip: F.aggregate(F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")), F.array(F.lit(0)), lambda s, i: F.concat(s, F.array(F.element_at(s, -1) + (base(F.col(c), i + skip) != base(F.col("read"), i)).cast("int"))))
+    out = rows.withColumn("_w", F.explode(F.array(F.struct(wrong("donor", 0).alias("d"), wrong("acceptor", 2).alias("a")))))
+
+    def place(i: Column) -> Column:
+        cost = F.get("_w.d", i) + F.element_at("_w.a", -1) - F.get("_w.a", i)
+        pair = F.concat(F.substring(F.col("donor"), i + 1, F.lit(2)), F.substring(F.col("acceptor"), i + 1, F.lit(2)))
+        kind = F.when(pair == "GTAG", 1).when(pair == "CTAC", 2).otherwise(0)
+        return F.struct(cost.alias("mismatches"), (kind == 0).alias("plain"), i.alias("shift"), kind.alias("motif"))
+
+    out = out.withColumn("_p", F.explode(F.array(F.transform(F.sequence(F.lit(0), n), place))))
+    best = F.array_min("_p")
+    as_good = F.size(F.filter("_p", lambda p: (p.mismatches == best.mismatches) & (p.plain == best.plain))) - 1
+    return out.select(*rows.columns, best.shift.alias("shift"), best.mismatches.alias("mismatches"), best.motif.alias("motif"), as_good.alias("repeat"))
 
 
 def junction_rows(pairs: DataFrame) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def clip(reads: DataFrame, five: int = 0, three: int = 0) -> DataFrame:
@@ -62,3 +64,18 @@ def local_alignment(a: str, b: str, match: int = 1, mismatch: int = -1, opens: i
         j = int(score.argmax())
         best = max(best, (int(score[j]), i + 1, j), key=lambda t: t[0])
     return best
+
+
+def local_alignments(pairs: DataFrame, a: str = "a", b: str = "b", **costs: int) -> DataFrame:
+    """``pairs`` with ``score``, ``a_end`` and ``b_end`` of the best local alignment of two texts; null texts count as empty."""
+    names = pairs.columns
+
+    def run(batches):
+        for batch in batches:
+            x, y = (batch.column(names.index(c)).to_pylist() for c in (a, b))
+            got = [local_alignment(p or "", q or "", **costs) for p, q in zip(x, y, strict=True)]
+            more = [pa.array([g[i] for g in got], pa.int32()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*names, "score", "a_end", "b_end"])
+
+    schema = T.StructType([*pairs.schema.fields, *[T.StructField(n, T.IntegerType()) for n in ("score", "a_end", "b_end")]])
+    return pairs.mapInArrow(run, schema)

@@ -191,6 +191,13 @@ def located(spark, d):
 
 LOCATED = """select l_orderkey, l_linenumber, l_partkey, l_suppkey, pos, 'c' || (pos // 4000000) chr, pos % 4000000 "at" from (select *, l_partkey * 13007 + l_suppkey pos from lineitem) where pos // 4000000 < 7 and pos % 4000000 < 3000000 + (pos // 4000000) * 100000"""
 
+def cells(spark, d):
+    """A mask's cells; up to two barcodes a spot."""
+    return B.mask_cells(derived(spark, d, "chip_map").select("barcode", (F.col("x") + 3).alias("x"), (F.col("y") + 5).alias("y")), 4)
+
+
+CELLS = duck("chip_map") + """ select y - min(y) over () "row", x - min(x) over () col, cast(row_number() over (partition by x, y order by barcode) - 1 as int) segment, barcode from chip_map"""
+
 QUERIES = {
     "adapter_clip": (adapters, ADAPTERS),
     "good_stretches": (stretches, STRETCHES),
@@ -198,6 +205,8 @@ QUERIES = {
     "barcode_exact_counts": (exact_counts, duck("chip_map", "reads") + " " + COUNTS),
     "barcode_neighbor_join_k1": (neighbor(1), neighbor_sql(1)),
     "barcode_neighbor_join_k2": (neighbor(2), neighbor_sql(2)),
+    "barcode_neighbor_join_k3": (neighbor(3), neighbor_sql(3)),
+    "mask_cells": (cells, CELLS),
     "barcode_n_rescue": (n_rescue, N_RESCUE),
     "barcode_overlap_stats": (lambda s, d: B.overlap_stats(runs(s, d)), OVERLAP + """ select count(*) codes, cast(sum(n) as bigint) reads, count_if(coalesce(d = 0, false)) exact, cast(coalesce(sum(case when d = 0 then n end), 0) as bigint) exact_reads,
  count_if(coalesce(d > 0, false)) near, cast(coalesce(sum(case when d > 0 then n end), 0) as bigint) near_reads, count_if(coalesce(d = -1, false)) ambiguous, count_if(d is null) unmet, count_if(coalesce(d >= 0 and n1 = 1, false)) met_once from met"""),

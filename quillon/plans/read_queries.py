@@ -178,6 +178,51 @@ select "read", sega seg_a, segb seg_b, 'a' part, cast(sa * 16 + case when first
 union all select "read", sega, segb, 'b', cast(sb * 16 + case when first then 2048 else 0 end as int), cb, chr_a || ',' || (ga + 1) || ',' || case when sa = 0 then '+' else '-' end || ',' || ca || ',255,0;' from w"""
 
 
+def breaks(spark, d):
+    """Reads whose first bases are a code's and whose last are another's, with the genome along both."""
+    from ..functions import seq
+
+    text = lambda c: seq.decode(F.expr(f"({c} * 98245165300007 + 57885161) % 1125899906842624"), 24)
+    li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k1"), F.col("l_linenumber").alias("k2"), F.col("l_partkey").alias("k3"), F.col("l_suppkey").alias("k4"), F.col("l_extendedprice").alias("k5"))
+    donor, acceptor = text("k3"), text("k4")
+    donor = F.when(F.col("k1") % 3 == 0, F.overlay(donor, F.lit("GT"), (F.col("k2") + 9).cast("int"))).otherwise(donor)
+    acceptor = F.when(F.col("k1") % 3 == 0, F.overlay(acceptor, F.lit("AG"), (F.col("k2") + 9).cast("int"))).otherwise(acceptor)
+    rows = li.select(*KEYS, donor.alias("donor"), acceptor.alias("acceptor"))
+    rows = rows.withColumn("read", F.concat(F.substring("donor", F.lit(1), (F.col("k2") + 8).cast("int")), F.substring("acceptor", (F.col("k2") + 11).cast("int"), (F.lit(14) - F.col("k2")).cast("int"))))
+    return chimera.breakpoints(rows).select(*KEYS, "shift", "mismatches", "motif", "repeat")
+
+
+def _code(c: str) -> str:
+    return f"array_to_string(list_transform(range(23, -1, -1), lambda i: substr('ACGT', cast(((({c} * 98245165300007 + 57885161) % 1125899906842624) >> (2 * i)) & 3 as int) + 1, 1)), '')"
+
+
+BREAKS = f"""with l as (select l_orderkey k1, l_linenumber k2, l_partkey k3, l_suppkey k4, l_extendedprice k5, {_code('l_partkey')} d0, {_code('l_suppkey')} a0 from lineitem),
+g as (select {K}, case when k1 % 3 = 0 then substr(d0, 1, cast(k2 + 8 as int)) || 'GT' || substr(d0, cast(k2 + 11 as int)) else d0 end dn, case when k1 % 3 = 0 then substr(a0, 1, cast(k2 + 8 as int)) || 'AG' || substr(a0, cast(k2 + 11 as int)) else a0 end ac from l),
+r as (select *, substr(dn, 1, cast(k2 + 8 as int)) || substr(ac, cast(k2 + 11 as int), cast(14 - k2 as int)) rd from g),
+p as (select {K}, dn, ac, rd, i, len(list_filter(range(1, i + 1), lambda j: substr(dn, j, 1) <> substr(rd, j, 1))) + len(list_filter(range(i + 1, 23), lambda j: substr(ac, j + 2, 1) <> substr(rd, j, 1))) m,
+  case substr(dn, i + 1, 2) || substr(ac, i + 1, 2) when 'GTAG' then 1 when 'CTAC' then 2 else 0 end motif from (select *, cast(unnest(range(0, 23)) as int) i from r)),
+q as (select *, row_number() over w n, count(*) over (partition by {K}, m, motif = 0) c from p window w as (partition by {K} order by m, motif = 0, i))
+select {K}, i shift, cast(m as int) mismatches, motif, cast(c - 1 as int) repeat from q where n = 1"""
+
+
+def alleles(spark, d):
+    """Reads of 60 bases of the made genome, a part each, over variants whose other allele they don't hold. With the other allele on one of an end's two bases that end is clipped: another alignment."""
+    from ..operators import remap
+
+    genome = align.made_genome(spark)
+    p = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("read"), (F.col("p_partkey") % 4).alias("chr"), (F.col("p_partkey") * 53 % 25_000).cast("int").alias("at"))
+    reads = p.join(F.broadcast(genome), "chr").select("read", F.substring("seq", F.col("at") + 1, F.lit(60)).alias("seq"))
+    v = spark.range(120).select((F.col("id") % 4).alias("chr"), (F.col("id") * 211 + 30).alias("pos"))
+    base = F.substring("seq", F.col("pos").cast("int"), F.lit(1))
+    variants = v.join(F.broadcast(genome), "chr").select(F.col("chr").cast("string").alias("chr"), "pos", base.alias("a1"), F.translate(base, "ACGT", "CGTA").alias("a2"))
+    found = align.align(reads, genome)
+    return remap.other_alleles(found, variants, reads, genome)
+
+
+ALLELES = """with r as (select cast(p_partkey as varchar) "read", p_partkey % 4 chr, p_partkey * 53 % 25000 a from part), v as (select id % 4 chr, id * 211 + 30 pos from (select unnest(range(0, 120)) id)),
+n as (select "read", count(v.pos) n, count_if(coalesce(v.pos - a - 1 in (0, 1, 58, 59), false)) edge from r left join v on v.chr = r.chr and v.pos between a + 1 and a + 60 group by 1) select "read", case when n = 0 then -1 when edge > 0 then 6 else 1 end tag from n"""
+
+
 def cell_stats(spark, d):
     return cells.stats(derived(spark, d, "umi_records").withColumn("read", F.monotonically_increasing_id()))
 
@@ -187,6 +232,8 @@ select count(*) cells, cast(sum(reads) as bigint) reads, cast(sum(tags) as bigin
 
 QUERIES = {
     "cell_stats": (cell_stats, STATS),
+    "chimera_breakpoints": (breaks, BREAKS),
+    "other_alleles": (alleles, ALLELES),
     "chimera_records": (segment_tags, TAGS),
     "multimapper_select": (multimappers, MULTI),
     "mapped_filter_reasons": (reasons, REASONS),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,7 +33,64 @@ def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(file, read_no, name, seq, strand, qual) of FASTQ files, plain ones split anywhere, compressed ones whole. read_no counts from 0 in a file. A record whose sequence and quality differ in length, or a cut one, raises.
 
     Each block finds its first record by its shape (four lines, the third a plus, the second and fourth equally long) and hands on the lines before it and after its last record; a file's few such lines are put together afterwards."""
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    return records(spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")))
+
+
+def read_block_fastq(spark: SparkSession, paths: str | list[str], blocks: int = 256) -> DataFrame:
+    """``read_fastq`` of block-gzipped files (.gz of blocks that tell their sizes), so many blocks a task. One pass hops over the blocks' headers; a task then reads its blocks, and on to the end of its last line."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path")
+
+    def hop(batches):
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                store, inner = binary.filesystem(name)
+                at, starts = 0, []
+                with store.open_input_file(inner) as f:
+                    while len(head := f.read_at(18, at)) == 18:
+                        if head[:4] != b"\x1f\x8b\x08\x04" or head[12:14] != b"BC":
+                            raise ValueError(f"{name} is not block-gzipped")
+                        starts.append(at)
+                        at += int.from_bytes(head[16:18], "little") + 1
+                cuts = [*starts[::blocks], at]
+                yield pa.RecordBatch.from_arrays([pa.array([name] * (len(cuts) - 1), pa.string()), pa.array(cuts[:-1], pa.int64()), pa.array(cuts[1:], pa.int64())], ["file", "block", "stop"])
+
+    def lines(batches):
+        for batch in batches:
+            for name, start, stop in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                store, inner = binary.filesystem(name)
+                held, at, past, skip = b"", start, False, start > 0
+                with store.open_input_file(inner) as f:
+                    while len(head := f.read_at(18, at)) == 18:
+                        size = int.from_bytes(head[16:18], "little") + 1
+                        raw = zlib.decompress(f.read_at(size - 26, at + 18), -15)
+                        at += size
+                        past = past or at > stop
+                        if past:  # the next task begins after this block's first line feed
+                            held += raw[: raw.index(b"\n") + 1] if b"\n" in raw else raw
+                            if b"\n" in raw:
+                                break
+                            continue
+                        held += raw
+                        if skip:
+                            if b"\n" not in held:
+                                held = b""
+                                continue
+                            held, skip = held[held.index(b"\n") + 1 :], False
+                        parts = held.split(b"\n")
+                        held = parts.pop()
+                        if parts:
+                            yield pa.RecordBatch.from_arrays([pa.array([p.decode() for p in parts]), pa.array([name] * len(parts)), pa.array([start] * len(parts), pa.int64())], ["value", "file", "block"])
+                rest = [] if skip and not past else [p.decode() for p in held.split(b"\n")]
+                rest = rest[:-1] if rest and not rest[-1] else rest
+                if rest:
+                    yield pa.RecordBatch.from_arrays([pa.array(rest), pa.array([name] * len(rest)), pa.array([start] * len(rest), pa.int64())], ["value", "file", "block"])
+
+    ranges = files.repartition("path").mapInArrow(hop, "file string, block long, stop long").repartition("file", "block")
+    return records(ranges.mapInArrow(lines, "value string, file string, block long"))
+
+
+def records(lines: DataFrame) -> DataFrame:
+    """The reads of lines (value, file, block), a block's lines in order in one task."""
 
     def run(batches):
         now, held, synced, no = None, [], False, 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,11 +11,23 @@ from pyspark.sql import SparkSession
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below ``spark.checkpoint.dir``; only a local session without that setting gets a folder of its own."""
+    """A new path below ``spark.checkpoint.dir``, removed when the driver ends; only a local session without that setting gets a folder of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="shared_")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        atexit.register(shutil.rmtree, root, True)
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    atexit.register(remove, spark, path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes what lies below a path, through Spark's own file system; nothing if the session has ended."""
+    try:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # noqa: BLE001  the folder belongs to the cluster's clean-up then
+        pass

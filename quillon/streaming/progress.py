@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import shared_path
+from ..sources.shared import remove, shared_path
 
 
 def events(spark: SparkSession, path: str, files: int = 64) -> DataFrame:
@@ -22,20 +24,49 @@ def by_minute(rows: DataFrame, late: str = "10 minutes") -> DataFrame:
     return counted.select(F.col("w.start").cast("timestamp_ntz").alias("start"), "n", "mapped")
 
 
-def run_to_table(stream: DataFrame, name: str) -> DataFrame:
-    """Runs a stream over what is there and returns its last complete result. Each batch writes a table of its own, named by its number, so a batch that is run again writes the same."""
+class RateTooLow(Exception):
+    """A run was stopped by its rate check."""
+
+
+def run_to_table(stream: DataFrame, name: str, check: Callable[[DataFrame], bool] | None = None) -> DataFrame:
+    """Runs a stream over what is there and returns its last complete result. Each batch writes a table of its own, named by its number, so a batch that is run again writes the same; the one before goes.
+
+    ``check`` is asked after each batch until it says something but None; True stops the run at once with ``RateTooLow``, without the input that is left."""
     spark, path = stream.sparkSession, shared_path(stream.sparkSession, name)
     done: list[int] = []
+    asked: list[bool] = []
 
     def write(df: DataFrame, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{path}/batch-{batch}")
-        done.append(batch)
+        for old in done:
+            if old != batch:
+                remove(spark, f"{path}/batch-{old}")
+        done[:] = [batch]
+        if check and not asked and (said := check(spark.read.parquet(f"{path}/batch-{batch}"))) is not None:
+            asked.append(said)
+            if said:
+                raise RateTooLow(name)
 
     query = stream.writeStream.outputMode("complete").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(write).start()
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    except Exception:
+        if asked and asked[0]:
+            raise RateTooLow(f"{name}: stopped after batch {done[0]}") from None
+        raise
     return spark.read.parquet(f"{path}/batch-{done[-1]}") if done else spark.createDataFrame([], stream.schema)
 
 
+def low_rate(after: int, cutoff: float) -> Callable[[DataFrame], bool | None]:
+    """A check of running totals (reads, mapped): None until ``after`` reads are seen, then whether too few are mapped."""
+
+    def said(totals: DataFrame) -> bool | None:
+        row = rate_check(totals, after, cutoff).first()
+        return bool(row.abort) if row and row.checked else None
+
+    return said
+
+
 def windows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_to_table(by_minute(events(spark, f"{sf_dir}/events.parquet")), "minutes")
 

@@ -182,9 +182,10 @@ def test_suffix_order_of_bases():
     assert A.suffix_order(x).tolist() == sorted(range(300), key=lambda i: raw[i:])
 
 
-def test_breakpoint():
-    # the read follows the donor for 5 bases and the acceptor after them
-    assert chimera.breakpoint("ACGTAGTTT", "CCCCCAGTTGCA", "ACGTATTGCA"[:10])[1] <= 1
+def test_breakpoint(spark):
+    rows = [("AAAAAGTCCC", "TTTTTTAGGG"[:10], "AAAAAAGG"), ("ACGTACGTAC", "CCACGTACGT", "ACGTACGT"), ("GT", "AG", "")]
+    got = chimera.breakpoints(spark.createDataFrame(rows, "donor string, acceptor string, read string")).collect()
+    assert (got[0].shift, got[0].mismatches) == (4, 1) and (got[1].mismatches, got[1].repeat) == (0, 8) and (got[2].shift, got[2].motif) == (0, 1)
 
 
 def test_fastq_split_anywhere(spark, tmp_path):
@@ -342,3 +343,50 @@ def test_rows_are_in_order_across_partitions(spark):
     assert got == sorted(got)
     back = [r.read_no for r in records.input_order(df.selectExpr("n read_no", "1 hi")).collect()]
     assert back == list(range(500))
+
+
+def test_block_gzip_reads_in_ranges(spark, tmp_path):
+    rng = random.Random(3)
+    reads_ = [(f"r{i}/1", "".join(rng.choice("ACGT") for _ in range(rng.randint(1, 400)))) for i in range(700)]
+    text = "".join(f"@{n}\n{s}\n+\n{'I' * len(s)}\n" for n, s in reads_).encode()
+    raw = b"".join(bam.block(text[i : i + 3001]) for i in range(0, len(text), 3001)) + bam.EOF
+    (tmp_path / "a.fq.gz").write_bytes(raw)
+    for blocks in (1, 3, 1000):
+        got = readers.read_block_fastq(spark, str(tmp_path / "a.fq.gz"), blocks).orderBy("read_no").collect()
+        assert [(r.read_no, r.name, r.seq) for r in got] == [(i, n, s) for i, (n, s) in enumerate(reads_)]
+    (tmp_path / "b.fq.gz").write_bytes(gzip.compress(text))
+    with pytest.raises(Exception, match="block-gzipped"):
+        readers.read_block_fastq(spark, str(tmp_path / "b.fq.gz")).collect()
+
+
+def test_picture_and_report(spark):
+    import struct
+    import zlib
+
+    df = spark.createDataFrame([(0, 0, 1), (99, 49, 4), (98, 49, 4)], "x int, y int, n long")
+    raw = writers.heat_png(df, 10, 5)
+    assert raw.startswith(b"\x89PNG") and struct.unpack(">II", raw[16:24]) == (10, 5)
+    size = struct.unpack(">I", raw[33:37])[0]
+    cells_ = zlib.decompress(raw[41 : 41 + size])
+    assert len(cells_) == 55 and cells_[1] == 32 and cells_[54] == 255 and sum(cells_) == 287
+    assert writers.heat_png(df.limit(0), 3, 3)[:4] == b"\x89PNG"
+    page = writers.report_html({"reads <all>": 5, "rate": "9%"}, "A & B")
+    assert "reads &lt;all&gt;" in page and "A &amp; B" in page
+
+
+def test_local_alignments_of_rows(spark):
+    df = spark.createDataFrame([("x", "GATTACA", "TTACA"), ("y", None, "A"), ("z", "AAAA", "AATAA")], "k string, a string, b string")
+    got = {r.k: (r.score, r.a_end, r.b_end) for r in reads.local_alignments(df).collect()}
+    assert got["x"] == (5, 7, 5) and got["y"] == (0, 0, 0) and got["z"][0] == reads.local_alignment("AAAA", "AATAA")[0]
+
+
+def test_a_run_of_too_low_a_rate_is_stopped(spark, tmp_path):
+    from quillon.streaming import progress
+
+    for i in range(4):
+        spark.createDataFrame([(j, "error" if j % 2 else "view") for j in range(100)], "event_id long, event_type string").withColumn("ts", F.current_timestamp()).coalesce(1).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    totals = lambda: progress.events(spark, str(tmp_path / "events.parquet"), 1).agg(F.count("*").alias("reads"), F.count_if(F.col("event_type") != "error").alias("mapped"))
+    with pytest.raises(progress.RateTooLow):
+        progress.run_to_table(totals(), "low", progress.low_rate(150, 0.9))
+    assert progress.run_to_table(totals(), "fine", progress.low_rate(150, 0.4)).first().reads == 400
+    assert progress.run_to_table(totals(), "early", progress.low_rate(10_000, 0.9)).first().reads == 400
