@@ -182,17 +182,16 @@ def count_lines(spark, d):
     from .genome_queries import gene_counts
 
     genes = writers.gene_counts(gene_counts(spark, d)).select(F.lit("genes").alias("kind"), F.split("value", "\t").alias("v"))
-    signal = writers.bedgraph(Q.signal(derived(spark, d, "blocks").where("k2 = 1"), False).where("kind = 'all'")).select(F.lit("signal").alias("kind"), F.split("value", "\t").alias("v"))
+    signal = writers.bedgraph(Q.signal(derived(spark, d, "blocks"), False).where("kind = 'all'")).select(F.lit("signal").alias("kind"), F.split("value", "\t").alias("v"))
     return genes.unionAll(signal).select("kind", *[F.get("v", F.lit(i)).alias(f"v{i}") for i in range(4)])
 
 
 def _lines() -> str:
     from .genome_queries import GENES
 
-    genes = GENES.replace(' select gene_id, count_if', 'q as (select gene_id, count_if', 1) if False else GENES
-    head, tail = genes.rsplit("\nselect ", 1)
+    head, tail = GENES.rsplit("\nselect ", 1)
     return f"""{head}, q as (select {tail}),
-w as (select chr, bs, bend, cast(round(2 * {Q.SCALE // 2}.0 / nh) as bigint) w from blocks where k2 = 1), s as (select chr, p, sum(w) dd from (select chr, bs p, w from w union all select chr, bend + 1, -w from w) group by chr, p having sum(w) <> 0),
+w as (select chr, bs, bend, cast(round(2 * {Q.SCALE // 2}.0 / nh) as bigint) w from blocks), s as (select chr, p, sum(w) dd from (select chr, bs p, w from w union all select chr, bend + 1, -w from w) group by chr, p having sum(w) <> 0),
 z as (select chr, p, lead(p) over (partition by chr order by p) e, sum(dd) over (partition by chr order by p) v from s)
 select 'genes' kind, case gene_id when -3 then 'N_multimapping' when -2 then 'N_ambiguous' when -1 then 'N_noFeature' else cast(gene_id as varchar) end v0, cast("none" as varchar) v1, cast(same as varchar) v2, cast(reverse as varchar) v3 from q
 union all select 'signal', cast(chr as varchar), cast(p as varchar), cast(e as varchar), printf('%.5f', cast(v as double) / {Q.SCALE}) from z where v <> 0"""

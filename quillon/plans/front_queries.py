@@ -86,8 +86,8 @@ select {K}, substr(t, 1, 16) cb, substr(t, 26, 10) umi, case when length(t) < 35
 
 
 def whitelist_match(spark, d):
-    """Candidates of each read's barcode in a list of every second part."""
-    chip = derived(spark, d, "chip_map").where("pk % 2 = 0").select("barcode")
+    """Candidates of each read's barcode in the chip's list."""
+    chip = derived(spark, d, "chip_map").select("barcode")
     listed = cells.whitelist(chip.select(seq.decode(F.col("barcode"), 25).alias("cb")).unionAll(chip.limit(0).select(F.lit("").alias("cb"))), 25)
     codes = listed.select(seq.encode(F.col("cb")).alias("barcode"))
     reads = derived(spark, d, "reads").select(F.struct(*KEYS).alias("read"), "barcode", "n_pos", F.transform(F.sequence(F.lit(0), F.lit(24)), lambda i: (F.col("base_q") + i * F.col("k2")) % 41).alias("qual"))
@@ -95,7 +95,7 @@ def whitelist_match(spark, d):
 
 
 NEAR = "bit_count((xor(r.barcode, c.barcode) | (xor(r.barcode, c.barcode) >> 1)) & 6148914691236517205)"
-MATCH = duck("chip_map", "reads") + f""", w as (select distinct barcode from chip_map where pk % 2 = 0),
+MATCH = duck("chip_map", "reads") + f""", w as (select distinct barcode from chip_map),
 m as (select * from reads where n_pos < 0 and barcode not in (select barcode from w)), u as (select distinct barcode from m),
 n as (select r.barcode, c.barcode cb, cast(floor(log2(cast(xor(r.barcode, c.barcode) as double)) / 2) as int) p from u r, w c where {NEAR} = 1),
 t as (select {K}, (barcode & ~(3::bigint << (2 * n_pos))) | (b << (2 * n_pos)) barcode from reads, (select unnest([0::bigint, 1, 2, 3]) b) where n_pos >= 0),
@@ -158,10 +158,10 @@ union all select {K}, case when x is not null then 'n' end, x, y from (select {K
 
 
 def strict(spark, d):
-    return B.strict_unique(derived(spark, d, "chip_map").select("barcode", "x", "y").unionAll(derived(spark, d, "reads").where("n_pos < 0 and k2 = 1").select("barcode", F.lit(1).alias("x"), F.lit(2).alias("y"))))
+    return B.strict_unique(derived(spark, d, "chip_map").select("barcode", "x", "y").unionAll(derived(spark, d, "reads").where("n_pos < 0").select("barcode", F.lit(1).alias("x"), F.lit(2).alias("y"))))
 
 
-STRICT = duck("chip_map", "reads") + " select barcode, min(x) x, min(y) y from (select barcode, x, y from chip_map union all select barcode, 1, 2 from reads where n_pos < 0 and k2 = 1) group by barcode having count(*) = 1"
+STRICT = duck("chip_map", "reads") + " select barcode, min(x) x, min(y) y from (select barcode, x, y from chip_map union all select barcode, 1, 2 from reads where n_pos < 0) group by barcode having count(*) = 1"
 
 
 def near_spots(spark, d):
