@@ -160,6 +160,14 @@ ALIGNED = """select concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppke
  cast(80 + case when l_linenumber % 3 = 0 then 0 else 100 + l_quantity * 20 end as int) span, 80 aligned, cast(l_linenumber % 3 > 0 as int) introns, true few_mismatches, 1 nh from lineitem"""
 
 
+def aligned_pieces(spark, d):
+    """The same reads against the made genome cut in pieces."""
+    reads, genome = align.made_reads(spark, d)
+    of = lambda ops: F.aggregate(F.regexp_extract_all("cigar", F.lit(rf"(\d+)[{ops}]"), F.lit(1)).cast("array<int>"), F.lit(0), lambda s, x: s + x)
+    out = align.align_pieces(reads, genome, piece=8192, reach=4096)
+    return out.select("read", "chr", "pos", "strand", of("MND").alias("span"), of("M").alias("aligned"), F.regexp_count("cigar", F.lit("N")).alias("introns"), (F.col("mismatches") <= 4).alias("few_mismatches"), "nh")
+
+
 def segment_tags(spark, d):
     """Chimeric pairs as supplementary records of each other."""
     li = table(spark, d, "lineitem")
@@ -223,6 +231,21 @@ ALLELES = """with r as (select cast(p_partkey as varchar) "read", p_partkey % 4
 n as (select "read", count(v.pos) n, count_if(coalesce(v.pos - a - 1 in (0, 1, 58, 59), false)) edge from r left join v on v.chr = r.chr and v.pos between a + 1 and a + 60 group by 1) select "read", case when n = 0 then -1 when edge > 0 then 6 else 1 end tag from n"""
 
 
+def second_pass(spark, d):
+    """Reads of the made genome, a part each, whose last five bases lie beyond a junction that is told."""
+    from ..operators import remap
+
+    genome = align.made_genome(spark)
+    p = table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("read"), (F.col("p_partkey") % 4).alias("chr"), (F.col("p_partkey") * 37 % 20_000).cast("int").alias("at"), (F.col("p_partkey") % 900 + 100).cast("int").alias("gap"))
+    bases = F.concat(F.substring("seq", F.col("at") + 1, F.lit(75)), F.substring("seq", F.col("at") + 76 + F.col("gap"), F.lit(5)))
+    reads = p.join(F.broadcast(genome), "chr").select("read", bases.alias("seq"))
+    known = p.select("chr", (F.col("at") + 75).cast("long").alias("start"), (F.col("at") + 75 + F.col("gap")).cast("long").alias("end"))
+    return remap.two_pass(reads, genome, known).select("read", "chr", "pos", "strand", "cigar", "nh")
+
+
+SECOND = """select cast(p_partkey as varchar) "read", cast(p_partkey % 4 as varchar) chr, p_partkey * 37 % 20000 + 1 pos, '+' strand, '75M' || (p_partkey % 900 + 100) || 'N5M' cigar, 1 nh from part"""
+
+
 def cell_stats(spark, d):
     return cells.stats(derived(spark, d, "umi_records").withColumn("read", F.monotonically_increasing_id()))
 
@@ -234,6 +257,7 @@ QUERIES = {
     "cell_stats": (cell_stats, STATS),
     "chimera_breakpoints": (breaks, BREAKS),
     "other_alleles": (alleles, ALLELES),
+    "second_pass": (second_pass, SECOND),
     "chimera_records": (segment_tags, TAGS),
     "multimapper_select": (multimappers, MULTI),
     "mapped_filter_reasons": (reasons, REASONS),
@@ -243,6 +267,7 @@ QUERIES = {
     "windows_islands": (windows, WINDOWS),
     "dominated_alignments": (dominated, DOMINATED),
     "align_reads": (aligned, ALIGNED),
+    "align_reads_in_pieces": (aligned_pieces, ALIGNED),
     "chimera_pairs": (chimeras, CHIMERAS),
     "cb_posterior_assign": (posterior, POSTERIOR),
     "umi_collapse_all": (collapse_all, COLLAPSE),

@@ -390,3 +390,20 @@ def test_a_run_of_too_low_a_rate_is_stopped(spark, tmp_path):
         progress.run_to_table(totals(), "low", progress.low_rate(150, 0.9))
     assert progress.run_to_table(totals(), "fine", progress.low_rate(150, 0.4)).first().reads == 400
     assert progress.run_to_table(totals(), "early", progress.low_rate(10_000, 0.9)).first().reads == 400
+
+
+def test_a_large_genome_is_aligned_in_pieces(spark, monkeypatch):
+    rng = random.Random(7)
+    g = ["".join(rng.choice("ACGT") for _ in range(9000)) for _ in range(2)]
+    g[1] = g[1][:4000] + g[0][1000:1300] + g[1][4300:]  # a repeat
+    genome = spark.createDataFrame([("a", g[0]), ("b", g[1]), ("c", "ACGT")], "chr string, seq string")
+    turn = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    rows = [(f"u{i}", g[i % 2][i * 97 % 8800 :][:80]) for i in range(60)] + [(f"m{i}", turn(g[0][1000 + i * 20 :][:80])) for i in range(8)]
+    rows += [(f"s{i}", g[0][5000 + i * 100 - 40 : 5000 + i * 100] + g[0][5700 + i * 100 :][:40]) for i in range(20)] + [("none", "A" * 80), ("short", "ACG"), ("nothing", None)]
+    made = spark.createDataFrame(rows, "read string, seq string")
+    whole = sorted(tuple(r) for r in A.align(made, genome).collect())
+    cut = sorted(tuple(r) for r in A.align_pieces(made, genome, piece=2000, reach=1500, load=7).select("read", "chr", "pos", "strand", "cigar", "score", "mismatches", "nh").collect())
+    assert cut == whole and {r[-1] for r in whole} == {1, 2}
+    monkeypatch.setattr(A, "LARGEST", 100)
+    assert sorted(tuple(r) for r in A.align(made, genome).select("read", "chr", "pos", "strand", "cigar", "score", "mismatches", "nh").collect()) == whole
+    assert A.align_pieces(made.limit(0), genome).count() == 0 and A.align_pieces(made, genome.limit(0)).count() == 0
