@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import shared_path
 from .align import align
-from .annotation import flanks, genome_bins
+from .annotation import fetch, flanks, genome_bins
 
 
 def blocks_of(alignments: DataFrame) -> DataFrame:
@@ -108,9 +108,31 @@ def other_alleles(alignments: DataFrame, variants: DataFrame, sequences: DataFra
     return loci.select("read", "early").join(late, "read", "left").select("read", F.coalesce("early", "late", F.lit(1)).cast("int").alias("tag"))
 
 
-def transcript_bans(alignments: DataFrame, paired: bool = False) -> DataFrame:
-    """Alignments fit for transcript counts: no indels, no soft clips (a clip would have to be extended), both mates if ``paired``; one primary a read, by a hash of its place."""
-    fit = alignments.where("not cigar rlike '[IDS]'")
+def extend_clips(alignments: DataFrame, bins: DataFrame, width: int, most: int = 10, share: float = 0.3) -> DataFrame:
+    """Alignments without soft clips: the first and last block grow over them, ``pos``, ``cigar`` and ``mismatches`` follow; those with more mismatches then than ``most``, or than that share of the read's length less one, are left out, as are those that would begin before the chromosome.
+
+    ``alignments``: chr, pos (from 1), cigar, mismatches, seq as aligned; ``bins``: the genome's, of ``width`` bases, overlapping by a read's length."""
+    number = lambda rule: F.coalesce(F.regexp_extract("cigar", rule, 1).try_cast("int"), F.lit(0))
+    rows = blocks_of(alignments).withColumns({"_a": number(r"^(\d+)S"), "_b": number(r"(\d+)S$"), "_last": F.element_at("blocks", -1)})
+    rows = rows.withColumns({"_s": F.col("pos") - 1 - F.col("_a"), "_e": F.col("_last.g") + F.col("_last.len") - 1}).where("_s >= 0").drop("ops", "blocks", "_last")
+    rows = fetch(rows.withColumnRenamed("_s", "_begin"), bins, width, "_begin", F.col("_a"), "_left")
+    rows = fetch(rows, bins, width, "_e", F.col("_b"), "_right").where("length(_left) = _a and length(_right) = _b")
+    wrong = lambda x, y: F.size(F.filter(F.zip_with(F.split(x, ""), F.split(y, ""), lambda p, q: (p != q) & p.isin(*"ACGT") & q.isin(*"ACGT")), lambda z: z))
+    front, back = F.substring(F.col("seq"), F.lit(1), F.col("_a")), F.substring(F.col("seq"), F.length("seq") - F.col("_b") + 1, F.col("_b"))
+    # a column of its own for each side's count
+    rows = rows.withColumn("_p", F.when(F.col("_a") > 0, wrong(front, F.col("_left"))).otherwise(0)).withColumn("_q", F.when(F.col("_b") > 0, wrong(back, F.col("_right"))).otherwise(0))
+    core = F.regexp_replace("cigar", r"^\d+S|\d+S$", "")
+    grown = F.concat((F.regexp_extract(core, r"^(\d+)", 1).cast("int") + F.col("_a")).cast("string"), F.regexp_replace(core, r"^\d+", ""))
+    rows = rows.withColumn("_c", grown)
+    whole = F.concat(F.regexp_replace("_c", r"\d+M$", ""), (F.regexp_extract("_c", r"(\d+)M$", 1).cast("int") + F.col("_b")).cast("string"), F.lit("M"))
+    out = rows.withColumns({"cigar": whole, "pos": F.col("_begin") + 1, "mismatches": F.col("mismatches") + F.col("_p") + F.col("_q")})
+    return out.where(F.col("mismatches") <= F.least(F.lit(most), F.floor(share * (F.length("seq") - 1)))).select(alignments.columns)
+
+
+def transcript_bans(alignments: DataFrame, paired: bool = False, indels: bool = False, clips: bool = False) -> DataFrame:
+    """Alignments fit for transcript counts: without indels and soft clips unless they are allowed (``extend_clips`` first turns clips into aligned bases), both mates if ``paired``; one primary a read, by a hash of its place."""
+    banned = ("" if indels else "ID") + ("" if clips else "S")
+    fit = alignments.where(~F.col("cigar").rlike(f"[{banned}]")) if banned else alignments
     if paired:
         fit = fit.where("mates = 2")
     w = Window.partitionBy("read").orderBy(F.xxhash64("read", "chr", "pos"), "chr", "pos")

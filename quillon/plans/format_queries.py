@@ -274,6 +274,25 @@ e as (select *, substr(flank, 1, 2) || case when choice % 2 = 0 then 'A' else 'C
 select gene_id, choice, case when two then substr(v, 1, cast(o as int)) || case when choice // 2 = 0 then 'G' else 'T' end || substr(v, cast(o + 2 as int)) else v end variant from e"""
 
 
+def clips(spark, d):
+    """Reads of 40 bases whose clipped ends are the genome's, turned round."""
+    from ..operators import remap
+
+    n, lead, tail = F.col("p_partkey"), (F.col("p_partkey") % 6).cast("int"), (F.col("p_partkey") % 4).cast("int")
+    at = (n * 7 % 900).cast("int")
+    rows = table(spark, d, "part").select(n.alias("read"), F.concat(F.lit("c"), n % 5).alias("chr"), at.alias("s"), lead.alias("a"), tail.alias("b")).join(chromosomes(spark, d), "chr").where(F.col("s") + 40 <= F.length("seq"))
+    cut = lambda start, size: F.substring("seq", start + 1, size)
+    bases = F.concat(F.reverse(cut(F.col("s"), F.col("a"))), cut(F.col("s") + F.col("a"), 40 - F.col("a") - F.col("b")), F.reverse(cut(F.col("s") + 40 - F.col("b"), F.col("b"))))
+    clip = lambda c: F.when(F.col(c) > 0, F.concat(F.col(c).cast("string"), F.lit("S"))).otherwise("")
+    made = rows.select("read", "chr", (F.col("s") + F.col("a") + 1).cast("long").alias("pos"), F.concat(clip("a"), (40 - F.col("a") - F.col("b")).cast("string"), F.lit("M"), clip("b")).alias("cigar"), (F.col("read") % 3).cast("int").alias("mismatches"), bases.alias("seq"), F.lit(1).alias("nh"))
+    return remap.extend_clips(made, A.genome_bins(chromosomes(spark, d), WIDTH, 100), WIDTH, 4).select("read", "chr", "pos", "cigar", "mismatches")
+
+
+CLIPS = GENOME + """, r as (select p_partkey "read", 'c' || (p_partkey % 5) chr, p_partkey * 7 % 900 s, cast(p_partkey % 6 as int) a, cast(p_partkey % 4 as int) b from part), q as (select r.*, seq from r join g using (chr) where s + 40 <= length(seq)),
+m as (select *, cast("read" % 3 + len(list_filter(range(0, a), lambda i: substr(seq, s + a - i, 1) <> substr(seq, s + 1 + i, 1))) + len(list_filter(range(0, b), lambda i: substr(seq, s + 40 - i, 1) <> substr(seq, s + 41 - b + i, 1))) as int) mismatches from q)
+select "read", chr, s + 1 pos, '40M' cigar, mismatches from m where mismatches <= 4"""
+
+
 def consensus(spark, d):
     bins = A.genome_bins(chromosomes(spark, d), 500, 0)
     v = derived(spark, d, "snps").select(F.concat(F.lit("c"), (F.col("pos") % 5)).alias("chr"), (F.expr("pos div 5") % 900).alias("pos"), F.element_at(F.array(*map(F.lit, "ACGT")), F.col("ref") + 1).alias("ref")).distinct().withColumn("alt", F.lit("N"))
@@ -312,5 +331,6 @@ select suffix, chr, pos, row_number() over (order by suffix, chr, pos) - 1 rank
     "junction_shifts": (shifts, SHIFTS),
     "junction_flanks": (lambda s, d: flanks(s, d).select("gene_id", "flank"), FLANKS + " select gene_id, flank from f"),
     "flank_alleles": (choices, CHOICES),
+    "clip_extension": (clips, CLIPS),
     "consensus_genome": (consensus, _consensus()),
 }
