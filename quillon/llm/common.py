@@ -62,22 +62,21 @@ class Scratch:
 # --- bytes of text columns -----------------------------------------------------------------------
 
 
-def blobs(column: pa.Array, most: int = 1 << 20, rows: int = 512) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def blobs(column: pa.Array, most: int = 1 << 19, rows: int = 256) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of whole rows with about ``most`` bytes and at most ``rows`` rows; a longer row comes alone. Null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    a = column.cast(pa.large_string()).fill_null("").cast(pa.large_binary())
-    n = len(a)
-    if not n:
-        return
-    kept = a.buffers()
-    off = np.frombuffer(kept[1], np.int64)[a.offset : a.offset + n + 1]
-    data = np.frombuffer(kept[2], np.uint8) if kept[2] is not None and kept[2].size else np.zeros(0, np.uint8)
-    lo = 0
-    while lo < n:
-        hi = min(lo + rows, max(lo + 1, int(np.searchsorted(off, off[lo] + most, "right")) - 1))
-        yield lo, hi, data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
-        lo = hi
+    # only ``rows`` rows are converted at once, so a batch of long texts isn't copied as a whole
+    for first in range(0, len(column), rows):
+        a = column.slice(first, rows).cast(pa.large_string()).fill_null("").cast(pa.large_binary())
+        n, kept = len(a), a.buffers()
+        off = np.frombuffer(kept[1], np.int64)[a.offset : a.offset + n + 1]
+        data = np.frombuffer(kept[2], np.uint8) if kept[2] is not None and kept[2].size else np.zeros(0, np.uint8)
+        lo = 0
+        while lo < n:
+            hi = max(lo + 1, int(np.searchsorted(off, off[lo] + most, "right")) - 1)
+            yield first + lo, first + hi, data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
+            lo = hi
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -134,17 +133,18 @@ def components(edges: DataFrame, scratch: Scratch, a: str = "a", b: str = "b") -
     A vertex with many neighbours is pre-aggregated (a minimum) and its rows are joined, not collected."""
     now = scratch.save(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
     while True:
+        # the least of each neighbourhood is a table of its own: the joins with it are then plain exchanges, and Spark splits a hub's rows
         # large star: every larger neighbour points to the smallest of the neighbourhood
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = scratch.save(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        large = scratch.save(both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # small star: each vertex and its smaller neighbours point to the smallest of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v"))).distinct()
-        new = scratch.save(small)
+        low = scratch.save(large.groupBy("u").agg(F.min("v").alias("m")))
+        moved = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        new = scratch.save(moved.unionAll(low.select("u", F.col("m").alias("v"))).distinct())
         same = new.exceptAll(now).isEmpty() and now.exceptAll(new).isEmpty()
-        scratch.drop(now)
+        for old in (least, large, low, now):
+            scratch.drop(old)
         now = new
         if same:
             break

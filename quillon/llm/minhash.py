@@ -193,7 +193,8 @@ def confirm_clusters(forest: DataFrame, reps: DataFrame, labels: DataFrame, docs
     parts = member.groupBy("cluster", "label").agg(F.count("*").alias("k"))
     plan = parts.groupBy("cluster").agg(F.sum("k").alias("all"), F.max(F.struct("k", "label")).alias("m")).where("all > m.k")
     ceil = lambda c: F.ceil(c / ROWS).cast("int")
-    plan = plan.select("cluster", F.col("m.label").alias("main"), ceil(F.col("all") - F.col("m.k")).alias("gi"), ceil(F.col("all")).alias("gj"))
+    # written, so that its size is known: it is broadcast if it is small, else a large cluster's rows are split
+    plan = scratch.save(plan.select("cluster", F.col("m.label").alias("main"), ceil(F.col("all") - F.col("m.k")).alias("gi"), ceil(F.col("all")).alias("gj")))
     named = member.join(plan, "cluster")
     own = lambda g, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), F.col(g)).cast("int")
     rows = named.where("label <> main").select("cluster", "rep", "label", own("gi", 1).alias("i"), F.explode(F.sequence(F.lit(0), F.col("gj") - 1)).alias("j"), F.lit(True).alias("row"))
