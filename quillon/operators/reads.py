@@ -32,12 +32,17 @@ def clip_adapter(reads: DataFrame, adapter: str, share: float = 0.1, after: int
     return out.withColumns({c: F.substring(c, F.lit(1), F.col("_cut")) for c in ("seq", "qual")}).drop("_cut")
 
 
-def good_stretches(text: Column, least: int = 12) -> Column:
-    """array of (start, length) of stretches of known bases of at least that length, starts from 0."""
+def good_stretches(text: Column, least: int = 12, qual: Column | None = None, low: int = 0) -> Column:
+    """array of (start, length) of stretches of known bases of at least that length, starts from 0; with ``qual``, bases of a quality under ``low`` count as unknown."""
+    if qual is not None:
+        masked = F.zip_with(F.split(text, ""), F.split(qual, ""), lambda b, q: F.when(F.ascii(q) - 33 < low, F.lit("N")).otherwise(b))
+        text = F.array_join(masked, "")
     parts = F.split(text, "(?<=[^ACGT])|(?=[^ACGT])")
-    walked = F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,length:int>>)").alias("out")),
-        lambda s, p: F.struct((s.at + F.length(p)).alias("at"), F.when((F.length(p) >= least) & ~p.rlike("[^ACGT]"), F.concat(s.out, F.array(F.struct(s.at.alias("start"), F.length(p).alias("length"))))).otherwise(s.out).alias("out")), lambda s: s.out)
-    return walked
+    kind = "cast(array() as array<struct<start:int,length:int>>)"
+    long = lambda p: (F.length(p) >= least) & ~p.rlike("[^ACGT]")
+    added = lambda s, p: F.concat(s.out, F.array(F.struct(s.at.alias("start"), F.length(p).alias("length"))))
+    step = lambda s, p: F.struct((s.at + F.length(p)).alias("at"), F.when(long(p), added(s, p)).otherwise(s.out).alias("out"))
+    return F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.expr(kind).alias("out")), step, lambda s: s.out)
 
 
 def shift_quality(qual: Column, by: int) -> Column:

@@ -120,13 +120,14 @@ def poly_a(spark, d):
     """Reads made of some C and G, the 25 bases of a code, and a tail of A with a change."""
     reads = derived(spark, d, "reads")
     text = F.concat(F.repeat(F.lit("CG"), (F.col("k2") % 7).cast("int")), seq.decode(F.col("barcode"), 25), F.repeat(F.lit("A"), F.col("base_q")), F.lit("T"), F.repeat(F.lit("A"), F.lit(4)), F.lit("GATC"))
-    return B.trim_poly_a(reads.select(*KEYS, text.alias("seq")), 12, 2).select(*KEYS, "pos", "dropped", F.length("kept").alias("kept_length"))
+    rows = reads.select(*KEYS, text.alias("seq")).withColumn("qual", F.repeat(F.lit("J"), F.length("seq")))
+    return B.trim_poly_a(rows, 12, 2).select(*KEYS, "pos", "dropped", F.length("kept").alias("kept_length"), "kept_qual")
 
 
 POLY_A = duck("reads") + """, s as (select k1, k2, k3, k4, k5, repeat('CG', cast(k2 % 7 as int)) || array_to_string(list_transform(range(24, -1, -1), lambda i: substr('ACGT', cast((barcode >> (2 * i)) & 3 as int) + 1, 1)), '')
   || repeat('A', base_q) || 'T' || repeat('A', 4) || 'GATC' seq from reads),
 p as (select *, coalesce(list_min(list_filter(range(0, length(seq) - 11), lambda i: length(replace(substr(seq, i + 1, 12), 'A', '')) <= 2)), -1) pos from s)
-select k1, k2, k3, k4, k5, cast(pos as int) pos, pos >= 0 and pos < 30 dropped, cast(case when pos < 0 then length(seq) when pos < 30 then 0 else pos end as int) kept_length from p"""
+select k1, k2, k3, k4, k5, cast(pos as int) pos, pos >= 0 and pos < 30 dropped, cast(case when pos < 0 then length(seq) when pos < 30 then 0 else pos end as int) kept_length, repeat('J', case when pos < 0 then length(seq) when pos < 30 then 0 else pos end) kept_qual from p"""
 
 
 def mask(spark, d):
@@ -176,11 +177,15 @@ select {', '.join(KEYS)}, case when best is null then t else substr(t, 1, cast(b
 def stretches(spark, d):
     """Known stretches of a code's bases with two unknown ones put in."""
     text = F.concat(F.substring(seq.decode(F.col("barcode"), 25), F.lit(1), (F.col("k1") % 25).cast("int")), F.lit("N"), seq.decode(F.col("barcode"), 25), F.lit("N"), F.repeat(F.lit("ACG"), F.col("k2").cast("int")))
-    return derived(spark, d, "reads").select(*KEYS, R.good_stretches(text, 12).alias("s")).select(*KEYS, F.size("s").cast("long").alias("n"), F.array_join(F.transform("s", lambda x: F.concat_ws(":", x.start, x.length)), ",").alias("at"))
+    at = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x.start, x.length)), ",")
+    place = (F.col("k1") % 30).cast("int")
+    qual = F.concat(F.repeat(F.lit("J"), place), F.lit("#"), F.repeat(F.lit("J"), F.lit(39) - place))
+    rows = derived(spark, d, "reads").withColumn("s", R.good_stretches(text, 12)).withColumn("q", R.good_stretches(F.lit("ACGT" * 10), 12, qual, 5))
+    return rows.select(*KEYS, F.size("s").cast("long").alias("n"), at("s").alias("at"), at("q").alias("by_quality"))
 
 
 STRETCHES = duck("reads") + f""", s as (select {', '.join(KEYS)}, cast(k1 % 25 as int) a, 3 * cast(k2 as int) c from reads)
-select {', '.join(KEYS)}, cast((a >= 12)::int + 1 + (c >= 12)::int as bigint) n, concat_ws(',', case when a >= 12 then '0:' || a end, (a + 1) || ':25', case when c >= 12 then (a + 27) || ':' || c end) "at" from s"""
+select {', '.join(KEYS)}, cast((a >= 12)::int + 1 + (c >= 12)::int as bigint) n, concat_ws(',', case when a >= 12 then '0:' || a end, (a + 1) || ':25', case when c >= 12 then (a + 27) || ':' || c end) "at", concat_ws(',', case when k1 % 30 >= 12 then '0:' || (k1 % 30) end, case when 39 - k1 % 30 >= 12 then (k1 % 30 + 1) || ':' || (39 - k1 % 30) end) by_quality from s"""
 
 
 def located(spark, d):
