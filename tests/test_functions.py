@@ -407,3 +407,24 @@ def test_a_large_genome_is_aligned_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(A, "LARGEST", 100)
     assert sorted(tuple(r) for r in A.align(made, genome).select("read", "chr", "pos", "strand", "cigar", "score", "mismatches", "nh").collect()) == whole
     assert A.align_pieces(made.limit(0), genome).count() == 0 and A.align_pieces(made, genome.limit(0)).count() == 0
+
+
+def test_bam_index_finds_regions(spark, tmp_path):
+    rng = random.Random(13)
+    rows = []
+    for i in range(6000):
+        pos = rng.choice([rng.randint(1, 3_000_000), rng.randint(1, 20_000)])
+        rows.append((f"q{i}", 0, f"c{i % 2}", pos, 255, rng.choice(["50M", "20M90000N30M", "10S40M"]), "*", 0, 0, "ACGTA" * 10, "*"))
+    rows += [(f"u{i}", 4, "*", 0, 0, "*", "*", 0, 0, "ACGTA", "*") for i in range(9)]
+    df = spark.createDataFrame(rows, "qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string")
+    bam.write_bam(df, str(tmp_path / "p"), [("c0", 4_000_000), ("c1", 4_000_000)], "", sort=True)
+    one = str(tmp_path / "one.bam")
+    bam.concatenate(str(tmp_path / "p"), one)
+    assert bam.write_index(one) == one + ".bai"
+    span = {"50M": 50, "20M90000N30M": 90_050, "10S40M": 40}
+    for chromosome, begin, end in (("c0", 0, 100), ("c1", 16_000, 16_800), ("c0", 1_000_000, 1_200_000), ("c1", 0, 4_000_000), ("c0", 3_500_000, 3_600_000), ("c1", 2_999_000, 2_999_001)):
+        want = sorted(r[0] for r in rows if r[2] == chromosome and r[3] - 1 < end and r[3] - 1 + span[r[5]] > begin)
+        assert sorted(r["qname"] for r in bam.read_region(one, chromosome, begin, end)) == want
+    bam.write_bam(df.orderBy(F.rand(1)).coalesce(1), str(tmp_path / "u"), [("c0", 4_000_000), ("c1", 4_000_000)], "")
+    with pytest.raises(ValueError, match="not sorted"):
+        bam.write_index(str(tmp_path / "u" / "part-00000.bam"))
