@@ -21,6 +21,29 @@ def segment_pairs(segments: DataFrame, read: list[str], score_min: int = 0, drop
     return near.drop("_m", "score_a", "score_b")
 
 
+def best_second(segments: DataFrame, read: list[str], score_min: int = 0, drop_max: int = 20, separation: int = 10) -> DataFrame:
+    """The main segment of each read (the highest score, then the first number) with its best partner: of the segments beside it on the read the highest score, which must be ``separation`` above the next one's; the two scores must sum to ``score_min`` and to the read's length less ``drop_max`` at least. Columns as in ``segment_pairs``, a before b on the read.
+
+    A read's segments are few; three windows over one exchange find all of it."""
+    w = Window.partitionBy(*read)
+    order = w.orderBy(F.desc("score"), "seg")
+    ranked = segments.withColumn("_r", F.row_number().over(order))
+    main = lambda c: F.max(F.when(F.col("_r") == 1, F.col(c))).over(w)
+    rows = ranked.withColumns({"_s": main("r_start"), "_e": main("r_end"), "_m": main("score")})
+    beside = rows.where((F.col("_r") == 1) | (F.col("r_end") < F.col("_s")) | (F.col("r_start") > F.col("_e")))
+    beside = beside.withColumns({"_k": F.row_number().over(order), "_next": F.lead("score").over(order)})
+    apart = F.col("_next").isNull() | (F.col("score") - F.col("_next") >= separation)
+    total = F.col("_m") + F.col("score")
+    ok = apart & (total >= score_min) & (total >= F.col("length") - drop_max)
+    cols = ["seg", "r_start", "r_end", "chr", "g_start", "strand"]
+    one = beside.where("_k = 1").select(*read, "length", F.struct(*cols).alias("x"))
+    two = beside.where("_k = 2").where(ok).select(*read, F.struct(*cols).alias("y"), total.alias("score"))
+    both = one.join(two, read)
+    first = F.col("x.r_start") < F.col("y.r_start")
+    a, b = F.when(first, F.col("x")).otherwise(F.col("y")), F.when(first, F.col("y")).otherwise(F.col("x"))
+    return both.select(*read, "length", "score", *[a[c].alias(f"{c}_a") for c in cols], *[b[c].alias(f"{c}_b") for c in cols])
+
+
 def breakpoints(rows: DataFrame) -> DataFrame:
     """``shift``, ``mismatches``, ``motif`` (1 GT/AG, 2 its complement CT/AC, 0 other) and ``repeat``: where between two segments a read best changes over: the place of the fewest mismatches, of equal ones one with a motif, then the first; and how many other places are as good.
 

@@ -246,6 +246,21 @@ def second_pass(spark, d):
 SECOND = """select cast(p_partkey as varchar) "read", cast(p_partkey % 4 as varchar) chr, p_partkey * 37 % 20000 + 1 pos, '+' strand, '75M' || (p_partkey % 900 + 100) || 'N5M' cigar, 1 nh from part"""
 
 
+def second_segments(spark, d):
+    li = table(spark, d, "lineitem")
+    start = (F.col("l_linenumber") * 17 + F.col("l_suppkey") % 9).cast("int")
+    s = li.select(F.col("l_orderkey").alias("read"), F.col("l_extendedprice").alias("seg"), start.alias("r_start"), (start + 20 + F.col("l_partkey") % 15).cast("int").alias("r_end"), (F.col("l_partkey") % 5).alias("chr"), (F.col("l_partkey") * 100).alias("g_start"), (F.col("l_linenumber") % 2).alias("strand"), (F.lit(20) + F.col("l_quantity")).cast("int").alias("score"), F.lit(110).alias("length"))
+    return chimera.best_second(s, ["read"], 60, 30, 6)
+
+
+SECONDS = """with s as (select l_orderkey "read", l_extendedprice seg, cast(l_linenumber * 17 + l_suppkey % 9 as int) r_start, cast(l_linenumber * 17 + l_suppkey % 9 + 20 + l_partkey % 15 as int) r_end, l_partkey % 5 chr, l_partkey * 100 g_start, l_linenumber % 2 strand, cast(20 + l_quantity as int) score from lineitem),
+m as (select * from s qualify row_number() over (partition by "read" order by score desc, seg) = 1),
+o as (select s.*, m.score ms, row_number() over (partition by s."read" order by s.score desc, s.seg) k, lead(s.score) over (partition by s."read" order by s.score desc, s.seg) nxt from s join m on m."read" = s."read" and (s.r_end < m.r_start or s.r_start > m.r_end)),
+p as (select "read", ms + score total, seg, r_start, r_end, chr, g_start, strand from o where k = 1 and (nxt is null or score - nxt >= 6) and ms + score >= 80)
+select p."read", 110 length, total score, case when m.r_start < p.r_start then m.seg else p.seg end seg_a, case when m.r_start < p.r_start then m.r_start else p.r_start end r_start_a, case when m.r_start < p.r_start then m.r_end else p.r_end end r_end_a, case when m.r_start < p.r_start then m.chr else p.chr end chr_a, case when m.r_start < p.r_start then m.g_start else p.g_start end g_start_a, case when m.r_start < p.r_start then m.strand else p.strand end strand_a,
+ case when m.r_start < p.r_start then p.seg else m.seg end seg_b, case when m.r_start < p.r_start then p.r_start else m.r_start end r_start_b, case when m.r_start < p.r_start then p.r_end else m.r_end end r_end_b, case when m.r_start < p.r_start then p.chr else m.chr end chr_b, case when m.r_start < p.r_start then p.g_start else m.g_start end g_start_b, case when m.r_start < p.r_start then p.strand else m.strand end strand_b from p join m using ("read")"""
+
+
 def cell_stats(spark, d):
     return cells.stats(derived(spark, d, "umi_records").withColumn("read", F.monotonically_increasing_id()))
 
@@ -256,6 +271,7 @@ select count(*) cells, cast(sum(reads) as bigint) reads, cast(sum(tags) as bigin
 QUERIES = {
     "cell_stats": (cell_stats, STATS),
     "chimera_breakpoints": (breaks, BREAKS),
+    "chimera_second_segment": (second_segments, SECONDS),
     "other_alleles": (alleles, ALLELES),
     "second_pass": (second_pass, SECOND),
     "chimera_records": (segment_tags, TAGS),
