@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -119,27 +117,35 @@ def pair_keys(pairs: DataFrame, bases: int = 0) -> DataFrame:
     """Columns ``key1`` to ``key7``: what pairs have in common that are copies of one fragment: both mates' starts and CIGARs as if soft clips were aligned, both flags, and the first ``bases`` bases of the second mate as it was sequenced.
 
     ``pairs``: pos1, cigar1, flag1, pos2, cigar2, flag2, seq2 (as aligned)."""
-    number = lambda c, rule: F.coalesce(F.regexp_extract(c, rule, 1).try_cast("int"), F.lit(0))
-
-    def whole(c: Column) -> Column:
-        core = F.regexp_replace(c, r"^\d+S|\d+S$", "")
-        left = F.concat((number(core, r"^(\d+)") + number(c, r"^(\d+)S")).cast("string"), F.regexp_replace(core, r"^\d+", ""))
-        return F.concat(F.regexp_replace(left, r"\d+[A-Z]$", ""), (number(left, r"(\d+)[A-Z]$") + number(c, r"(\d+)S$")).cast("string"), F.substring(left, -1, 1))
+    out = pairs
+    for i in (1, 2):  # lengths and operations apart, in columns of their own, so that each CIGAR is read once
+        c = f"cigar{i}"
+        out = out.withColumns({f"_n{i}": F.split(F.rtrim(F.translate(c, "MIDNSHP=X", " " * 9)), " ").cast("array<int>"), f"_o{i}": F.translate(c, "0123456789", "")})
+        n, ops = F.col(f"_n{i}"), F.col(f"_o{i}")
+        out = out.withColumns({f"_l{i}": F.when(F.startswith(ops, F.lit("S")), F.get(n, F.lit(0))).otherwise(0), f"_r{i}": F.when(F.endswith(ops, F.lit("S")), F.element_at(n, -1)).otherwise(0)})
+
+    def whole(i: int) -> Column:
+        n, ops, left, right = (F.col(f"_{x}{i}") for x in "nolr")
+        clips = (left > 0).cast("int") + (right > 0).cast("int")
+        kept = F.slice(n, 1 + (left > 0).cast("int"), F.size(n) - clips)
+        grown = F.transform(kept, lambda x, j: x + F.when(j == 0, left).otherwise(0) + F.when(j == F.size(n) - clips - 1, right).otherwise(0))
+        letters = F.split(F.substring(ops, 1 + (left > 0).cast("int"), F.length(ops) - clips), "")
+        return F.array_join(F.zip_with(grown, letters, lambda x, o: F.concat(x.cast("string"), o)), "")
 
-    begin = [F.col(f"pos{i}") - number(F.col(f"cigar{i}"), r"^(\d+)S") for i in (1, 2)]
     turned = F.col("flag2").bitwiseAND(F.lit(16)) > 0
     first = F.when(turned, F.substring("seq2", F.length("seq2") - bases + 1, F.lit(bases))).otherwise(F.substring("seq2", F.lit(1), F.lit(bases)))
-    made = [*begin, F.col("flag1"), F.col("flag2"), whole(F.col("cigar1")), whole(F.col("cigar2")), first]
-    return pairs.withColumns({f"key{i}": c for i, c in enumerate(made, 1)})
+    made = [F.col("pos1") - F.col("_l1"), F.col("pos2") - F.col("_l2"), F.col("flag1"), F.col("flag2"), whole(1), whole(2), first]
+    return out.withColumns({f"key{i}": c for i, c in enumerate(made, 1)}).drop(*[f"_{x}{i}" for x in "nolr" for i in (1, 2)])
 
 
 def mark_duplicates(reads: DataFrame, keys: list[str], score: str, name: list[str], multi: bool = False) -> DataFrame:
-    """``duplicate``: all but the best of reads with equal keys (nulls are equal), of equal scores the first name; ``multi``: reads of several loci (``nh``) too. Only the best of each group is aggregated, so a hot group costs a minimum, not a sort."""
-    best = reads.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(F.struct((-F.col(score)).alias("s"), *name)).alias("_best"))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    """``duplicate``: all but the best of reads with equal keys (nulls are equal), of equal scores the first name; ``multi``: reads of several loci (``nh``) too. Keys are named by 128 bits of hash, so that two numbers are sorted and joined and not all keys; only the best of each group is aggregated, so a hot group costs a minimum, not a sort."""
+    told = [x for k in keys for x in (F.col(k).isNull(), F.col(k))]  # a null alone would leave a hash as it was
+    named = reads.withColumns({"_h": F.xxhash64(*told), "_g": F.xxhash64(F.lit(1), *told[::-1])})
+    best = named.groupBy("_h", "_g").agg(F.min(F.struct((-F.col(score)).alias("s"), *name)).alias("_best"))
     found = F.struct((-F.col(score)).alias("s"), *name) != F.col("_best")
     found = found | (F.col("nh") > 1) if multi else found
-    return reads.join(best, same).withColumn("duplicate", found).drop("_best", *[f"_k{i}" for i in range(len(keys))])
+    return named.join(best, ["_h", "_g"]).withColumn("duplicate", found).drop("_best", "_h", "_g")
 
 
 def lift_over(intervals: DataFrame, blocks: DataFrame, start: str = "s", end: str = "e", width: int = 1 << 20) -> DataFrame:
