@@ -126,10 +126,10 @@ SPOTS = duck("reads") + f""" select cast(list_reduce(list_prepend(0::bigint, lis
 
 def types(spark, d):
     scores = F.transform(F.sequence(F.lit(0), F.lit(24)), lambda i: (F.col("base_q") + i * F.col("k2")) % 41)
-    return B.barcode_stats(derived(spark, d, "reads").select(*KEYS, "k4", "base_q", F.expr("barcode & 255").alias("barcode")).drop("x"), scores, KEYS)
+    return B.barcode_stats(derived(spark, d, "reads").select(*KEYS, "base_q", "barcode"), scores, KEYS)
 
 
-TYPES = duck("reads") + f""", r as (select *, barcode & 255 c from reads), f as (select c, lag(c) over (order by {K}) p from r), t as (select c, count(*) n from r group by c),
+TYPES = duck("reads") + f""", r as (select *, barcode c from reads), f as (select c, lag(c) over (order by {K}) p from r), t as (select c, count(*) n from r group by c),
 s as (select sum(len(list_filter(range(0, 25), lambda i: (base_q + i * k2) % 41 < 10))) low from reads)
 select (select count(*) from r) reads, (select count(*) from t) types, (select count_if(n = 1) from t) singles, (select cast(sum(n - 1) as bigint) from t) repeated, (select count_if(coalesce(c = p, false)) from f) follows, round((select low from s) * 100.0 / ((select count(*) from r) * 25), 2) low_percent"""
 
