@@ -8,7 +8,7 @@ from ..functions import seq
 from ..operators import records as R
 from ..operators import reads as reads_
 from ..operators import remap
-from .fixtures import derived, duck, table
+from .fixtures import LINE_KEYS, derived, duck, table
 from .front_queries import D25
 
 KEYS = ["k1", "k2", "k3", "k4", "k5"]
@@ -16,9 +16,9 @@ K = "k1, k2, k3, k4, k5"
 
 
 def aligned(spark, d):
-    """The pieces of each read as blocks and gaps."""
+    """The pieces of each read as blocks and gaps. Lines are dealt out by their keys before they are cut, so no piece is."""
     one = F.struct("i", "r", "g", "len", "frag", "kind", "annot", "lft", "rgt")
-    rows = derived(spark, d, "pieces").groupBy(*KEYS, "read_length").agg(F.sort_array(F.collect_list(one)).alias("x"))
+    rows = derived(spark, d, "pieces", LINE_KEYS).groupBy(*KEYS, "read_length").agg(F.sort_array(F.collect_list(one)).alias("x"))
     blocks = F.transform("x", lambda x: F.struct(x.r.cast("int").alias("r"), x.g.alias("g"), x.len.cast("int").alias("len"), x.frag.alias("frag")))
     gaps = F.transform(F.slice("x", 1, 2), lambda x: F.struct(x.kind.alias("kind"), x.annot.alias("annot"), x.lft.cast("int").alias("left"), x.rgt.cast("int").alias("right")))
     return rows.select(*KEYS, F.col("read_length").cast("int").alias("read_length"), blocks.alias("blocks"), gaps.alias("gaps"))
