@@ -24,3 +24,47 @@ def test_extension_over_a_mismatch_beats_a_seed_by_chance(genome):
     read = read[:11] + read[11].translate(str.maketrans("ACGT", "CGTA")) + read[12:]
     both = A.align_batch(ix, [read, read[::-1].translate(TURN)])
     assert both == [[("1", 21_330, strand, "60M", 58, 1)] for strand in "+-"]
+
+
+def mixed_reads(seq, n, seed=3):
+    rng, out = random.Random(seed), []
+    for _ in range(n):
+        s = seq[rng.choice("0123")]
+        at = rng.choice([0, len(s) - 90, rng.randrange(len(s) - 90), rng.randrange(len(s) - 90)])
+        size = rng.choice([12, 30, 60, 80])
+        gap = rng.choice([0, 0, 1, 3, 20, 21, 300, 5000]) if at < 18_000 else 0
+        cut = rng.randrange(5, size - 4)
+        t = s[at : at + cut] + rng.choice(["", "", "A", "GGT"]) + s[at + cut + gap : at + size + gap]
+        for _ in range(rng.choice([0, 0, 1, 2, 4])):
+            i = rng.randrange(len(t))
+            t = t[:i] + rng.choice("ACGTN") + t[i + 1 :]
+        t = rng.choice(["", "", "ACGTTGCA"]) + t + rng.choice(["", "", "TTTTTTTTTTT"])
+        out.append(t if rng.random() < 0.5 else t[::-1].translate(TURN))
+    return [*out, "", "N" * 30, "ACGT"]
+
+
+def test_plain_rows_are_what_chains_give(genome, monkeypatch):
+    seq, ix = genome
+    reads = mixed_reads(seq, 3000)
+    got, held, plain = A.align_batch(ix, reads), [], A.plain_rows
+    monkeypatch.setattr(A, "plain_rows", lambda *a: held.append(len(plain(*a))) or {})
+    monkeypatch.setattr(A, "FEW_LOCI", 0)  # windows by arrays
+    assert got == A.align_batch(ix, reads) and held[0] > 1000 and sum(map(bool, got)) > 1500
+
+
+def test_longest_prefixes_by_their_definition(genome):
+    seq, ix = genome
+    reads = mixed_reads(seq, 6)
+    text = "$".join(seq.values())
+    size = np.array([len(t) for t in reads])
+    wide = np.full((len(reads), max(size)), 4, np.uint8)
+    for i, t in enumerate(reads):
+        wide[i, : len(t)] = A.CODE[np.frombuffer(t.encode(), np.uint8)]
+    row = np.repeat(np.arange(len(reads)), size)
+    at = np.concatenate([np.arange(n) for n in size])
+    length, lo, hi = A.longest_prefixes(ix, wide, size, row, at)
+    for r, a, n, x, y in zip(row, at, length, lo, hi, strict=True):
+        t = reads[r][a:]
+        assert n == max(k for k in range(len(t) + 1) if t[:k] in text)
+        places = [i for i in range(len(text)) if text.startswith(t[:n], i)] if n else None
+        assert places is None or sorted(ix.suffixes[x:y].tolist()) == places
