@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .intervals import floor_join
 
+BASES = np.full(256, 4, np.uint8)
+BASES[[65, 67, 71, 84]] = range(4)
+
 
 def exon_lengths(exons: DataFrame, transcript: str = "tr", start: str = "es", end: str = "ee", ties: tuple[str, ...] = ()) -> DataFrame:
     """Each exon with its number, the summed lengths of those before it, and the largest end so far; ``ties`` order exons of equal ends."""
@@ -60,6 +66,59 @@ def kmer_index(kmers_: DataFrame) -> DataFrame:
     return kmers_.groupBy("kmer").agg(F.count("*").alias("n"), F.min(F.struct("chr", "pos")).alias("first"))
 
 
+def codes_of(text: str, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k-mers of a text at all its places as numbers of 2 bits a base, and which of them hold known bases alone; ``k`` is 31 at most."""
+    if not 1 <= k <= 31:
+        raise ValueError("k from 1 to 31")
+    x = BASES[np.frombuffer(text.encode("ascii", "replace"), np.uint8)]
+    n = max(len(x) - k + 1, 0)
+    wrong = np.concatenate(([0], np.cumsum(x > 3)))
+    code = np.zeros(n, np.int64)
+    for i in range(k):
+        code = code << 2 | (x[i : i + n] & 3)
+    return code, wrong[k : k + n] == wrong[:n]
+
+
+def kmer_lists(bins: DataFrame, width: int, k: int) -> DataFrame:
+    """(chr, bin, h): the k-mers that begin in a bin as one list of numbers, so no base is walked to again for each of them; bins overlap by k - 1 bases."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                code, known = codes_of(batch.column(2)[i].as_py() or "", k)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([code[:width][known[:width]]], pa.list_(pa.int64()))], ["chr", "bin", "h"])
+
+    return bins.select("chr", "bin", "seq").mapInArrow(run, f"chr {bins.schema['chr'].dataType.simpleString()}, bin int, h array<bigint>")
+
+
+def kmer_counts(bins: DataFrame, width: int, k: int) -> DataFrame:
+    """``kmer_index`` of the bins' k-mers, which are counted in each batch before any is a row."""
+    letters = np.frombuffer(b"ACGT", np.uint8)
+
+    def run(batches):
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows.take(pc.sort_indices(rows, [("chr", "ascending"), ("bin", "ascending")], null_placement="at_start"))  # a k-mer's first place is its least
+            code, row, at = [], [], []
+            for i, (b, text) in enumerate(zip(rows.column("bin").to_pylist(), rows.column("seq").to_pylist(), strict=True)):
+                c, known = codes_of(text, k)
+                place = np.flatnonzero(known[:width])
+                code.append(c[place])
+                row.append(np.full(len(place), i, np.int64))
+                at.append(place + b * width)
+            if not code:
+                continue
+            each, first, n = np.unique(np.concatenate(code), return_index=True, return_counts=True)
+            text = letters[each[:, None] >> 2 * np.arange(k)[::-1] & 3].tobytes().decode()
+            kmer = [text[i * k : (i + 1) * k] for i in range(len(each))]
+            chr_ = rows.column("chr").combine_chunks().take(pa.array(np.concatenate(row)[first], pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(kmer, pa.string()), pa.array(n, pa.int64()), chr_, pa.array(np.concatenate(at)[first], pa.int64())], ["kmer", "n", "chr", "pos"])
+
+    some = bins.where("seq is not null").select("chr", "bin", "seq")
+    counted = some.mapInArrow(run, f"kmer string, n long, chr {bins.schema['chr'].dataType.simpleString()}, pos long")
+    return counted.groupBy("kmer").agg(F.sum("n").alias("n"), F.min(F.struct("chr", "pos")).alias("first"))
+
+
 def both_halves(chromosomes: DataFrame) -> DataFrame:
     """(chr, half, seq): the chromosomes and, as half 1, their other strands."""
     turned = F.reverse(F.translate("seq", "ACGT", "TGCA"))

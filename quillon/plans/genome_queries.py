@@ -64,7 +64,7 @@ SPANS = duck("exons") + """, s as (select tr % 3 chr, gene, min(es) start, max(e
 def kmer_index(spark, d):
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("chr"), F.translate("text", "acgtu", "ACGTT").alias("t"))
     bins = A.genome_bins(docs.select("chr", F.regexp_replace("t", "[^ACGT]", "N").alias("seq")), 4096, 5)
-    return A.kmer_index(A.kmers(bins, 4096, 4)).select("kmer", "n", F.col("first.chr").alias("chr"), F.col("first.pos").alias("pos"))
+    return A.kmer_counts(bins, 4096, 4).select("kmer", "n", F.col("first.chr").alias("chr"), F.col("first.pos").alias("pos"))
 
 
 KMERS = """with t as (select doc_id chr, regexp_replace(translate(text, 'acgtu', 'ACGTT'), '[^ACGT]', 'N', 'g') seq from documents),

@@ -68,3 +68,21 @@ def test_longest_prefixes_by_their_definition(genome):
         assert n == max(k for k in range(len(t) + 1) if t[:k] in text)
         places = [i for i in range(len(text)) if text.startswith(t[:n], i)] if n else None
         assert places is None or sorted(ix.suffixes[x:y].tolist()) == places
+
+
+def test_kmers_of_batches_are_those_of_rows(spark):
+    from quillon.operators import annotation as G
+
+    rng = random.Random(5)
+    rows = [(f"c{i % 7}x", i // 7, "".join(rng.choice("ACGTACGTACGTN") for _ in range(rng.choice([0, 2, 3, 60, 69])))) for i in range(60)]
+    bins = spark.createDataFrame([*rows, ("c9", 0, "NNNNNN"), (None, 3, "ACGTACGT"), ("c9", 1, None)], "chr string, bin int, seq string")
+    for k in (1, 4, 9):
+        plain = G.kmer_index(G.kmers(bins, 61, k)).collect()
+        assert sorted(plain, key=str) == sorted(G.kmer_counts(bins, 61, k).collect(), key=str)
+        assert sum(r.n for r in plain) == sum(len(r.h) for r in G.kmer_lists(bins, 61, k).collect()) > 0
+
+
+def test_codes_without_known_kmers():
+    from quillon.operators import annotation as G
+
+    assert G.codes_of("ACGTN", 5)[1].tolist() == [False] and len(G.codes_of("AC", 3)[0]) == 0 and G.codes_of("ACGT", 4)[0].tolist() == [27]
