@@ -86,3 +86,18 @@ def test_codes_without_known_kmers():
     from quillon.operators import annotation as G
 
     assert G.codes_of("ACGTN", 5)[1].tolist() == [False] and len(G.codes_of("AC", 3)[0]) == 0 and G.codes_of("ACGT", 4)[0].tolist() == [27]
+
+
+@pytest.mark.parametrize("k", [5, 20])
+def test_looked_up_kmers_of_both_strands(genome, k):
+    from quillon.operators import annotation as G
+
+    reads = [*mixed_reads(genome[0], 50), "ACGTA", "ACGTAC"]
+    ends, held = A.looked_up_kmers(reads, k, 5)
+    for i, t in enumerate(reads):
+        want = set()
+        for s in (t, t[::-1].translate(TURN)):
+            for at in {*range(0, len(s) - k + 1, 5), len(s) - k} if len(s) >= k else ():
+                code, known = G.codes_of(s[at : at + k], k)
+                want |= {int(code[0])} if known[0] else set()
+        assert held[ends[i] : ends[i + 1]].tolist() == sorted(want)
